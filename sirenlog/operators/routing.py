@@ -82,17 +82,24 @@ def route_events(parsed: DataFrame, ledger: DataFrame | None = None) -> DataFram
 
 def route_counts(parsed: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Messages per route, without matching any row back: duplicates are what is left over."""
-    verdicts = parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
-    dead = verdicts.filter(~reaches_mark()).select(F.col("verdict").alias("route"), "n")
-    firsts = (
+    received = parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("received"), F.lit(0).alias("first"))
+    first = (
         first_deliveries(parsed, (), ledger)
-        .groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("verdict").alias("route"), "n")
+        .groupBy("verdict").agg(F.lit(0).alias("received"), F.count(F.lit(1)).alias("first"))
     )
-    marked = verdicts.filter(reaches_mark()).select(F.lit(DUPLICATE).alias("route"), "n")
-    leftover = marked.unionByName(firsts.select(F.lit(DUPLICATE).alias("route"), (-F.col("n")).alias("n")))
+    totals = received.unionByName(first).groupBy("verdict").agg(
+        F.sum("received").alias("received"), F.sum("first").alias("first")
+    )
+    kept = F.when(reaches_mark(), F.col("first")).otherwise(F.col("received"))
     return (
-        dead.unionByName(firsts).unionByName(leftover)
+        totals.select(
+            F.inline(
+                F.array(
+                    F.struct(F.col("verdict").alias("route"), kept.alias("n")),
+                    F.struct(F.lit(DUPLICATE).alias("route"), (F.col("received") - kept).alias("n")),
+                )
+            )
+        )
         .groupBy("route").agg(F.sum("n").cast("bigint").alias("n"))
         .filter("n > 0")
     )
