@@ -16,23 +16,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # What schema_of_variant() calls the JSON types.
 STRING, NULL, BOOLEAN, INTEGER = "STRING", "VOID", "BOOLEAN", "BIGINT"
 
+INTEGER_PATTERN = r"^-?\d{1,18}$"
+
 # The reader's leniencies that JSON does not have.
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+
+# The functions below take and give SQL text where they are building blocks of
+# longer expressions: one parsed text is far cheaper to build than a tree of
+# Column calls.
 
 
-def may_be_other_type(text: Column) -> Column:
+def may_be_other_type(text: str) -> str:
     """Could this text, read from a JSON value, come from something else than a string?"""
-    first = F.substring(text, 1, 1)
     return (
-        first.isin("{", "[")
-        | text.isin("true", "false")
-        | (first.between("-", "9") & text.rlike("^[0-9.eE+-]+$"))
+        f"(substring({text}, 1, 1) IN ('{{', '[') OR {text} IN ('true', 'false')"
+        f" OR (substring({text}, 1, 1) BETWEEN '-' AND '9' AND {text} RLIKE '^[0-9.eE+-]+$'))"
     )
 
 
@@ -40,131 +44,144 @@ class JsonObject:
     """The JSON object in a text column, attached to a DataFrame as helper columns.
 
     ``typed`` names the fields whose JSON type is asked for; those in
-    ``optional`` are treated the same when null and when absent.
+    ``optional`` are treated the same when null and when absent, and those in
+    ``integers`` when a whole number is written as a number and as a string.
     """
 
     def __init__(
         self, text: str, fields: Sequence[str], typed: Sequence[str] | None = None, optional: Sequence[str] = (),
+        integers: Sequence[str] = (),
     ):
         self.text_column = text
         self.fields = tuple(fields)
         self.typed = self.fields if typed is None else tuple(typed)
         self.optional = frozenset(optional)
-        self._parts = f"__{text}_parts"
-        self._variant = f"__{text}_variant"
+        self.integers = frozenset(integers)
+
+    def _doubtful(self, name: str) -> str:
+        value = f"{self._helper('first')}.{name}"
+        doubt = may_be_other_type(value)
+        if name in self.integers:
+            doubt = f"({doubt} AND NOT {value} RLIKE r'{INTEGER_PATTERN}')"
+        return f"coalesce({doubt}, {'false' if name in self.optional else 'true'})"
+
+    def _helper(self, name: str) -> str:
+        return f"__{self.text_column}_{name}"
 
     def attach(self, df: DataFrame) -> DataFrame:
-        text = F.col(self.text_column)
-        seal = F.xxhash64(text).cast("string")
-        sealed = F.concat(F.lit("["), text, F.lit(',{"seal":"'), seal, F.lit('"}]'))
+        """Add the helper columns; each stage of them is evaluated once per row."""
+        text, columns = self.text_column, df.columns
+        parts, first, sealed, variant, valid = (
+            self._helper(h) for h in ("parts", "first", "sealed", "variant", "valid")
+        )
+        seal = f"CAST(xxhash64({text}) AS STRING)"
+        wrapped = f"""concat('[', {text}, ',{{"seal":"', {seal}, '"}}]')"""
         schema = ",".join(f"`{name}`:string" for name in (*self.fields, "seal"))
-        parts = F.from_json(sealed, f"array<struct<{schema}>>", _STRICT)
-        is_sealed = (F.size(self._parts) == 2) & (F.try_element_at(self._parts, F.lit(2))["seal"] == seal)
-        doubtful = F.lit(False)
-        for name in self.typed:
-            value = F.try_element_at(self._parts, F.lit(1))[name]
-            doubt = may_be_other_type(value)
-            doubtful = doubtful | F.coalesce(doubt, F.lit(name not in self.optional))
-        # Text that is valid but no object has no parts; the variant decides.
-        parsed = F.try_parse_json(F.when(~F.coalesce(is_sealed, F.lit(False)) | doubtful, sealed))
-        df = df.withColumn(self._parts, parts)
-        df = df.withColumn(self._variant, parsed)
-        return df.withColumn(
-            self._parts,
-            F.struct(
-                F.coalesce(
-                    is_sealed, F.try_variant_get(self._variant, "$[1].seal", "string") == seal, F.lit(False)
-                ).alias("valid"),
-                F.try_element_at(self._parts, F.lit(1)).alias("first"),
-            ),
+        doubts = [f"NOT {sealed}", *map(self._doubtful, self.typed)]
+        # Without a variant every typed field is a string, or is optional and has none.
+        kinds = [
+            f"""CASE WHEN {valid} AND {first} IS NOT NULL THEN
+                CASE WHEN {variant} IS NOT NULL
+                     THEN schema_of_variant(try_variant_get({variant}, '$[0].{name}', 'variant'))
+                     WHEN {first}.{name} IS NOT NULL THEN '{STRING}' END
+                END AS {self._helper(f"kind_{name}")}"""
+            for name in self.typed
+        ]
+        return (
+            df.selectExpr("*", f"from_json({wrapped}, 'array<struct<{schema}>>', {_STRICT}) AS {parts}")
+            .selectExpr(
+                "*",
+                f"try_element_at({parts}, 1) AS {first}",
+                f"coalesce(size({parts}) = 2 AND try_element_at({parts}, 2).seal = {seal}, false) AS {sealed}",
+            )
+            # Text that is valid but no object has no parts; the variant decides.
+            .selectExpr("*", f"try_parse_json(CASE WHEN {' OR '.join(doubts)} THEN {wrapped} END) AS {variant}")
+            .selectExpr(
+                "*",
+                f"""{sealed} OR (coalesce(try_variant_get({variant}, '$[1].seal', 'string') = {seal}, false)
+                    AND try_variant_get({variant}, '$[2]', 'variant') IS NULL) AS {valid}""",
+            )
+            .selectExpr(
+                *columns,
+                valid,
+                f"""{valid} AND coalesce(is_variant_null(try_variant_get({variant}, '$[0]', 'variant')), false)
+                    AS {self._helper("null")}""",
+                f"{valid} AND {first} IS NOT NULL AS {self._helper('object')}",
+                *[f"CASE WHEN {valid} THEN {first}.{name} END AS {self.raw(name)}" for name in self.fields],
+                *kinds,
+            )
         )
 
-    def detach(self, df: DataFrame) -> DataFrame:
-        return df.drop(self._parts, self._variant)
-
-    @property
-    def helpers(self) -> tuple[str, str]:
-        return self._parts, self._variant
-
-    def is_valid(self) -> Column:
+    def is_valid(self) -> str:
         """The text is exactly one JSON value, of any type."""
-        return F.col(self._parts)["valid"] & F.try_variant_get(self._variant, "$[2]", "variant").isNull()
+        return self._helper("valid")
 
-    def is_null(self) -> Column:
+    def is_null(self) -> str:
         """The text is the JSON value null."""
-        return self.is_valid() & F.coalesce(F.is_variant_null(self._root()), F.lit(False))
+        return self._helper("null")
 
-    def is_object(self) -> Column:
-        return self.is_valid() & F.col(self._parts)["first"].isNotNull()
+    def is_object(self) -> str:
+        return self._helper("object")
 
-    def raw(self, name: str) -> Column:
+    def raw(self, name: str) -> str:
         """A string's value, or the JSON text of any other type."""
-        return F.when(self.is_object(), F.col(self._parts)["first"][name])
+        return self._helper(f"raw_{name}")
 
-    def kind(self, name: str) -> Column:
+    def kind(self, name: str) -> str:
         """The field's JSON type: SQL null when absent, ``VOID`` for JSON null."""
-        if name not in self.typed:
-            raise ValueError(f"{name} is not among the typed fields")
-        field = F.try_variant_get(self._variant, f"$[0].{name}", "variant")
-        return F.when(
-            self.is_object(), F.when(F.col(self._variant).isNull(), STRING).otherwise(F.schema_of_variant(field))
-        )
+        return self._helper(f"kind_{name}")
 
-    def string(self, name: str) -> Column:
+    def string(self, name: str) -> str:
         """The field if it is a string; null for any other type."""
-        return F.when(self.kind(name) == STRING, self.raw(name))
+        return f"CASE WHEN {self.kind(name)} = '{STRING}' THEN {self.raw(name)} END"
 
-    def _root(self) -> Column:
-        return F.try_variant_get(self._variant, "$[0]", "variant")
 
+def evaluated_once(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``df`` as a one-element generator, which keeps its expressions in one place.
 
-def is_number(kind: Column) -> Column:
-    return kind.isin(INTEGER, "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    Catalyst moves a filter below a projection by substituting expressions: a
+    filter on a column computed from parsed JSON would parse the text again for
+    each reference.  Filters on generated columns stay above the generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*(df.columns if columns is None else columns)))))
 
 
-def is_array(kind: Column) -> Column:
-    return kind.startswith("ARRAY")
+def is_number(kind: str) -> str:
+    return f"({kind} IN ('{INTEGER}', 'DOUBLE', 'FLOAT') OR startswith({kind}, 'DECIMAL'))"
 
 
-def is_truthy(kind: Column, raw: Column) -> Column:
+def is_array(kind: str) -> str:
+    return f"startswith({kind}, 'ARRAY')"
+
+
+def is_truthy(kind: str, raw: str) -> str:
     """False for absent, null, ``false``, 0 and ``""``; true for everything else."""
-    return F.coalesce(
-        F.when(kind == STRING, raw != "")
-        .when(kind == BOOLEAN, raw == "true")
-        .when(kind == NULL, False)
-        .when(is_number(kind), raw.try_cast("double") != 0)
-        .otherwise(kind.isNotNull()),
-        F.lit(False),
-    )
+    return f"""coalesce(CASE
+        WHEN {kind} = '{STRING}' THEN {raw} <> ''
+        WHEN {kind} = '{BOOLEAN}' THEN {raw} = 'true'
+        WHEN {kind} = '{NULL}' THEN false
+        WHEN {is_number(kind)} THEN try_cast({raw} AS DOUBLE) <> 0
+        ELSE {kind} IS NOT NULL END, false)"""
 
 
-def as_json(kind: Column, raw: Column) -> Column:
+def as_json(kind: str, raw: str) -> str:
     """The field as JSON text again; null when absent."""
-    return (
-        F.when(kind == STRING, quoted(raw))
-        .when(kind == NULL, "null")
-        .when(kind.isNotNull(), raw)
-    )
+    return f"""CASE WHEN {kind} = '{STRING}' THEN {quoted(raw)} WHEN {kind} = '{NULL}' THEN 'null'
+        WHEN {kind} IS NOT NULL THEN {raw} END"""
 
 
-def as_key(kind: Column, raw: Column) -> Column:
+def as_key(kind: str, raw: str) -> str:
     """A message key for any JSON value: text as it is, other types as their text form."""
-    return (
-        F.when(kind.startswith("OBJECT"), "[object Object]")
-        .when(is_array(kind), F.array_join(F.from_json(raw, "array<string>"), ",", ""))
-        .when(kind != NULL, raw)
-    )
+    return f"""CASE WHEN startswith({kind}, 'OBJECT') THEN '[object Object]'
+        WHEN {is_array(kind)} THEN array_join(from_json({raw}, 'array<string>'), ',', '')
+        WHEN {kind} <> '{NULL}' THEN {raw} END"""
 
 
-def quoted(text: Column) -> Column:
+def quoted(text: str) -> str:
     """A JSON string literal."""
-    whole = F.to_json(F.array(text))
-    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+    return f"regexp_extract(to_json(array({text})), '(?s)^.(.*).$', 1)"
 
 
-def splice(json_object: Column, name: str, raw_json: Column) -> Column:
+def splice(json_object: str, name: str, raw_json: str) -> str:
     """Append a field holding ``raw_json`` verbatim to a non-empty JSON object text."""
-    return F.concat(
-        F.substring(json_object, F.lit(1), F.length(json_object) - 1),
-        F.lit(f',"{name}":'), raw_json, F.lit("}"),
-    )
+    return f"""concat(left({json_object}, length({json_object}) - 1), ',"{name}":', {raw_json}, '}}')"""

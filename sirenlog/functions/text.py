@@ -15,8 +15,9 @@ def dash_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, f"[{WHITESPACE}]+", "-")
 
 
-def is_blank(text: Column) -> Column:
-    return F.regexp_replace(text, f"[{WHITESPACE}]+", "") == ""
+def is_blank(text: str) -> str:
+    """SQL: nothing but white space."""
+    return f"regexp_replace({text}, r'[{WHITESPACE}]+', '') = ''"
 
 
 def or_default(text: Column, default: str) -> Column:

@@ -19,17 +19,15 @@ def iso_millis(ts: Column) -> Column:
     return F.date_format(ts, ISO_FORMAT)
 
 
-def parse_iso(text: Column) -> Column:
-    """ISO text to a timestamp cut to milliseconds; anything else is null.
+def parse_iso(text: str) -> str:
+    """SQL for ISO text to a timestamp cut to milliseconds; anything else is null.
 
     A bare cast is too generous (``'15:30:00'`` becomes today) and too strict
     (no seconds is refused), hence the shape check and the inserted ``:00``.
     The shape that ``iso_millis`` writes is recognised without a regular
     expression, since nearly every row has it.
     """
-    usual = F.translate(text, "123456789", "000000000") == USUAL_SHAPE
-    with_seconds = F.regexp_replace(text, r"(T\d{2}:\d{2})($|Z|[+-])", "$1:00$2")
-    return F.when(usual, text.try_cast("timestamp")).when(
-        text.rlike(ISO_PATTERN),
-        F.date_trunc("MILLISECOND", with_seconds.try_cast("timestamp")),
-    )
+    return f"""CASE
+        WHEN translate({text}, '123456789', '000000000') = '{USUAL_SHAPE}' THEN try_cast({text} AS TIMESTAMP)
+        WHEN {text} RLIKE r'{ISO_PATTERN}' THEN date_trunc('MILLISECOND',
+            try_cast(regexp_replace({text}, r'(T\d{{2}}:\d{{2}})($|Z|[+-])', '$1:00$2') AS TIMESTAMP)) END"""

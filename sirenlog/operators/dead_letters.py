@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sirenlog.functions import strict_json as sj
-from sirenlog.functions.text import or_default
 from sirenlog.operators.parsing import DEAD_ROUTES, UNREADABLE
 from sirenlog.schemas import DEAD_LETTERS
 
@@ -31,36 +30,36 @@ INPUT = (
 )
 
 
-def _error() -> Column:
-    kind = F.col("message_kind")
-    return (
-        F.when(F.col("value").isNull(), NULL_VALUE)
-        .when(F.col("json_null"), NULL_DOCUMENT)
-        .when(F.col("verdict") == UNREADABLE, INVALID_JSON)
-        .when(F.col("poison"), FORCED)
-        .when(kind.isNull(), ABSENT_MESSAGE)
-        .when(kind == sj.NULL, NULL_MESSAGE)
-        .when((kind == sj.STRING) | sj.is_array(kind), WRONG_ID)
-        .otherwise(WRONG_MESSAGE)
-    )
+_ERROR = f"""CASE
+    WHEN value IS NULL THEN "{NULL_VALUE}"
+    WHEN json_null THEN "{NULL_DOCUMENT}"
+    WHEN verdict = '{UNREADABLE}' THEN "{INVALID_JSON}"
+    WHEN poison THEN "{FORCED}"
+    WHEN message_kind IS NULL THEN "{ABSENT_MESSAGE}"
+    WHEN message_kind = '{sj.NULL}' THEN "{NULL_MESSAGE}"
+    WHEN message_kind = '{sj.STRING}' OR {sj.is_array("message_kind")} THEN "{WRONG_ID}"
+    ELSE "{WRONG_MESSAGE}" END"""
 
 
 def _failed(parsed: DataFrame, failed_at: Column) -> DataFrame:
-    unreadable = F.col("verdict") == UNREADABLE
-    return parsed.filter(F.col("verdict").isin(*DEAD_ROUTES)).select(
-        F.when(unreadable, UNKNOWN_INCIDENT)
-        .when(F.col("incident_kind") != sj.NULL, F.col("incident_raw")).alias("incidentId"),
-        failed_at.alias("failedAt"),
-        F.when(unreadable, 0).otherwise(ATTEMPTS).alias("retryCount"),
-        _error().alias("errorMessage"),
-        F.col("topic").alias("originalTopic"),
-        F.col("partition").alias("originalPartition"),
-        F.col("offset").cast("string").alias("originalOffset"),
-        # The message is valid JSON text, so it can be carried as it came.
-        F.when(~unreadable, F.col("value")).alias("originalMessage"),
-        F.when(unreadable, F.col("value")).alias("originalRawValue"),
-        unreadable.alias("unreadable"),
-        "incident_kind", "incident_raw",
+    return (
+        parsed.filter(F.col("verdict").isin(*DEAD_ROUTES))
+        .withColumn("failedAt", failed_at)
+        .selectExpr(
+            f"""CASE WHEN verdict = '{UNREADABLE}' THEN '{UNKNOWN_INCIDENT}'
+                WHEN incident_kind <> '{sj.NULL}' THEN incident_raw END AS incidentId""",
+            "failedAt",
+            f"if(verdict = '{UNREADABLE}', 0, {ATTEMPTS}) AS retryCount",
+            f"{_ERROR} AS errorMessage",
+            "topic AS originalTopic",
+            "partition AS originalPartition",
+            "CAST(offset AS STRING) AS originalOffset",
+            # The message is valid JSON text, so it can be carried as it came.
+            f"if(verdict = '{UNREADABLE}', NULL, value) AS originalMessage",
+            f"if(verdict = '{UNREADABLE}', value, NULL) AS originalRawValue",
+            f"verdict = '{UNREADABLE}' AS unreadable",
+            "incident_kind", "incident_raw",
+        )
     )
 
 
@@ -71,22 +70,23 @@ def dead_letter_records(parsed: DataFrame, failed_at: Column) -> DataFrame:
 
 def dead_letter_messages(parsed: DataFrame, failed_at: Column) -> DataFrame:
     """The same as keyed JSON messages: absent fields are left out, a null raw value is kept."""
-    shared = ("failedAt", "retryCount", "errorMessage", "originalTopic", "originalPartition", "originalOffset")
-    incident = sj.as_json(F.col("incident_kind"), F.col("incident_raw"))
-    unprocessable = sj.splice(F.to_json(F.struct(*shared)), "originalMessage", F.col("originalMessage"))
-    unprocessable = F.when(incident.isNull(), unprocessable).otherwise(
-        F.concat(F.lit('{"incidentId":'), incident, F.lit(","), F.substring(unprocessable, 2, 2**31 - 1))
-    )
-    unreadable = F.to_json(F.struct("incidentId", *shared, "originalRawValue"), {"ignoreNullFields": "false"})
-    key = F.when(
-        ~F.col("unreadable") & sj.is_truthy(F.col("incident_kind"), F.col("incident_raw")),
-        sj.as_key(F.col("incident_kind"), F.col("incident_raw")),
-    )
-    return _failed(parsed, failed_at).select(
-        F.lit(DEAD_LETTER_TOPIC).alias("topic"),
-        or_default(key, UNKNOWN_INCIDENT).alias("key"),
-        F.when(F.col("unreadable"), unreadable).otherwise(unprocessable).alias("value"),
-        F.create_map().cast("map<string,string>").alias("headers"),
+    shared = "failedAt, retryCount, errorMessage, originalTopic, originalPartition, originalOffset"
+    with_message = sj.splice(f"to_json(struct({shared}))", "originalMessage", "originalMessage")
+    truthy = sj.is_truthy("incident_kind", "incident_raw")
+    return (
+        _failed(parsed, failed_at)
+        .selectExpr("*", f"{sj.as_json('incident_kind', 'incident_raw')} AS incident", f"{with_message} AS whole")
+        .selectExpr(
+            f"'{DEAD_LETTER_TOPIC}' AS topic",
+            f"""coalesce(nullif(CASE WHEN NOT unreadable AND {truthy}
+                THEN {sj.as_key('incident_kind', 'incident_raw')} END, ''), '{UNKNOWN_INCIDENT}') AS key""",
+            f"""CASE
+                WHEN unreadable THEN to_json(
+                    struct(incidentId, {shared}, originalRawValue), map('ignoreNullFields', 'false'))
+                WHEN incident IS NULL THEN whole
+                ELSE concat('{{"incidentId":', incident, ',', substring(whole, 2)) END AS value""",
+            "CAST(map() AS map<string,string>) AS headers",
+        )
     )
 
 
@@ -99,7 +99,7 @@ def read_dead_letters(messages: DataFrame) -> DataFrame:
     scalar_fields = [f for f in DEAD_LETTERS.fields if f.name != "originalMessage"]
     ddl = ",".join(f"{f.name} {f.dataType.simpleString()}" for f in scalar_fields)
     original = F.try_variant_get(F.try_parse_json("value"), "$.originalMessage", "variant")
-    return (
+    rows = (
         messages.select(
             F.from_json("value", ddl).alias("record"),
             F.schema_of_variant(original).alias("kind"),
@@ -108,12 +108,12 @@ def read_dead_letters(messages: DataFrame) -> DataFrame:
         .withColumn(
             "originalMessage",
             F.when(F.col("kind") == sj.NULL, "null")
-            .when(F.col("kind") == sj.STRING, sj.quoted(F.col("text")))
+            .when(F.col("kind") == sj.STRING, F.expr(sj.quoted("text")))
             .otherwise(F.col("text")),
         )
         .select("record.*", "originalMessage")
-        .select(DEAD_LETTERS.fieldNames())
     )
+    return sj.evaluated_once(rows, DEAD_LETTERS.fieldNames())
 
 
 def replay_messages(records: DataFrame) -> DataFrame:
@@ -122,23 +122,30 @@ def replay_messages(records: DataFrame) -> DataFrame:
     A bounded snapshot with one copy per original position, however often it
     was dead-lettered.  ``source_offset`` keeps the lineage.
     """
-    original = F.col("originalMessage")
-    kind = F.schema_of_variant(F.try_parse_json(original))
-    truthy = F.when(kind == sj.STRING, F.trim(original) != '""').otherwise(sj.is_truthy(kind, F.trim(original)))
-    incident = F.try_variant_get(F.try_parse_json(original), "$.incidentId", "variant")
+    text = "trim(originalMessage)"
+    judged = (
+        records.selectExpr("*", "try_parse_json(originalMessage) AS document")
+        .selectExpr(
+            "*", "schema_of_variant(document) AS kind",
+            "schema_of_variant(try_variant_get(document, '$.incidentId', 'variant')) AS incident_kind",
+            "get_json_object(originalMessage, '$.incidentId') AS incident_raw",
+        )
+        .selectExpr(
+            "* EXCEPT (document)",
+            f"""coalesce(CASE WHEN kind = '{sj.STRING}' THEN {text} <> '""'
+                ELSE {sj.is_truthy("kind", text)} END, false) AS replayable""",
+        )
+    )
     return (
-        records.filter(F.coalesce(truthy, F.lit(False)))
+        sj.evaluated_once(judged).filter("replayable")
         .dropDuplicates(["originalTopic", "originalPartition", "originalOffset"])
-        .select(
-            F.lit(EVENT_TOPIC).alias("topic"),
-            F.col("originalPartition").alias("partition"),
-            F.col("originalOffset").cast("bigint").alias("source_offset"),
-            sj.as_key(
-                F.schema_of_variant(incident),
-                F.get_json_object(original, "$.incidentId"),
-            ).alias("key"),
-            original.alias("value"),
-            F.create_map(F.lit(REPLAY_HEADER), F.lit("true")).alias("headers"),
+        .selectExpr(
+            f"'{EVENT_TOPIC}' AS topic",
+            "originalPartition AS partition",
+            "CAST(originalOffset AS BIGINT) AS source_offset",
+            f"{sj.as_key('incident_kind', 'incident_raw')} AS key",
+            "originalMessage AS value",
+            f"map('{REPLAY_HEADER}', 'true') AS headers",
         )
     )
 

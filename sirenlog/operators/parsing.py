@@ -39,29 +39,26 @@ TIMELINE_ROUTES = (FULL, TIMELINE_ONLY)
 _ARTIFACT_TEXTS = ("bucket", "objectKey", "originalName", "mimeType")
 
 
-def event_time(kind: Column, raw: Column) -> Column:
+def event_time(kind: str, raw: str) -> str:
     """ISO text; a number counts milliseconds; null is the epoch."""
-    millis = (
-        F.when(kind == sj.NULL, F.lit(0.0))
-        .when(kind == sj.BOOLEAN, F.when(raw == "true", 1.0).otherwise(0.0))
-        .when(sj.is_number(kind), raw.try_cast("double"))
-    )
-    in_range = F.abs(millis) <= MAX_DATE_MS
-    return F.when(kind == sj.STRING, parse_iso(raw)).otherwise(
-        F.timestamp_millis(F.when(in_range, millis.cast("bigint")))
-    )
+    return f"""CASE
+        WHEN {kind} = '{sj.STRING}' THEN {parse_iso(raw)}
+        WHEN {kind} = '{sj.NULL}' THEN timestamp_millis(0)
+        WHEN {kind} = '{sj.BOOLEAN}' THEN timestamp_millis(if({raw} = 'true', 1, 0))
+        WHEN {sj.is_number(kind)} AND abs(try_cast({raw} AS DOUBLE)) <= {MAX_DATE_MS}
+            THEN timestamp_millis(CAST(try_cast({raw} AS DOUBLE) AS BIGINT)) END"""
 
 
-def _storable_text(kind: Column) -> Column:
+def _storable_text(kind: str) -> str:
     """True when a text column accepts the value: text, null, or nothing."""
-    return F.coalesce(kind.isin(sj.STRING, sj.NULL), F.lit(True))
+    return f"coalesce({kind} IN ('{sj.STRING}', '{sj.NULL}'), true)"
 
 
-def _whole_number(kind: Column, raw: Column) -> Column:
-    return (
-        F.when(sj.is_number(kind), F.coalesce(raw.try_cast("bigint"), raw.try_cast("double").try_cast("bigint")))
-        .when((kind == sj.STRING) & raw.rlike(r"^-?\d{1,18}$"), raw.try_cast("bigint"))
-    )
+def _whole_number(kind: str, raw: str) -> str:
+    """A number cut to a whole one, or the digits of one as a string."""
+    return f"""CASE
+        WHEN {raw} RLIKE r'{sj.INTEGER_PATTERN}' THEN CAST({raw} AS BIGINT)
+        WHEN {sj.is_number(kind)} THEN try_cast(try_cast({raw} AS DOUBLE) AS BIGINT) END"""
 
 
 def parse_events(log: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -75,90 +72,74 @@ def parse_events(log: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         typed=[f for f in EVENT_FIELDS if f not in ("type", "artifact")],
         optional=("orgId", "serviceName"),
     )
-    descriptor = sj.JsonObject(
-        "artifact_json", (*_ARTIFACT_TEXTS, "size"), optional=(*_ARTIFACT_TEXTS, "size")
-    )
-    message_kind = event.kind("message")
-    typed = event.attach(log).select(
+    message_kind, message, kind = event.kind("message"), event.raw("message"), event.raw("type")
+    typed = event.attach(log).selectExpr(
         *log.columns,
         # JSON null cannot be read as an event either.
-        (event.is_valid() & ~event.is_null()).alias("decodable"),
-        event.is_null().alias("json_null"),
-        event.string("id").alias("event_id"),
-        event.kind("id").alias("id_kind"),
-        event.string("incidentId").alias("incident_id"),
-        event.kind("incidentId").alias("incident_kind"),
-        event.raw("incidentId").alias("incident_raw"),
-        event.string("orgId").alias("org_id"),
-        event.string("serviceName").alias("service_name"),
-        event.string("severity").alias("severity"),
-        event.kind("severity").alias("severity_kind"),
-        event.raw("type").alias("event_type"),
-        event.string("message").alias("message"),
-        message_kind.alias("message_kind"),
-        F.coalesce(
-            F.when(message_kind == sj.STRING, event.raw("message").contains(POISON))
-            .when(sj.is_array(message_kind),
-                  F.array_contains(F.from_json(event.raw("message"), "array<string>"), POISON)),
-            F.lit(False),
-        ).alias("poison"),
-        event_time(event.kind("timestamp"), event.raw("timestamp")).alias("event_timestamp"),
-        F.when(event.raw("type") == ATTACHED, event.raw("artifact")).alias("artifact_json"),
+        f"{event.is_valid()} AND NOT {event.is_null()} AS decodable",
+        f"{event.is_null()} AS json_null",
+        f"{event.string('id')} AS event_id",
+        f"{event.kind('id')} AS id_kind",
+        f"{event.string('incidentId')} AS incident_id",
+        f"{event.kind('incidentId')} AS incident_kind",
+        f"{event.raw('incidentId')} AS incident_raw",
+        f"{event.string('orgId')} AS org_id",
+        f"{event.string('serviceName')} AS service_name",
+        f"{event.string('severity')} AS severity",
+        f"{event.kind('severity')} AS severity_kind",
+        f"{kind} AS event_type",
+        f"{event.string('message')} AS message",
+        f"{message_kind} AS message_kind",
+        f"""coalesce(CASE
+            WHEN {message_kind} = '{sj.STRING}' THEN contains({message}, '{POISON}')
+            WHEN {sj.is_array(message_kind)} THEN array_contains(from_json({message}, 'array<string>'), '{POISON}')
+            END, false) AS poison""",
+        f"{event_time(event.kind('timestamp'), event.raw('timestamp'))} AS event_timestamp",
+        f"CASE WHEN {kind} = '{ATTACHED}' THEN {event.raw('artifact')} END AS artifact_json",
+    )
+    descriptor = sj.JsonObject(
+        "artifact_json", (*_ARTIFACT_TEXTS, "size"), optional=(*_ARTIFACT_TEXTS, "size"), integers=("size",)
     )
-    storable = F.lit(True)
-    for name in _ARTIFACT_TEXTS:
-        storable = storable & _storable_text(descriptor.kind(name))
     size = _whole_number(descriptor.kind("size"), descriptor.raw("size"))
-    storable = storable & (F.coalesce(descriptor.kind("size") == sj.NULL, F.lit(True)) | size.isNotNull())
-
-    described = descriptor.attach(typed).select(
-        *typed.columns[:-1],
-        # A descriptor that is no object has no fields, which is allowed.
-        F.when(descriptor.is_object(), storable).otherwise(F.col("artifact_json").isNotNull()).alias(
-            "artifact_storable"
-        ),
-        F.when(
-            F.col("artifact_json").isNotNull(),
-            F.struct(*[descriptor.string(name).alias(name) for name in _ARTIFACT_TEXTS], size.alias("size")),
-        ).alias("artifact"),
+    storable = [_storable_text(descriptor.kind(name)) for name in _ARTIFACT_TEXTS]
+    storable.append(f"(coalesce({descriptor.kind('size')} = '{sj.NULL}', true) OR ({size}) IS NOT NULL)")
+    texts = ", ".join(f"{descriptor.string(name)} AS {name}" for name in _ARTIFACT_TEXTS)
+
+    judged = (
+        descriptor.attach(typed)
+        .selectExpr(
+            *typed.columns[:-1],
+            # A descriptor that is no object has no fields, which is allowed.
+            f"""CASE WHEN {descriptor.is_object()} THEN {' AND '.join(storable)}
+                ELSE artifact_json IS NOT NULL END AS artifact_storable""",
+            f"CASE WHEN artifact_json IS NOT NULL THEN struct({texts}, {size} AS size) END AS artifact",
+        )
+        .selectExpr("*", f"{_VERDICT} AS verdict")
     )
-    judged = described.withColumn("verdict", _verdict())
     kept = judged.columns if columns is None else [
         c for c in judged.columns if c in {*columns, "partition", "offset", "event_id", "verdict"}
     ]
-    return _evaluated_once(judged, kept)
-
-
-def _evaluated_once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` as a one-element generator.
-
-    Catalyst moves a filter below a projection by substituting expressions: a
-    filter on ``verdict`` would parse the text again for each column it uses.
-    Filters on generated columns stay above the generator.
-    """
-    return df.select(F.inline(F.array(F.struct(*columns))))
-
-
-def _verdict() -> Column:
-    """First match wins."""
-    readable_message = F.coalesce(
-        (F.col("message_kind") == sj.STRING) | sj.is_array(F.col("message_kind")), F.lit(False)
-    )
-    keyed = (F.coalesce("incident_id", F.lit("")) != "") & F.col("event_timestamp").isNotNull()
-    health_keyed = (F.coalesce("org_id", F.lit("")) != "") & F.col("service_name").isNotNull()
-    reported = F.col("event_type") == REPORTED
-    attached = F.col("event_type") == ATTACHED
-    return (
-        F.when(~F.coalesce("decodable", F.lit(False)), UNREADABLE)
-        .when(~readable_message | F.col("poison"), UNPROCESSABLE)
-        .when(F.col("event_id").isNull(), UNPROCESSABLE)
-        .when(reported & ~(keyed & F.col("message").isNotNull()), LOST)
-        .when(reported & ~(health_keyed & _storable_text(F.col("severity_kind"))), TIMELINE_ONLY)
-        .when(reported, FULL)
-        .when(attached & ~(keyed & F.col("artifact_storable")), LOST)
-        .when(attached, ARTIFACT)
-        .otherwise(IGNORED)
-    )
+    # A filter on ``verdict`` must not parse the text again.
+    return sj.evaluated_once(judged, kept)
+
+
+_KEYED = "(coalesce(incident_id, '') <> '' AND event_timestamp IS NOT NULL)"
+_HEALTH_KEYED = "(coalesce(org_id, '') <> '' AND service_name IS NOT NULL)"
+
+# First match wins.
+_VERDICT = f"""CASE
+    WHEN NOT decodable THEN '{UNREADABLE}'
+    WHEN NOT coalesce(message_kind = '{sj.STRING}' OR {sj.is_array("message_kind")}, false) OR poison
+        THEN '{UNPROCESSABLE}'
+    WHEN event_id IS NULL THEN '{UNPROCESSABLE}'
+    WHEN event_type = '{REPORTED}' THEN CASE
+        WHEN NOT {_KEYED} OR message IS NULL THEN '{LOST}'
+        WHEN NOT {_HEALTH_KEYED} OR NOT {_storable_text("severity_kind")} THEN '{TIMELINE_ONLY}'
+        ELSE '{FULL}' END
+    WHEN event_type = '{ATTACHED}' THEN CASE
+        WHEN NOT {_KEYED} OR NOT artifact_storable THEN '{LOST}'
+        ELSE '{ARTIFACT}' END
+    ELSE '{IGNORED}' END"""
 
 
 def reaches_mark(verdict: Column | None = None) -> Column:

@@ -34,39 +34,36 @@ def accept_submissions(
     received_at = F.current_timestamp() if received_at is None else received_at
     body = sj.JsonObject("body", FIELDS)
 
-    def accepted(name: str) -> Column:
+    def accepted(name: str) -> str:
         if mode == "rest":
             return sj.is_truthy(body.kind(name), body.raw(name))
-        kinds = (sj.STRING, sj.INTEGER) if name.endswith("Id") else (sj.STRING,)
-        return F.coalesce(body.kind(name).isin(*kinds), F.lit(False))
+        kinds = f"'{sj.STRING}', '{sj.INTEGER}'" if name.endswith("Id") else f"'{sj.STRING}'"
+        return f"coalesce({body.kind(name)} IN ({kinds}), false)"
 
-    def written(name: str) -> Column:
+    def written(name: str) -> str:
         return sj.as_json(body.kind(name), body.raw(name)) if mode == "rest" else sj.quoted(body.raw(name))
 
-    complete = F.lit(True)
-    for name in FIELDS:
-        complete = complete & accepted(name)
-    checked = body.attach(submissions).select(
-        *submissions.columns,
-        (body.is_object() & complete).alias("ok"),
-        # An array is a readable body without any of the fields.
-        F.when(~body.is_object() & ~F.coalesce(F.ltrim("body").startswith("[") & body.is_valid(), F.lit(False)),
-               INVALID_BODY).when(~complete, REQUIRED).alias("error"),
-        event_id.alias("event_id"),
-        sj.as_key(body.kind("incidentId"), body.raw("incidentId")).alias("key"),
-        *[written(name).alias(f"__{name}") for name in FIELDS],
-        iso_millis(received_at).alias("timestamp"),
-    )
-    value = F.concat(
-        F.lit('{"id":'), sj.quoted(F.col("event_id")),
-        *[part for name in FIELDS[:-1] for part in (F.lit(f',"{name}":'), F.col(f"__{name}"))],
-        F.lit(f',"type":"{REPORTED}","message":'), F.col("__message"),
-        F.lit(',"timestamp":"'), F.col("timestamp"), F.lit('"}'),
+    complete = " AND ".join(accepted(name) for name in FIELDS)
+    checked = (
+        body.attach(submissions.withColumn("__id", event_id).withColumn("__time", iso_millis(received_at)))
+        .selectExpr(
+            *submissions.columns, "__id", "__time",
+            f"{complete} AS __complete",
+            # An array is a readable body without any of the fields.
+            f"{body.is_object()} OR ({body.is_valid()} AND startswith(ltrim(body), '[')) AS __readable",
+            f"{sj.as_key(body.kind('incidentId'), body.raw('incidentId'))} AS __key",
+            *[f"{written(name)} AS __{name}" for name in FIELDS],
+        )
     )
-    return checked.select(
-        *submissions.columns, "ok", "error",
-        F.when(F.col("ok"), F.col("key")).alias("key"),
-        F.when(F.col("ok"), value).alias("value"),
+    inputs = ", ".join(f"""',"{name}":', __{name}""" for name in FIELDS[:-1])
+    value = f"""concat('{{"id":', {sj.quoted("__id")}, {inputs}, ',"type":"{REPORTED}","message":', __message,
+        ',"timestamp":"', __time, '"}}')"""
+    return checked.selectExpr(
+        *submissions.columns,
+        "__complete AS ok",
+        f"CASE WHEN NOT __readable THEN '{INVALID_BODY}' WHEN NOT __complete THEN '{REQUIRED}' END AS error",
+        "CASE WHEN __complete THEN __key END AS key",
+        f"CASE WHEN __complete THEN {value} END AS value",
     )
 
 

@@ -250,19 +250,19 @@ def generate_summaries(
     )
 
 
-def _list(kind: Column, raw: Column) -> Column:
-    return F.when(sj.is_array(kind), F.from_json(raw, "array<string>"))
-
-
 def parse_summaries(replies: DataFrame, reply: str = "reply") -> DataFrame:
     """Decode replies into the six fields; ``decoded`` tells whether the text was JSON at all."""
     out = sj.JsonObject(reply, SUMMARY_FIELDS)
-    return out.attach(replies).select(
+    decoded = out.attach(replies).selectExpr(
         *replies.columns,
-        out.is_valid().alias("decoded"),
-        *[out.string(name).alias(name) for name in SUMMARY_FIELDS[:4]],
-        *[_list(out.kind(name), out.raw(name)).alias(name) for name in SUMMARY_FIELDS[4:]],
+        f"{out.is_valid()} AS decoded",
+        *[f"{out.string(name)} AS {name}" for name in SUMMARY_FIELDS[:4]],
+        *[
+            f"CASE WHEN {sj.is_array(out.kind(name))} THEN from_json({out.raw(name)}, 'array<string>') END AS {name}"
+            for name in SUMMARY_FIELDS[4:]
+        ],
     )
+    return sj.evaluated_once(decoded)
 
 
 def graphql_summary(parsed: DataFrame) -> DataFrame:
@@ -293,32 +293,35 @@ def validate_replies(replies: DataFrame, shape: str = "summary", reply: str = "r
     checked_texts = names[:3] if shape == "summary" else names[:1]
     confidence, lists = names[3], names[4:]
 
-    missing = [F.when(out.kind(n).isNull(), F.lit(f"missing field: {n}")) for n in out.fields]
+    def got(name: str) -> str:
+        return sj.as_json(out.kind(name), out.raw(name))
+
+    missing = [f"CASE WHEN {out.kind(n)} IS NULL THEN 'missing field: {n}' END" for n in out.fields]
     problems = []
     if shape == "rest":
-        problems.append(F.when(
-            (out.kind("ok") != sj.BOOLEAN) | (out.raw("ok") != "true"),
-            F.concat(F.lit("ok must be true, got "), sj.as_json(out.kind("ok"), out.raw("ok")))))
+        problems.append(
+            f"CASE WHEN {out.kind('ok')} <> '{sj.BOOLEAN}' OR {out.raw('ok')} <> 'true' "
+            f"THEN concat('ok must be true, got ', {got('ok')}) END")
     for name in checked_texts:
-        blank = (out.kind(name) != sj.STRING) | is_blank(out.raw(name))
-        problems.append(F.when(F.coalesce(blank, F.lit(True)), F.lit(f"{name} must be a non-empty string")))
-    valid_confidence = (out.kind(confidence) == sj.STRING) & out.raw(confidence).isin(*CONFIDENCE)
-    problems.append(F.when(
-        ~F.coalesce(valid_confidence, F.lit(False)),
-        F.concat(F.lit(f"confidence must be one of {'|'.join(CONFIDENCE)}, got "),
-                 sj.as_json(out.kind(confidence), out.raw(confidence)))))
+        problems.append(
+            f"CASE WHEN {out.kind(name)} <> '{sj.STRING}' OR {is_blank(out.raw(name))} "
+            f"THEN '{name} must be a non-empty string' END")
+    choices = ", ".join(f"'{c}'" for c in CONFIDENCE)
+    problems.append(
+        f"CASE WHEN {out.kind(confidence)} <> '{sj.STRING}' OR {out.raw(confidence)} NOT IN ({choices}) "
+        f"THEN concat('confidence must be one of {'|'.join(CONFIDENCE)}, got ', {got(confidence)}) END")
     for name in lists:
         kind, raw = out.kind(name), out.raw(name)
-        length = F.when(sj.is_array(kind), F.size(F.from_json(raw, "array<string>"))).when(
-            kind == sj.STRING, F.length(raw))
-        fine = F.coalesce(sj.is_array(kind) & (length == LIST_LENGTH), F.lit(False))
-        problems.append(F.when(~fine, F.concat(
-            F.lit(f"{name} must be an array of length {LIST_LENGTH}, got length "),
-            F.coalesce(length.cast("string"), F.lit("undefined")))))
-    absent = F.array_compact(F.array(*missing))
-    errors = (
-        F.when(~out.is_object(), F.array(F.lit("reply is not a JSON object")))
-        .when(F.size(absent) > 0, absent)
-        .otherwise(F.array_compact(F.array(*problems)))
+        length = (f"CASE WHEN {sj.is_array(kind)} THEN size(from_json({raw}, 'array<string>')) "
+                  f"WHEN {kind} = '{sj.STRING}' THEN length({raw}) END")
+        problems.append(
+            f"CASE WHEN NOT {sj.is_array(kind)} OR ({length}) <> {LIST_LENGTH} "
+            f"THEN concat('{name} must be an array of length {LIST_LENGTH}, got length ', "
+            f"coalesce(CAST({length} AS STRING), 'undefined')) END")
+    absent = f"array_compact(array({', '.join(missing)}))"
+    return out.attach(replies).selectExpr(
+        *replies.columns,
+        f"""CASE WHEN NOT {out.is_object()} THEN array('reply is not a JSON object')
+            WHEN size({absent}) > 0 THEN {absent}
+            ELSE array_compact(array({', '.join(problems)})) END AS errors""",
     )
-    return out.attach(replies).select(*replies.columns, errors.alias("errors"))

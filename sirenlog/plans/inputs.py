@@ -163,7 +163,7 @@ def artifact_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         o.alias("upload_id"),
         F.when(o % 19 == 4, None).when(o % 17 == 3, "").otherwise(_text("inc-", F.col("user_id"))).alias("incident_id"),
-        F.when(o % 23 != 5, _text(F.col("event_type"), " \t", k, "﻿  dump.log")).alias("original_name"),
+        F.when(o % 23 != 5, _text(F.col("event_type"), " \t", k, "\ufeff  dump.log")).alias("original_name"),
         F.when(o % 5 == 1, None).when(o % 5 == 2, "").otherwise("text/plain").alias("mime_type"),
         F.round(F.col("value") * 100000).cast("bigint").alias("size"),
         F.date_trunc("MILLISECOND", F.col("ts").cast("timestamp")).alias("received_at"),

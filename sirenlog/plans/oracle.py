@@ -250,12 +250,11 @@ def _validation(shape: str) -> str:
             f"ELSE 'undefined' END END")
     return f"""WITH {_replies(shape)}, checked AS (
   SELECT request_id, decoded,
-    list_filter([{missing}], x -> x IS NOT NULL) AS missing,
-    list_filter([{', '.join(checks)}], x -> x IS NOT NULL) AS problems
+    concat_ws('; ', {missing}) AS missing,
+    concat_ws('; ', {', '.join(checks)}) AS problems
   FROM replies)
 SELECT request_id, CASE WHEN NOT decoded THEN 'reply is not a JSON object'
-  WHEN len(missing) > 0 THEN array_to_string(missing, '; ')
-  ELSE array_to_string(problems, '; ') END AS errors
+  WHEN missing <> '' THEN missing ELSE problems END AS errors
 FROM checked"""
 
 
@@ -406,7 +405,7 @@ SELECT true AS ok, incident_id AS "incidentId", {_DECODED} FROM replies WHERE de
 judged AS (
   SELECT *, CASE WHEN size > 10485760 THEN 'File too large' WHEN coalesce(inc, '') = '' THEN 'incidentId is required'
     WHEN name IS NULL THEN 'file is required' END AS error,
-    inc || '/' || epoch_ms(ts) || '-' || regexp_replace(name, '{_SPACES}', '-', 'g') AS object_key
+    inc || '/' || (epoch_us(ts) // 1000) || '-' || regexp_replace(name, '{_SPACES}', '-', 'g') AS object_key
   FROM intake)
 SELECT o AS upload_id, error IS NULL AS ok, error,
   CASE WHEN error IS NULL THEN object_key END AS object_key,
