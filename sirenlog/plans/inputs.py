@@ -22,6 +22,7 @@ from sirenlog.operators.projections import (
 from sirenlog.operators.routing import CONSUMER_GROUP, first_deliveries
 from sirenlog.session import configure
 from sirenlog.sources.derived_log import log_from_events, read_events
+from sirenlog.sources.event_log import spread
 
 FIXED_TIME = "2026-01-01T00:00:00.000Z"
 
@@ -31,7 +32,11 @@ def fixed_time() -> Column:
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_from_events(read_events(configure(spark), sf_dir))
+    return log_from_events(_events(spark, sf_dir))
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_events(configure(spark), sf_dir), "event_id")
 
 
 def parsed_log(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
@@ -88,7 +93,7 @@ def summary_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary_replies(spark: SparkSession, sf_dir: str, shape: str = "summary") -> DataFrame:
     """One reply per event, sound or broken in one of eleven ways."""
-    events = read_events(configure(spark), sf_dir)
+    events = _events(spark, sf_dir)
     o = F.col("event_id")
     k = F.get_json_object("props", "$.k")
     camel = shape == "graphql"
@@ -129,7 +134,7 @@ def summary_replies(spark: SparkSession, sf_dir: str, shape: str = "summary") ->
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One submission body per event, with empty, falsy, null, absent and mistyped fields."""
-    events = read_events(configure(spark), sf_dir)
+    events = _events(spark, sf_dir)
     o = F.col("event_id")
     k = F.get_json_object("props", "$.k")
     body = F.concat(

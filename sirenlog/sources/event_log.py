@@ -13,6 +13,16 @@ def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(ENVELOPE).load(path)
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread an input that has fewer splits than the session has cores.
+
+    Parsing is the costly stage, and one small file is one task.  Inputs with
+    enough splits, so all large ones, are left as they are and not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+
+
 def stream_log(
     spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None
 ) -> DataFrame:
