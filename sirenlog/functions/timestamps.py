@@ -30,4 +30,4 @@ def parse_iso(text: str) -> str:
     return f"""CASE
         WHEN translate({text}, '123456789', '000000000') = '{USUAL_SHAPE}' THEN try_cast({text} AS TIMESTAMP)
         WHEN {text} RLIKE r'{ISO_PATTERN}' THEN date_trunc('MILLISECOND',
-            try_cast(regexp_replace({text}, r'(T\d{{2}}:\d{{2}})($|Z|[+-])', '$1:00$2') AS TIMESTAMP)) END"""
+            try_cast(regexp_replace({text}, r'(T\\d{{2}}:\\d{{2}})($|Z|[+-])', '$1:00$2') AS TIMESTAMP)) END"""
