@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sirenlog.functions.strict_json import evaluated_once
 from sirenlog.functions.text import percent_decode
 from sirenlog.functions.timestamps import iso_millis
 
@@ -107,7 +108,11 @@ def stored_lookup(lookups: DataFrame, artifacts: DataFrame, path: str = "path")
         F.col("object_key").alias("objectKey"), "bucket",
         F.col("artifact_id").alias("artifactId"), F.col("incident_id").alias("incidentId"),
     )
-    return lookups.withColumn("objectKey", percent_decode(F.col(path))).join(stored, "objectKey", "left")
+    decoded = evaluated_once(lookups.withColumn("objectKey", percent_decode(F.col(path))))
+    # Malformed paths have no key to join on; left in, they would all meet in one task.
+    found = decoded.filter(F.col("objectKey").isNotNull()).join(stored, "objectKey", "left")
+    malformed = decoded.filter(F.col("objectKey").isNull())
+    return found.unionByName(malformed, allowMissingColumns=True)
 
 
 def contract_violations(view: DataFrame, name: str, key: str, contract: tuple[Sequence[str], Sequence[str]]) -> DataFrame:
