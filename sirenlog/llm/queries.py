@@ -45,8 +45,9 @@ def op3_secret_ledger(spark, sf_dir):
 
 
 _SPLIT = """
-  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, m, v, pieces,
-         generate_subscripts(m, 1) AS i
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, generate_subscripts(m, 1) AS i,
+         unnest(list_transform(pieces[1:len(m)], lambda x: length(x))) AS gap,
+         unnest(list_transform(m, lambda x: length(x))) AS width, unnest(list_transform(v, lambda x: length(x))) AS n
   FROM (SELECT doc_id, string_split_regex(t, '{split}') AS pieces, regexp_extract_all(t, '{pattern}', 0) AS m,
                regexp_extract_all(t, '{pattern}', {group}) AS v FROM d)"""
 _ASSIGN = """(?i)(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -55,8 +56,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({" UNION ALL ".join(_SPLIT.format(kind=k, rank=r, split=p, pattern=p, group=g) for k, r, p, g in (
     ("assign", 0, _ASSIGN, 2), ("access", 1, "AKIA[A-Z0-9]+", 0), ("hex", 2, "[0-9a-f]+", 0)))}),
 ends AS (
-  SELECT doc_id, kind, rank, length(m[i]) AS width, length(v[i]) AS n,
-         sum(length(pieces[i]) + length(m[i])) OVER (PARTITION BY doc_id, kind ORDER BY i) AS e FROM found),
+  SELECT doc_id, kind, rank, width, n, sum(gap + width) OVER (PARTITION BY doc_id, kind ORDER BY i) AS e FROM found),
 fits AS (
   SELECT * FROM ends WHERE n >= CASE kind WHEN 'assign' THEN 6 WHEN 'access' THEN 20 ELSE 24 END),
 spans AS (
@@ -102,3 +102,26 @@ def op7_length_buckets(spark, sf_dir):
 
     lengths = materialize(word_lengths(_table(spark, sf_dir, "documents")), "lengths")
     return pack(lengths, "n_words", ["doc_id", "digest"]).drop("digest")
+
+
+@_query
+def op9_bpe_prefixes(spark, sf_dir):
+    from sirenlog.llm.bpe import encode_digests
+
+    return encode_digests(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@_query
+def op10_language_centroids(spark, sf_dir):
+    from sirenlog.llm import language as g
+
+    documents = _table(spark, sf_dir, "documents")
+    model = g.fit(documents, ~g.held_out())
+    return g.predict(documents.withColumn("held_out", g.held_out()), model, keep=["doc_id", "held_out"])
+
+
+@_query
+def op8_chunk_fingerprints(spark, sf_dir):
+    from sirenlog.llm import chunks as c
+
+    return c.map_neighbours(_table(spark, sf_dir, "documents"), "doc_id", "text", c.compare_with_next, c.EDITED)
