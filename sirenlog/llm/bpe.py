@@ -187,13 +187,20 @@ class WordBpe:
 
     def words(self, text: str) -> list[str]:
         """What the tokenizer's normaliser and splitter make of a text without special tokens."""
-        if _PLAIN.fullmatch(text):
-            return _WORDS.findall(text.lower())
+        plain = self.plain_words(text)
+        if plain is not None:
+            return plain
         clean = self.library.normalizer.normalize_str(text)
         letters = byte_letters()
         return [bytes(letters[c] for c in piece).decode("utf-8", "surrogateescape")
                 for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(clean)]
 
+    def plain_words(self, text: str) -> list[str] | None:
+        """The words of a text that takes the short way, else None."""
+        if not _PLAIN.fullmatch(text) or "<|" in text and self._special.search(text):
+            return None
+        return _WORDS.findall(text.lower())
+
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
         for special, words in self.pieces(text):

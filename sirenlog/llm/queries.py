@@ -125,3 +125,12 @@ def op8_chunk_fingerprints(spark, sf_dir):
     from sirenlog.llm import chunks as c
 
     return c.map_neighbours(_table(spark, sf_dir, "documents"), "doc_id", "text", c.compare_with_next, c.EDITED)
+
+
+@_query
+def op6_token_shards(spark, sf_dir):
+    from sirenlog.llm import token_shards as t
+
+    folder = new_folder(spark, "token-shards")
+    t.write_shards(_table(spark, sf_dir, "documents"), folder)
+    return t.read_documents(spark, folder)
