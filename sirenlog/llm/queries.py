@@ -134,3 +134,10 @@ def op6_token_shards(spark, sf_dir):
     folder = new_folder(spark, "token-shards")
     t.write_shards(_table(spark, sf_dir, "documents"), folder)
     return t.read_documents(spark, folder)
+
+
+@_query
+def op4_suffix_repeats(spark, sf_dir):
+    from sirenlog.llm.repeats import removal_digests
+
+    return removal_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
