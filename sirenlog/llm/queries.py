@@ -141,3 +141,77 @@ def op4_suffix_repeats(spark, sf_dir):
     from sirenlog.llm.repeats import removal_digests
 
     return removal_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+TOOLS = ("search", "translate", "count")
+TOOL_SCHEMA = {
+    "type": "object", "required": ["limit", "query"], "additionalProperties": False,
+    "properties": {"limit": {"type": "integer", "minimum": 0, "maximum": 40},
+                   "query": {"type": "string", "minLength": 1}, "after": {"type": "object"}},
+}
+
+
+def derived_calls(spark, sf_dir):
+    """Calls and results read into the conversations: an assistant's turn calls, the user's next turn answers.
+
+    Calls refer to the call two turns before, in every third conversation to
+    the one two turns later.
+    """
+    turns = _table(spark, sf_dir, "conversations")
+    call_id = lambda turn: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), turn.cast("string"))
+    turn, back = F.col("turn"), F.col("conv_id") % 3 == 0
+    after = F.when(back, call_id(turn + 2)).when(turn >= 3, call_id(turn - 2))
+    arguments = F.to_json(F.struct(
+        F.col("text").alias("query"), (F.char_length("text") % 50).alias("limit"),
+        F.when(after.isNotNull(), F.struct(after.alias("$ref"))).alias("after")))
+    calls = turns.filter("role = 'assistant'").select(
+        "conv_id", "turn", F.lit(0).alias("place"), call_id(turn).alias("call_id"),
+        F.element_at(F.array(*map(F.lit, TOOLS)), (turn % 3 + 1).cast("int")).alias("name"),
+        arguments.alias("arguments"))
+    results = turns.filter("role = 'user' AND turn > 0").select(
+        "conv_id", "turn", call_id(turn - 1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+@_query
+def op1_tool_call_links(spark, sf_dir):
+    from sirenlog.llm.tool_calls import link_calls
+
+    calls, results = derived_calls(spark, sf_dir)
+    linked = link_calls(calls, results, {name: TOOL_SCHEMA for name in TOOLS})
+    return linked.withColumn("errors", F.array_join("errors", "; ")).drop("place")
+
+
+_ORACLES["op1_tool_call_links"] = """
+WITH calls AS (
+  SELECT conv_id, turn, text, concat('call_', conv_id, '_', turn) AS call_id,
+         CASE turn % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'translate' ELSE 'count' END AS name,
+         CASE WHEN conv_id % 3 = 0 THEN concat('call_', conv_id, '_', turn + 2)
+              WHEN turn >= 3 THEN concat('call_', conv_id, '_', turn - 2) END AS ref
+  FROM conversations WHERE role = 'assistant'),
+results AS (
+  SELECT conv_id, turn, text, concat('call_', conv_id, '_', turn - 1) AS call_id
+  FROM conversations WHERE role = 'user' AND turn > 0),
+islands AS (
+  SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM calls),
+levels AS (
+  SELECT *, CASE WHEN conv_id % 3 = 0
+      THEN row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn DESC)
+      ELSE row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) END - 1 AS level FROM islands),
+linked AS (
+  SELECT l.conv_id, l.call_id, l.turn, l.name, CAST(l.level AS INTEGER) AS level,
+         CASE WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+         concat_ws('; ', CASE WHEN length(l.text) % 50 > 40 THEN '$.limit: too large' END,
+                   CASE WHEN length(l.text) = 0 THEN '$.query: too short' END,
+                   CASE WHEN l.ref IS NOT NULL AND c.call_id IS NULL THEN concat('no call ', l.ref) END) AS errors,
+         concat('{"call":{"arguments":{', CASE WHEN l.ref IS NOT NULL THEN concat('"after":{"$ref":"', l.ref, '"},') END,
+                '"limit":', length(l.text) % 50, ',"query":', to_json(l.text), '},"id":"', l.call_id, '","name":"',
+                l.name, '"}', CASE WHEN r.call_id IS NOT NULL THEN
+                concat(',"result":{"content":', to_json(r.text), ',"id":"', l.call_id, '"}') END, '}') AS message
+  FROM levels l LEFT JOIN results r ON l.call_id = r.call_id LEFT JOIN calls c ON l.ref = c.call_id)
+SELECT * FROM linked
+UNION ALL
+SELECT r.conv_id, r.call_id, r.turn, NULL, NULL, 'orphan_result', '',
+       concat('{"result":{"content":', to_json(r.text), ',"id":"', r.call_id, '"}}')
+FROM results r LEFT JOIN calls c ON r.call_id = c.call_id WHERE c.call_id IS NULL
+"""

@@ -139,8 +139,11 @@ def by_blob(findings: DataFrame, rules=RULES) -> DataFrame:
     ranks = {r.key: i for i, r in enumerate(rules)}
     kinds = F.create_map(*[x for r in rules for x in (F.lit(r.key), F.lit(r.kind))])
     rank = F.create_map(*[x for k, i in ranks.items() for x in (F.lit(k), F.lit(i))])
-    spans = F.array_sort(F.collect_list(F.struct(
-        "start", rank[F.col("rule")].alias("rank"), "end", kinds[F.col("rule")].alias("kind"))))
+    # ``prior`` is where the spans before reach to, so that a text can be cut without walking back.
+    findings = findings.withColumn("rank", rank[F.col("rule")]).withColumn("prior", F.coalesce(F.max("end").over(
+        Window.partitionBy("blob_id").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0).cast("bigint")))
+    spans = F.array_sort(F.collect_list(F.struct("start", "rank", "end", kinds[F.col("rule")].alias("kind"), "prior")))
     counts = [F.count(F.when(F.col("rule") == r.key, 1)).alias(f"n_{r.kind}") for r in rules]
     return findings.groupBy("blob_id").agg(*counts, spans.alias("found"))
 
@@ -149,7 +152,7 @@ def scan_documents(documents: DataFrame, ledger: BlobLedger, text: str = "text",
     """Every row of the input with its blob id, the counts per kind and the spans.
 
     Adds ``blob_id``, ``n_<kind>`` for each rule, ``found`` (array of start,
-    rank, end, kind).  Call again with the same ledger to scan only new blobs.
+    rank, end, kind, prior).  Call again with the same ledger to scan only new blobs.
     """
     ledger.scan(documents, text, rules)
     return _with_findings(documents.withColumn("blob_id", blob_id(F.col(text))), ledger, rules)
@@ -158,7 +161,7 @@ def scan_documents(documents: DataFrame, ledger: BlobLedger, text: str = "text",
 def _with_findings(documents: DataFrame, ledger: BlobLedger, rules) -> DataFrame:
     added = [f"n_{r.kind}" for r in rules] + ["found"]
     joined = documents.drop(*added).join(by_blob(ledger.findings(rules), rules), "blob_id", "left")
-    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
+    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,prior:bigint>>")
     return joined.withColumns({name: F.coalesce(name, F.lit(0).cast("bigint")) for name in added[:-1]}
                               | {"found": F.coalesce("found", none)})
 
@@ -171,15 +174,12 @@ def span_text(found: Column) -> Column:
 
 def redacted(text: Column, found: Column) -> Column:
     """The text with every found span replaced; overlapping spans give one replacement."""
-    # The running end of the spans before each one, so that only gaps are copied.
-    state = F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast("array<string>").alias("parts"))
-    folded = F.aggregate(found, state, lambda a, s: F.struct(
-        F.greatest(a["end"], s["end"]).alias("end"),
-        F.when((s["start"] >= a["end"]), F.concat(a["parts"], F.array(F.substr(
-            text, (a["end"] + 1).cast("int"), (s["start"] - a["end"]).cast("int"))))).otherwise(
-                a["parts"]).alias("parts")))
-    return F.concat(F.array_join(folded["parts"], REDACTED), F.lit(REDACTED),
-                    F.substr(text, (folded["end"] + 1).cast("int"), F.char_length(text)))
+    last = F.element_at(found, -1)
+    end = F.greatest(last["end"], last["prior"])
+    gaps = F.transform(F.filter(found, lambda s: s["start"] >= s["prior"]), lambda s: F.substr(
+        text, (s["prior"] + 1).cast("int"), (s["start"] - s["prior"]).cast("int")))
+    return F.concat(F.array_join(gaps, REDACTED), F.lit(REDACTED),
+                    F.substr(text, (end + 1).cast("int"), F.char_length(text)))
 
 
 def redact_documents(documents: DataFrame, ledger: BlobLedger, text: str = "text", rules=RULES) -> DataFrame:
