@@ -230,7 +230,7 @@ def encode_digests(documents: DataFrame, text: str = "text", keep: list[str] | N
 
     added = ["n_tokens", "ids_sha256", "decoded_sha256"]
     names = [c for c in (documents.columns if keep is None else keep) if c not in added]
-    source = documents.select(*names, documents[text].alias("_text"))
+    source = documents.select(*names, documents[text].alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
@@ -241,7 +241,7 @@ def encode_digests(documents: DataFrame, text: str = "text", keep: list[str] | N
         known = _CACHES.setdefault((path, "digests"), Words(lambda word: told(bpe.encode_word(word))))
         for batch in batches:
             rows: list[tuple[int, str, str]] = []
-            for value in batch.column("_text"):
+            for value in batch.column("__text"):
                 parts: list[tuple[int, bytes, bytes]] = []
                 for special, words in bpe.pieces(value.as_py() or ""):
                     parts.extend([told([bpe.special[words[0]]])] if special else map(known.__getitem__, words))

@@ -117,8 +117,8 @@ def map_neighbours(documents: DataFrame, key: str, text: str, function: Callable
     """``key`` and ``function(text, next text)`` of every row; after the last row comes the first."""
     spark = documents.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = documents.select(F.col(key), F.coalesce(text, F.lit("")).alias("_text")).withColumn(
-        "_tie", F.xxhash64("_text"))
+    source = documents.select(F.col(key), F.coalesce(text, F.lit("")).alias("__text")).withColumn(
+        "_tie", F.xxhash64("__text"))
     ordered = source.repartitionByRange(n, key, "_tie").sortWithinPartitions(key, "_tie")
     schema = T.StructType([source.schema[key], *result.fields])
     kind = source.schema[key]
@@ -197,13 +197,13 @@ def compare_with_next(text: str, following: str) -> tuple:
 def fingerprints(documents: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default all) and the ``fingerprint`` of each text."""
     names = [c for c in (documents.columns if keep is None else keep) if c != "fingerprint"]
-    source = documents.select(*names, F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
+    source = documents.select(*names, F.coalesce(text, F.lit("")).cast("binary").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names]
-                + [pa.array([as_text(chunk_set(x.as_py())) for x in batch.column("_text")], pa.string())],
+                + [pa.array([as_text(chunk_set(x.as_py())) for x in batch.column("__text")], pa.string())],
                 [*names, "fingerprint"])
 
     return source.mapInArrow(run, T.StructType([source.schema[n] for n in names] + [

@@ -133,15 +133,15 @@ def fit(documents: DataFrame, training: Column, text: str = "text", lang: str =
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = 0, np.zeros(DIMENSIONS, np.int64)
-        for batch in _parts(batches, "_text"):
-            table, lettered = counts(_texts(batch, "_text"))
+        for batch in _parts(batches, "__text"):
+            table, lettered = counts(_texts(batch, "__text"))
             seen += (table > 0).sum(0)
             total += int(lettered.sum())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(-1, DIMENSIONS), pa.int32()), pa.array(np.concatenate([[total], seen]))],
             ["dimension", "n"])
 
-    found = known.select(F.col(text).alias("_text")).mapInArrow(frequency, "dimension int, n long").groupBy(
+    found = known.select(F.col(text).alias("__text")).mapInArrow(frequency, "dimension int, n long").groupBy(
         "dimension").agg(F.sum("n").alias("n")).toPandas()
     seen = np.zeros(DIMENSIONS + 1, np.int64)
     seen[found["dimension"] + 1] = found["n"]
@@ -151,10 +151,10 @@ def fit(documents: DataFrame, training: Column, text: str = "text", lang: str =
     chosen = known.select(key, lang, F.xxhash64(key).alias("_hash")).withColumn("_at", F.row_number().over(order)).filter(
         F.col("_at") <= PER_LANGUAGE).select(key, F.col(lang).alias("_lang"))
     # At most PER_LANGUAGE ids a language.
-    sample = known.join(F.broadcast(chosen), key).select("_lang", F.col(text).alias("_text"))
+    sample = known.join(F.broadcast(chosen), key).select("_lang", F.col(text).alias("__text"))
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        tables = [counts([x or "" for x in group["_text"][i:i + ROWS]]) for i in range(0, len(group), ROWS)]
+        tables = [counts([x or "" for x in group["__text"][i:i + ROWS]]) for i in range(0, len(group), ROWS)]
         points = np.concatenate([vectors(t, idf)[has] for t, has in tables])
         if not len(points):
             return pd.DataFrame({"lang": [], "centroid": [], "limit": []})
@@ -175,12 +175,12 @@ def predict(documents: DataFrame, model: Model, text: str = "text", keep: list[s
     """The columns ``keep`` (default all) with ``lang_pred``, ``score`` (cosine) and ``rejected``."""
     added = ["lang_pred", "score", "rejected"]
     names = [c for c in (documents.columns if keep is None else keep) if c not in added]
-    source = documents.select(*names, F.col(text).alias("_text"))
+    source = documents.select(*names, F.col(text).alias("__text"))
     languages = np.array([*model.languages, UNKNOWN], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches, "_text"):
-            table, lettered = counts(_texts(batch, "_text"))
+        for batch in _parts(batches, "__text"):
+            table, lettered = counts(_texts(batch, "__text"))
             if len(model.languages):
                 cosine = vectors(table, model.idf) @ model.centroids.T
                 best = np.argmax(cosine, 1)

@@ -92,5 +92,5 @@ def pack(rows: DataFrame, length: str, keys: list[str], buckets: int = 16, budge
         "chunk", F.pmod(F.xxhash64(*keys), pick([-(-n // CHUNK_ROWS) for n in held])))
     place = F.row_number().over(Window.partitionBy("bucket", "chunk").orderBy(*keys)) - 1
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("bucket_length", F.lit(1)))).cast("bigint")
-    return dealt.withColumn("_at", place.cast("bigint")).withColumns({
-        "batch": F.floor(F.col("_at") / per_batch), "place": F.col("_at") % per_batch}).drop("_at")
+    return dealt.withColumn("__at", place.cast("bigint")).withColumns({
+        "batch": F.floor(F.col("__at") / per_batch), "place": F.col("__at") % per_batch}).drop("__at")

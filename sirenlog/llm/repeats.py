@@ -256,11 +256,10 @@ def repeated_ranges(documents: DataFrame, text: str = "text", key: str = "doc_id
 
 
 def _with_ranges(documents: DataFrame, ranges: DataFrame, text: str, key: str) -> DataFrame:
-    """All rows with ``_ranges`` (null where nothing is removed)."""
-    named = ranges.withColumnsRenamed({"_key": "_k", "_digest": "_d", "ranges": "_ranges"})
-    marked = documents.withColumn("_hash", F.xxhash64(text))
-    return marked.join(named, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_d")), "left").drop(
-        "_k", "_d", "_hash")
+    """``row`` (all columns) and ``ranges`` (null where nothing is removed)."""
+    rows = documents.select(F.struct("*").alias("row"), F.col(key).alias("_k"), F.xxhash64(text).alias("_d"))
+    return rows.join(ranges, F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_d") == F.col("_digest")), "left").select(
+        "row", "ranges")
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -283,12 +282,12 @@ def without(data: bytes, ranges: list[tuple[int, int]]) -> bytes:
 
 
 def _rows(batch: pa.RecordBatch, text: str) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
-    lists = batch.column("_ranges")
+    lists = batch.column("ranges")
     flat = lists.flatten()
     start, end = (x.to_numpy().tolist() for x in flat.flatten()) if len(flat) else ([], [])
     at = 0
     sizes = [0 if n is None else n for n in pc.list_value_length(lists).to_pylist()]
-    for value, n in zip(batch.column(text), sizes):
+    for value, n in zip(batch.column("row").field(text), sizes):
         raw = value.as_py()
         raw = raw.encode("utf-8") if isinstance(raw, str) else raw or b""
         yield raw, merged(list(zip(start[at:at + n], end[at:at + n])))
@@ -306,7 +305,7 @@ def removal_digests(documents: DataFrame, text: str = "text", key: str = "doc_id
                    for raw, spans in _rows(batch, text)]
             columns = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())],
+                [batch.column("row").field(key), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())],
                 [key, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return joined.mapInArrow(run, T.StructType([documents.schema[key]] + [
@@ -342,8 +341,8 @@ def remove_later_copies(documents: DataFrame, text: str = "text", key: str = "do
             texts = [raw if not spans else without(raw, whole_characters(raw, spans))
                      for raw, spans in _rows(batch, text)]
             kept = pa.array(texts, pa.binary()).cast(pa.string())
-            null = batch.column(text).is_null()
-            kept = pc.if_else(null, pa.scalar(None, pa.string()), kept)
-            yield pa.RecordBatch.from_arrays([kept if c == text else batch.column(c) for c in columns], columns)
+            row = batch.column("row")
+            kept = pc.if_else(row.field(text).is_null(), pa.scalar(None, pa.string()), kept)
+            yield pa.RecordBatch.from_arrays([kept if c == text else row.field(c) for c in columns], columns)
 
     return joined.mapInArrow(run, documents.schema)

@@ -184,8 +184,7 @@ def redacted(text: Column, found: Column) -> Column:
 
 def redact_documents(documents: DataFrame, ledger: BlobLedger, text: str = "text", rules=RULES) -> DataFrame:
     """All rows and columns of the input; texts with findings have them replaced, others are unchanged."""
-    columns = documents.columns
-    scanned = scan_documents(documents, ledger, text, rules)
-    return scanned.withColumn(
-        text, F.when(F.size("found") > 0, redacted(F.col(text), F.col("found"))).otherwise(F.col(text))
-    ).select(*columns)
+    rows = documents.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    scanned = scan_documents(rows, ledger, "text", rules)
+    changed = F.when(F.size("found") > 0, redacted(F.col("text"), F.col("found"))).otherwise(F.col("text"))
+    return scanned.select(*[changed.alias(c) if c == text else F.col("row")[c].alias(c) for c in documents.columns])

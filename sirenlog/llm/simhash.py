@@ -64,11 +64,11 @@ def fingerprint(text: bytes) -> int:
 def fingerprints(documents: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default all) and ``fingerprint`` as a signed long."""
     names = [c for c in (documents.columns if keep is None else keep) if c != "fingerprint"]
-    source = documents.select(*names, F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
+    source = documents.select(*names, F.coalesce(text, F.lit("")).cast("binary").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(x.as_py()) for x in batch.column("_text")), np.uint64, batch.num_rows)
+            found = np.fromiter((fingerprint(x.as_py()) for x in batch.column("__text")), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + [pa.array(found.view(np.int64))], [*names, "fingerprint"])
 
@@ -247,17 +247,16 @@ def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", radi
     Rows that repeat the smallest key are told apart by their fingerprint and a
     hash of the text; of wholly equal rows one stays.
     """
-    columns = documents.columns
-    prints = materialize(fingerprints(documents.select(key, text, F.xxhash64(text).alias("_digest")), text,
-                                      [key, "_digest"]), "simhash-prints")
-    grouped = near_copy_groups(prints, key, radius)
-    # Only candidates for keeping, one per component, are joined back to the texts.
-    first = grouped.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min(F.struct("fingerprint", F.col("_digest"))).alias("f")).select(
-            F.col("component_id").alias("_key"), F.col("f._digest").alias("_mark"))
-    marked = documents.withColumn("_hash", F.xxhash64(text))
-    kept = marked.join(first, marked[key].eqNullSafe(first["_key"]) & marked["_hash"].eqNullSafe(first["_mark"]),
-                       "left_semi")
-    # Equal rows share a key and a hash; the group limit is applied before any further exchange.
-    order = Window.partitionBy(key, "_hash").orderBy(key)
-    return kept.withColumn("_at", F.row_number().over(order)).filter("_at = 1").select(*columns)
+    prints = materialize(fingerprints(documents.select(
+        F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")), "text",
+        ["key", "mark"]), "simhash-prints")
+    grouped = near_copy_groups(prints, "key", radius)
+    # Only what is kept, one row per component, meets the texts again.
+    first = grouped.filter(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
+        F.min(F.struct("fingerprint", "mark")).alias("f")).select(
+            F.col("component_id").alias("key"), F.col("f.mark").alias("mark"))
+    rows = documents.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
+    kept = rows.join(first, rows["key"].eqNullSafe(first["key"]) & (rows["mark"] == first["mark"]), "left_semi")
+    # Equal rows share a key and a mark; the group limit is applied before any further exchange.
+    order = Window.partitionBy("key", "mark").orderBy("key")
+    return kept.withColumn("at", F.row_number().over(order)).filter("at = 1").select("row.*")

@@ -215,8 +215,8 @@ def write_shards(documents: DataFrame, folder: str, text: str = "text", key: str
     """Encode, order by the key, compress and write."""
     spark = documents.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = documents.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text")).withColumn(
-        "_tie", F.xxhash64("_text"))
+    source = documents.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("__text")).withColumn(
+        "_tie", F.xxhash64("__text"))
     ordered = source.repartitionByRange(n, "_key", "_tie").sortWithinPartitions("_key", "_tie")
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -244,7 +244,7 @@ def write_shards(documents: DataFrame, folder: str, text: str = "text", key: str
             return pa.RecordBatch.from_arrays(row, schema.names)
 
         for batch in batches:
-            for i, value in enumerate(batch.column("_text")):
+            for i, value in enumerate(batch.column("__text")):
                 coded = encode(value.as_py()) + end
                 if held and held + len(coded) // 4 > BLOCK:
                     yield closed()
