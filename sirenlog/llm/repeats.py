@@ -10,8 +10,8 @@
 3. Suffixes.  Where an anchor has different runs, one of each is cut from its
    text; shards of such runs get a suffix order and their longest previous
    factors (for the first mode) or previous and next ones (for the other).  An
-   anchor with more than HOT different runs is counted by the hashes of its
-   windows instead, which may be spread over tasks.
+   anchor with more than HOT different runs is counted by hashes of pieces of
+   its runs and of single windows instead, which may be spread over tasks.
 4. The windows found become byte ranges, which are joined back to the texts.
 
 ``keep="first"`` removes windows that occur earlier, in the order of (key, a
@@ -46,6 +46,7 @@ SPAN = LENGTH - GRAM + 1     # grams of a window
 SLICE = 1 << 21
 SHARD = 1 << 20              # bytes of a suffix order
 HOT = 2048                   # different runs of one anchor that one suffix order takes
+PIECE = 16                   # windows of a piece of a hot anchor's run
 _PLACE = 28                  # bits of a place in a slice
 
 
@@ -133,24 +134,56 @@ def _cut_runs(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
             strings = [None if h else raw[a:b] for h, a, b in zip(
                 hot.tolist(), start.tolist(), (start + windows + LENGTH - 1).tolist())]
             every = w.Hashes(data) if hot.any() else None
-            hashed = [every.of(np.arange(a, a + n), np.arange(a, a + n) + LENGTH).view(np.int64) if h else None
-                      for h, a, n in zip(hot.tolist(), start.tolist(), windows.tolist())]
+            grams = every.windows(GRAM).view(np.int64) if hot.any() else None
+            anchor = fields["anchor"].to_numpy()
+            pieces = [_pieces(every, grams, k, a, n) if h else None
+                      for h, k, a, n in zip(hot.tolist(), anchor.tolist(), start.tolist(), windows.tolist())]
             at = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [fields["anchor"], batch.column("_key").take(at), batch.column("_digest").take(at),
-                 fields["place"], pa.array(strings, pa.binary()), pa.array(hashed, pa.list_(pa.int64()))],
-                ["anchor", "_key", "_digest", "place", "content", "hashes"])
+                 fields["place"], pa.array(strings, pa.binary()), pa.array(pieces, _PIECES)],
+                ["anchor", "_key", "_digest", "place", "content", "pieces"])
 
     return joined.mapInArrow(run, T.StructType([
         T.StructField("anchor", T.LongType()), kind, T.StructField("_digest", T.LongType()),
         T.StructField("place", T.IntegerType()), T.StructField("content", T.BinaryType()),
-        T.StructField("hashes", T.ArrayType(T.LongType()))]))
+        T.StructField("pieces", T.ArrayType(T.StructType([
+            T.StructField("at", T.IntegerType()), T.StructField("core", T.LongType()),
+            T.StructField("same", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])))]))
+
+
+_PIECES = pa.list_(pa.struct([("at", pa.int32()), ("core", pa.int64()), ("same", pa.int64()),
+                              ("hashes", pa.list_(pa.int64()))]))
+
+
+def _pieces(every: w.Hashes, grams: np.ndarray, anchor: int, start: int, windows: int) -> list[dict]:
+    """The windows of a run in groups of PIECE by their distance from the anchor.
+
+    All windows of such a group share a core of bytes, at the same distances,
+    whatever run they are in.  Gives the group's first window, the hashes of
+    its core and of its whole content, and those of its windows.
+    """
+    low = start + windows - 1
+    place = low + int(np.flatnonzero(grams[low:start + SPAN] == anchor)[0])
+    first = np.arange(start, start + windows)
+    hashes = every.of(first, first + LENGTH).view(np.int64)
+    group = (place - first) // PIECE
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), windows]
+    out = []
+    for a, b in zip(edges, edges[1:]):
+        near = place - int(group[a]) * PIECE
+        ends = np.array([near, start + a]), np.array([near - PIECE + 1 + LENGTH, start + b - 1 + LENGTH])
+        core, content = every.of(*ends)
+        salt = np.array([int(group[a]), place - start - a], np.uint64)
+        core, same = w.mix(np.array([core, content]) + salt * w.BASE).view(np.int64).tolist()
+        out.append({"at": a, "core": core, "same": same, "hashes": hashes[a:b].tolist()})
+    return out
 
 
 def _by_suffixes(cut: DataFrame, keep: str) -> DataFrame:
     """Ranges of repeated windows within the runs, by suffix order."""
     order = ["anchor", "_key", "_digest", "place"]
-    dealt = cut.filter("content IS NOT NULL").drop("hashes").repartition("anchor").sortWithinPartitions(*order)
+    dealt = cut.filter("content IS NOT NULL").drop("pieces").repartition("anchor").sortWithinPartitions(*order)
     kind = cut.schema["_key"]
 
     def judge(rows: pa.Table) -> pa.RecordBatch:
@@ -218,16 +251,25 @@ def _sizes(contents: pa.Array) -> np.ndarray:
 
 
 def _by_counting(cut: DataFrame, keep: str) -> DataFrame:
-    """The same for hot anchors: windows as rows, counted by hash."""
-    windows = cut.filter("hashes IS NOT NULL").select(
-        "anchor", "_key", "_digest", "place", F.posexplode("hashes").alias("at", "hash")).select(
-            "anchor", "hash", "_key", "_digest", (F.col("place") + F.col("at")).alias("start")).distinct()
-    seen = windows.groupBy("anchor", "hash").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("_key", "_digest", "start")).alias("first")).filter("n > 1")
-    met = windows.join(seen, ["anchor", "hash"])
+    """The same for hot anchors, by counting: pieces first, single windows where pieces with one core differ."""
+    key = F.struct("_key", "_digest", "start")
+    pieces = cut.filter("pieces IS NOT NULL").select("anchor", "_key", "_digest", "place", F.explode("pieces").alias("p")).select(
+        "anchor", "p.core", "p.same", "p.hashes", "_key", "_digest", (F.col("place") + F.col("p.at")).alias("start"))
+    cores = pieces.groupBy("anchor", "core").agg(
+        F.count(F.lit(1)).alias("n"), F.min("same").alias("low"), F.max("same").alias("high"), F.min(key).alias("first")
+    ).filter("n > 1")
+    met = pieces.join(cores, ["anchor", "core"])
+    equal = met.filter("low = high")
+    windows = met.filter("low <> high").select(
+        "anchor", "_key", "_digest", "start", F.posexplode("hashes").alias("at", "hash")).select(
+            "anchor", "hash", "_key", "_digest", (F.col("start") + F.col("at")).alias("start"))
+    seen = windows.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")).filter("n > 1")
+    single = windows.join(seen, ["anchor", "hash"])
     if keep == "first":
-        met = met.filter(~F.struct("_key", "_digest", "start").eqNullSafe(F.col("first")))
-    return met.select("_key", "_digest", "start", (F.col("start") + LENGTH).alias("end"))
+        equal, single = (x.filter(~key.eqNullSafe(F.col("first"))) for x in (equal, single))
+    return equal.select(
+        "_key", "_digest", "start", (F.col("start") + F.size("hashes") + (LENGTH - 1)).alias("end")
+    ).unionByName(single.select("_key", "_digest", "start", (F.col("start") + LENGTH).alias("end")))
 
 
 def repeated_ranges(documents: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "none") -> DataFrame:
