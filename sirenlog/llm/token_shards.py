@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sirenlog.llm.bpe import Words, load
+from sirenlog.llm.bpe import Words, byte_letters, load
 
 END_ID = 1
 BLOCK = 1 << 20          # ids of a block; a longer document is a block of its own
@@ -196,9 +196,13 @@ class Encoder:
     def __init__(self, path: str | None):
         self.bpe = load(path)
         self.known = Words(self._word)
+        self.model = self.bpe.library.model
+        # A word is split and normalised already, so it goes to the library's model as its byte letters.
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
 
     def _word(self, word: str) -> bytes:
-        return np.array(self.bpe.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         words = self.bpe.plain_words(text)
