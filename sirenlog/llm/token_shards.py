@@ -46,13 +46,17 @@ _HEAD = np.dtype([("magic", "S4"), ("width", "<u4"), ("base", "<u4"), ("rules",
 # --- Re-Pair ----------------------------------------------------------------
 
 
-def _frequent_pairs(seq: np.ndarray) -> np.ndarray:
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    """A 20-bit hash of each pair."""
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+
+
+def _frequent_pairs(pairs: np.ndarray, slot: np.ndarray) -> np.ndarray:
     """The most frequent pairs (left << 32 | right), most frequent first; pairs of equal ids are left alone."""
-    pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
     # Only pairs whose hash is frequent can be: sorting the others is saved.
-    slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
     often = np.bincount(slot, minlength=1 << 20) >= LEAST_COUNT
-    pairs = np.sort(pairs[often[slot] & (seq[:-1] != seq[1:])])
+    pairs = pairs[often[slot]]
+    pairs = np.sort(pairs[pairs >> np.uint64(32) != pairs & np.uint64(0xFFFFFFFF)])
     if not len(pairs):
         return pairs
     first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
@@ -70,16 +74,16 @@ def compress(ids: np.ndarray, base: int) -> bytes:
     for _ in range(ROUNDS):
         if len(seq) < 2:
             break
-        chosen = _frequent_pairs(seq)
+        pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        slot = _slots(pairs)
+        chosen = _frequent_pairs(pairs, slot)
         if not len(chosen):
             break
         order = np.argsort(chosen)
         ordered = chosen[order]
-        pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        # A table of the right size first: most pairs are in none of the rules.
-        slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+        # A table of the hashes first: most pairs are in none of the rules.
         known = np.zeros(1 << 20, bool)
-        known[((ordered * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)] = True
+        known[_slots(ordered)] = True
         at = np.flatnonzero(known[slot])
         place = np.minimum(np.searchsorted(ordered, pairs[at]), len(ordered) - 1)
         fits = ordered[place] == pairs[at]
@@ -202,7 +206,7 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
-        return np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+        return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(shown)])
 
     def encode(self, text: str) -> bytes:
         words = self.bpe.plain_words(text)
