@@ -46,8 +46,11 @@ class Rule:
 RULES = (
     Rule("assign", 1,
          r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", 1, r"[0-9a-f]+", 0, 24),
+    # A match of AKIA[A-Z0-9]+ or [0-9a-f]+ reaches to the end of its run of letters, so a
+    # too short one holds no longer one: asking for the length in the pattern finds the same
+    # and spares the short runs that every word has.
+    Rule("access", 1, r"AKIA[A-Z0-9]{16,}", 0, 20),
+    Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),
 )
 SCANS = T.StructType([T.StructField("blob_id", T.StringType()), T.StructField("rules", T.ArrayType(T.StringType())),
                       T.StructField("run", T.StringType())])
