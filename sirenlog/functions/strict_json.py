@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 # What schema_of_variant() calls the JSON types.
 STRING, NULL, BOOLEAN, INTEGER = "STRING", "VOID", "BOOLEAN", "BIGINT"
 
-INTEGER_PATTERN = r"^-?\d{1,18}$"
+INTEGER_PATTERN = r"^-?\d{1,19}$"
 
 # The reader's leniencies that JSON does not have.
 _STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"

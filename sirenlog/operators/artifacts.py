@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sirenlog.functions.text import dash_whitespace, or_default
 from sirenlog.functions.timestamps import iso_millis
 from sirenlog.operators.parsing import ATTACHED
+from sirenlog.schemas import ARTIFACT_CONTENT
 
 # Fixed values.
 BUCKET = "incident-artifacts"
@@ -74,9 +76,20 @@ def artifact_content(registered: DataFrame) -> DataFrame:
     )
 
 
-def write_content(content: DataFrame, path: str) -> None:
-    """Store file contents; a content row is at most ``MAX_BYTES`` by the intake check."""
-    content.write.mode("append").parquet(path)
+def write_content(content: DataFrame, path: str, load: str) -> None:
+    """Store file contents under the name of this load; a content row is at most ``MAX_BYTES`` by the intake check.
+
+    A load that is written again replaces itself, so a retried job stores nothing twice.
+    """
+    content.write.mode("overwrite").parquet(f"{path}/load={load}")
+
+
+def read_content(spark: SparkSession, path: str) -> DataFrame:
+    """One row per object key: of several loads the last by name counts, as in a store that overwrites."""
+    rows = spark.read.schema(StructType([*ARTIFACT_CONTENT.fields, StructField("load", StringType())])).parquet(path)
+    # The winner is found by key and load alone; contents move once.
+    last = rows.groupBy("object_key").agg(F.max("load").alias("load"))
+    return rows.join(last, ["object_key", "load"]).drop("load").dropDuplicates(["object_key"])
 
 
 def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sirenlog.functions import strict_json as sj
+from sirenlog.operators.numbering import numbered, part_offsets, parts_of
 from sirenlog.operators.parsing import DEAD_ROUTES, UNREADABLE
-from sirenlog.schemas import DEAD_LETTERS
+from sirenlog.schemas import DEAD_LETTERS, ENVELOPE
 
 # Topics, attempts, the replay marker and the recorded errors.
 EVENT_TOPIC = "incident-events"
@@ -21,6 +22,8 @@ ABSENT_MESSAGE = "Cannot read properties of undefined (reading 'includes')"
 NULL_MESSAGE = "Cannot read properties of null (reading 'includes')"
 WRONG_MESSAGE = "event.message.includes is not a function"
 FORCED = "Forced failure for DLQ test"
+# Ours: where a replayed message was first read, so that its own dead letters lead back to it.
+ORIGIN_HEADER = "replayOrigin"
 # These two depend on a JSON engine and a database driver, so the words are ours.
 INVALID_JSON = "value is not valid JSON"
 WRONG_ID = "message id is missing or not a string"
@@ -90,6 +93,14 @@ def dead_letter_messages(parsed: DataFrame, failed_at: Column) -> DataFrame:
     )
 
 
+def numbered_messages(messages: DataFrame) -> DataFrame:
+    """Dead-letter messages as envelopes of a file log of their own, numbered from 0; a broker would number them."""
+    group, order = ["topic", "partition"], [F.asc("value")]
+    parts = parts_of(messages.withColumn("partition", F.lit(0)), group, order)
+    ranked = numbered(parts, part_offsets(parts, group), group, order, "rank")
+    return ranked.withColumn("offset", F.col("rank") - 1).select(*ENVELOPE.fieldNames())
+
+
 def read_dead_letters(messages: DataFrame) -> DataFrame:
     """Dead-letter messages back to table rows.
 
@@ -116,13 +127,32 @@ def read_dead_letters(messages: DataFrame) -> DataFrame:
     return sj.evaluated_once(rows, DEAD_LETTERS.fieldNames())
 
 
+def _place(topic: str, partition: str, offset: str) -> str:
+    """A position as text; null when any part is."""
+    return f"concat({topic}, '/', CAST({partition} AS STRING), '/', CAST({offset} AS STRING))"
+
+
+def with_origins(records: DataFrame, log: DataFrame) -> DataFrame:
+    """Dead letters with ``origin``: for a replayed message, the position it was first read at."""
+    replayed = log.filter(F.col("headers")[ORIGIN_HEADER].isNotNull()).select(
+        F.expr(_place("topic", "partition", "offset")).alias("place"), F.col("headers")[ORIGIN_HEADER].alias("origin"))
+    own = F.expr(_place("originalTopic", "originalPartition", "originalOffset"))
+    # Records without a position have nothing to look up, and would all meet in one task.
+    placed = records.withColumn("place", own).filter("place IS NOT NULL").join(replayed, "place", "left")
+    return placed.unionByName(
+        records.withColumn("place", own).filter("place IS NULL"), allowMissingColumns=True).drop("place")
+
+
 def replay_messages(records: DataFrame) -> DataFrame:
     """Log messages for the replayable dead letters: those with a truthy original message.
 
     A bounded snapshot with one copy per original position, however often it
-    was dead-lettered.  ``source_offset`` keeps the lineage.
+    was dead-lettered; records without a position are all kept.
+    ``source_topic``, ``partition`` and ``source_offset`` keep the lineage, and a header the
+    first position of all.  ``origin``, where the records have it, is the position to go by.
     """
     text = "trim(originalMessage)"
+    origin = "origin" if "origin" in records.columns else "CAST(NULL AS STRING)"
     judged = (
         records.selectExpr("*", "try_parse_json(originalMessage) AS document")
         .selectExpr(
@@ -134,27 +164,42 @@ def replay_messages(records: DataFrame) -> DataFrame:
             "* EXCEPT (document)",
             f"""coalesce(CASE WHEN kind = '{sj.STRING}' THEN {text} <> '""'
                 ELSE {sj.is_truthy("kind", text)} END, false) AS replayable""",
+            f"coalesce({origin}, {_place('originalTopic', 'originalPartition', 'originalOffset')}) AS first_place",
         )
     )
+    # A record that cannot be told from others by its position is told apart by its row.
+    own_row = F.when(F.col("first_place").isNull(), F.monotonically_increasing_id())
     return (
         sj.evaluated_once(judged).filter("replayable")
-        .dropDuplicates(["originalTopic", "originalPartition", "originalOffset"])
+        .withColumn("own_row", own_row).dropDuplicates(["first_place", "own_row"])
         .selectExpr(
             f"'{EVENT_TOPIC}' AS topic",
-            "originalPartition AS partition",
+            "originalTopic AS source_topic",
+            "coalesce(originalPartition, 0) AS partition",
             "CAST(originalOffset AS BIGINT) AS source_offset",
             f"{sj.as_key('incident_kind', 'incident_raw')} AS key",
             "originalMessage AS value",
-            f"map('{REPLAY_HEADER}', 'true') AS headers",
+            f"""map_filter(map('{REPLAY_HEADER}', 'true', '{ORIGIN_HEADER}', first_place),
+                (k, v) -> v IS NOT NULL) AS headers""",
         )
     )
 
 
-def append_replay(log: DataFrame, replay: DataFrame) -> DataFrame:
-    """The log followed by the replayed messages, in their original order.
+def numbered_replay(log: DataFrame, replay: DataFrame) -> DataFrame:
+    """Replayed messages as envelopes that follow the last offset of their topic and partition.
 
-    A broker would number them; here they follow the log's last offset.
+    A broker would number them; here they are numbered without gaps, in the
+    order of their sources, however many topics those are.
     """
-    last = log.select(F.max("offset")).scalar()
-    appended = replay.withColumn("offset", last + 1 + F.col("source_offset")).drop("source_offset")
-    return log.unionByName(appended)
+    group = ["topic", "partition"]
+    order = [F.asc_nulls_last("source_offset"), F.asc_nulls_last("source_topic"), F.asc("value")]
+    parts = parts_of(replay, group, order)
+    ranked = numbered(parts, part_offsets(parts, group), group, order, "rank")
+    last = log.groupBy(*group).agg(F.max("offset").alias("last"))
+    return ranked.join(last, group, "left").withColumn(
+        "offset", F.coalesce("last", F.lit(-1)) + F.col("rank")).select(*ENVELOPE.fieldNames())
+
+
+def append_replay(log: DataFrame, replay: DataFrame) -> DataFrame:
+    """The log followed by the replayed messages."""
+    return log.unionByName(numbered_replay(log, replay))

@@ -35,6 +35,7 @@ DUPLICATE = "duplicate"
 
 DEAD_ROUTES = (UNREADABLE, UNPROCESSABLE)
 TIMELINE_ROUTES = (FULL, TIMELINE_ONLY)
+VERDICTS = (UNREADABLE, UNPROCESSABLE, IGNORED, LOST, TIMELINE_ONLY, FULL, ARTIFACT)
 
 _ARTIFACT_TEXTS = ("bucket", "objectKey", "originalName", "mimeType")
 
@@ -57,15 +58,15 @@ def _storable_text(kind: str) -> str:
 def _whole_number(kind: str, raw: str) -> str:
     """A number cut to a whole one, or the digits of one as a string."""
     return f"""CASE
-        WHEN {raw} RLIKE r'{sj.INTEGER_PATTERN}' THEN CAST({raw} AS BIGINT)
+        WHEN {raw} RLIKE r'{sj.INTEGER_PATTERN}' THEN try_cast({raw} AS BIGINT)
         WHEN {sj.is_number(kind)} THEN try_cast(try_cast({raw} AS DOUBLE) AS BIGINT) END"""
 
 
 def parse_events(log: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Envelopes plus typed event columns, JSON kinds where they matter, and ``verdict``.
 
-    ``columns`` names the ones wanted (default: all); ``partition``, ``offset``,
-    ``event_id`` and ``verdict`` are always there.
+    ``columns`` names the ones wanted (default: all); ``topic``, ``partition``,
+    ``offset``, ``event_id`` and ``verdict`` are always there.
     """
     event = sj.JsonObject(
         "value", EVENT_FIELDS,
@@ -117,7 +118,7 @@ def parse_events(log: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         .selectExpr("*", f"{_VERDICT} AS verdict")
     )
     kept = judged.columns if columns is None else [
-        c for c in judged.columns if c in {*columns, "partition", "offset", "event_id", "verdict"}
+        c for c in judged.columns if c in {*columns, "topic", "partition", "offset", "event_id", "verdict"}
     ]
     # A filter on ``verdict`` must not parse the text again.
     return sj.evaluated_once(judged, kept)

@@ -17,25 +17,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sirenlog.operators.parsing import DUPLICATE, reaches_mark
+from sirenlog.operators.parsing import DUPLICATE, VERDICTS, reaches_mark
 
 CONSUMER_GROUP = "incident-events-projection-group"  # fixed value
 
 # Offsets are below 2^63, so partition * 2^63 + offset orders like the pair; a
-# decimal keeps the aggregation hash-based, which a struct would not.
+# decimal keeps the aggregation hash-based, which a struct would not.  The
+# topic's hash tells equal positions of different topics apart.
 _OFFSETS_PER_PARTITION = "9223372036854775808"
+_TOPICS = 100_000_000
 
 
 def position() -> Column:
-    """(partition, offset) as one number."""
-    return (
+    """(partition, offset, topic) as one number, unique in a log of several topics."""
+    place = (
         F.col("partition").cast("decimal(10,0)") * F.lit(_OFFSETS_PER_PARTITION).cast("decimal(19,0)")
         + F.col("offset").cast("decimal(19,0)")
-    ).cast("decimal(38,0)")
+    ).cast("decimal(29,0)")
+    topic = F.pmod(F.xxhash64("topic"), F.lit(_TOPICS)).cast("decimal(8,0)")
+    return (place * F.lit(_TOPICS).cast("decimal(9,0)")).cast("decimal(37,0)") + topic
 
 
 def first_positions(parsed: DataFrame) -> DataFrame:
-    """Per marked id: the position of its first message and how many carried it."""
+    """Per marked id: the offset and position of its first message and how many carried it."""
     return (
         parsed.filter(reaches_mark())
         .groupBy(F.col("event_id").alias("message_id"))
@@ -43,6 +47,12 @@ def first_positions(parsed: DataFrame) -> DataFrame:
     )
 
 
+def offset_of(position: Column) -> Column:
+    """The offset in a position."""
+    place = F.floor(position / F.lit(_TOPICS))
+    return (place % F.lit(_OFFSETS_PER_PARTITION).cast("decimal(19,0)")).cast("bigint")
+
+
 def unseen(first: DataFrame, ledger: DataFrame | None, id_column: str) -> DataFrame:
     """Drop the ids that ``ledger`` holds for this consumer group."""
     if ledger is None:
@@ -59,13 +69,16 @@ def first_deliveries(
     winners = (
         parsed.filter(reaches_mark())
         .groupBy("event_id")
-        .agg(F.min_by(F.struct(*kept), F.struct("partition", "offset")).alias("first"))
+        .agg(F.min_by(F.struct(*kept), position()).alias("first"))
     )
     return unseen(winners, ledger, "event_id").select("event_id", "first.*")
 
 
 def route_events(parsed: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """All messages with ``route``: the verdict, or ``duplicate``."""
+    """All messages with ``route``: the verdict, or ``duplicate``.
+
+    ``parsed`` is read twice, so it should be a stored table.
+    """
     winners = unseen(first_positions(parsed), ledger, "message_id").select(
         F.col("first_position").alias("position"), F.lit(True).alias("is_first")
     )
@@ -81,25 +94,28 @@ def route_events(parsed: DataFrame, ledger: DataFrame | None = None) -> DataFram
 
 
 def route_counts(parsed: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """Messages per route, without matching any row back: duplicates are what is left over."""
-    received = parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("received"), F.lit(0).alias("first"))
-    first = (
-        first_deliveries(parsed, (), ledger)
-        .groupBy("verdict").agg(F.lit(0).alias("received"), F.count(F.lit(1)).alias("first"))
-    )
-    totals = received.unionByName(first).groupBy("verdict").agg(
-        F.sum("received").alias("received"), F.sum("first").alias("first")
-    )
-    kept = F.when(reaches_mark(), F.col("first")).otherwise(F.col("received"))
+    """Messages per route in one pass: an id's first verdict counts once, the rest of it as duplicates.
+
+    The first message's verdict travels as the last digit of the smallest position.
+    """
+    code = F.array_position(F.array(*map(F.lit, VERDICTS)), F.col("verdict")).cast("decimal(1,0)")
+    ranked = (position().cast("decimal(37,0)") * 10 + code).cast("decimal(38,0)")
+    marked = reaches_mark()
+    groups = parsed.groupBy(
+        F.when(marked, F.col("event_id")).alias("message_id"), F.when(~marked, F.col("verdict")).alias("dead")
+    ).agg(F.count(F.lit(1)).alias("n"), F.min(F.when(marked, ranked)).alias("first"))
+    if ledger is None:
+        groups = groups.withColumn("known", F.lit(False))
+    else:
+        known = ledger.filter(F.col("consumer_group") == CONSUMER_GROUP).select("message_id").distinct()
+        groups = groups.join(known.withColumn("known", F.lit(True)), "message_id", "left")
+    verdict = F.element_at(F.array(*map(F.lit, VERDICTS)), (F.col("first") % 10).cast("int"))
+    fresh = F.when(F.col("dead").isNotNull(), F.col("n")).when(F.coalesce("known", F.lit(False)), F.lit(0)).otherwise(F.lit(1))
     return (
-        totals.select(
-            F.inline(
-                F.array(
-                    F.struct(F.col("verdict").alias("route"), kept.alias("n")),
-                    F.struct(F.lit(DUPLICATE).alias("route"), (F.col("received") - kept).alias("n")),
-                )
-            )
-        )
+        groups.select(F.inline(F.array(
+            F.struct(F.coalesce("dead", verdict).alias("route"), fresh.cast("bigint").alias("n")),
+            F.struct(F.lit(DUPLICATE).alias("route"), (F.col("n") - fresh).cast("bigint").alias("n")),
+        )))
         .groupBy("route").agg(F.sum("n").cast("bigint").alias("n"))
         .filter("n > 0")
     )

@@ -67,9 +67,15 @@ def accept_submissions(
     )
 
 
-def published(accepted: DataFrame, topic: str = "incident-events") -> DataFrame:
-    """The accepted submissions as messages for the log."""
-    return accepted.filter("ok").select(
+def published(accepted: DataFrame, topic: str = "incident-events", offset: Column | None = None) -> DataFrame:
+    """The accepted submissions as messages for the log.
+
+    A broker numbers them; for a file log, ``offset`` is each message's number in partition 0.
+    """
+    message = [
         F.lit(topic).alias("topic"), "key", "value",
         F.create_map().cast("map<string,string>").alias("headers"),
-    )
+    ]
+    if offset is not None:
+        message += [F.lit(0).alias("partition"), offset.cast("bigint").alias("offset")]
+    return accepted.filter("ok").select(*message)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sirenlog.functions import strict_json as sj
 from sirenlog.functions.text import is_blank, or_default, shown
 from sirenlog.functions.timestamps import iso_millis
+from sirenlog.operators.numbering import numbered, part_offsets, parts_of
 
 # Fixed values.
 DEFAULT_LIMIT = 20
@@ -24,10 +25,7 @@ GRAPHQL_FIELDS = ("summary", "customerImpact", "likelyRootCause", "confidence",
 NO_EVENTS = "(none)"
 NO_HEALTH = "(not provided)"
 
-# Limits up to this size are taken by a window that Spark trims before the shuffle.
-TOP_N = 1000
-# Requests up to this many rows are broadcast as a filter on the timeline.
-BROADCAST_ROWS = 100_000
+MAX_LONG = 2**63 - 1
 
 
 def _newest_first() -> list[Column]:
@@ -36,90 +34,69 @@ def _newest_first() -> list[Column]:
 
 def effective_limit() -> Column:
     """An omitted limit is 20; null and NaN take nothing; fractions are cut; negative drops the oldest."""
-    bounded = F.least(F.greatest(F.col("limit"), F.lit(-1e15)), F.lit(1e15))
     return (
         F.when(~F.col("limit_given"), F.lit(DEFAULT_LIMIT))
         .when(F.col("limit").isNull() | F.isnan("limit"), F.lit(0))
-        .otherwise(bounded.cast("bigint"))
+        .when(F.col("limit") >= float(MAX_LONG), F.lit(MAX_LONG))
+        .when(F.col("limit") <= -float(MAX_LONG), F.lit(-MAX_LONG))
+        .otherwise(F.col("limit").try_cast("bigint"))
         .cast("bigint")
     )
 
 
-def recent_events(timeline: DataFrame, requests: DataFrame) -> DataFrame:
-    """Per request its newest events, with their 1-based ``position``.
-
-    One small aggregate over the requests decides the plan:
-
-    * limits of 1 to ``TOP_N`` share one ranking per incident, cut at the
-      largest of them; Spark trims each map task before the shuffle, so an
-      incident with very many events does not matter;
-    * negative and larger limits may keep nearly a whole incident, so the
-      ranking is split by hour: ranks within the hour plus the counts of later
-      hours.
-    """
-    asked = requests.filter(F.coalesce("incident_id", F.lit("")) != "").select(
+def _asked(requests: DataFrame) -> DataFrame:
+    return requests.filter(F.coalesce("incident_id", F.lit("")) != "").select(
         "request_id", "incident_id", effective_limit().alias("take")
     )
-    is_short = F.col("take").between(1, TOP_N)
-    shape = asked.agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.max(F.when(is_short, F.col("take"))).alias("longest"),
-        F.count_if(~is_short & (F.col("take") != 0)).alias("others"),
-    ).first()
-
-    few = shape["requests"] <= BROADCAST_ROWS
-    if few:
-        ids = F.broadcast(asked.select("incident_id").distinct())
-        timeline = timeline.join(ids, "incident_id", "left_semi")
-
-    def attach(events: DataFrame, requests_part: DataFrame) -> DataFrame:
-        return events.join(F.broadcast(requests_part) if few else requests_part, "incident_id")
-
-    columns = ("request_id", "position", "event_id", "event_type", "message", "event_timestamp")
-    newest = Window.partitionBy("incident_id").orderBy(*_newest_first())
-    ranked = timeline.withColumn("position", F.row_number().over(newest)).filter(
-        F.col("position") <= int(shape["longest"] or 0)
-    )
-    result = attach(ranked, asked.filter(is_short)).filter(F.col("position") <= F.col("take")).select(*columns)
-    if shape["others"]:
-        rest = _numbered(attach(timeline, asked.filter(~is_short & (F.col("take") != 0))))
-        kept = F.when(F.col("take") < 0, F.col("total") + F.col("take")).otherwise(F.col("take"))
-        result = result.unionByName(rest.filter(F.col("position") <= kept).select(*columns))
-    return result.withColumn("position", F.col("position").cast("bigint"))
-
-
-def _numbered(events: DataFrame) -> DataFrame:
-    """Position and total per request, without one task ranking a whole incident."""
-    events = events.withColumn("hour", F.date_trunc("HOUR", "event_timestamp"))
-    later = Window.partitionBy("request_id").orderBy(F.desc("hour")).rowsBetween(Window.unboundedPreceding, -1)
-    hours = (
-        events.groupBy("request_id", "hour").agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "request_id", "hour",
-            F.coalesce(F.sum("n").over(later), F.lit(0)).alias("later"),
-            F.sum("n").over(Window.partitionBy("request_id")).alias("total"),
-        )
-    )
-    within = Window.partitionBy("request_id", "hour").orderBy(*_newest_first())
-    return events.join(hours, ["request_id", "hour"]).withColumn(
-        "position", F.col("later") + F.row_number().over(within)
-    )
 
 
-def request_status(requests: DataFrame, recent: DataFrame) -> DataFrame:
-    """``INVALID`` without an incident id, ``NOT_FOUND`` without events, else ``OK``."""
-    counts = recent.groupBy("request_id").agg(F.count(F.lit(1)).alias("events"))
+def _kept() -> Column:
+    """How many of an incident's ``total`` events a request keeps."""
+    return F.when(F.col("take") < 0, F.greatest(F.col("total") + F.col("take"), F.lit(0))).otherwise(
+        F.least("take", "total"))
+
+
+def recent_events(timeline: DataFrame, requests: DataFrame) -> DataFrame:
+    """Per request its newest events, with their 1-based ``position``.
+
+    One way for every limit.  The requested incidents' events are numbered once
+    per incident; a request keeps the first of them, as many as its limit and
+    the incident's total say.  Parts that lie wholly beyond the most that any
+    request keeps are dropped before they are ranked.
+    """
+    asked = _asked(requests)
+    group, order = ["incident_id"], _newest_first()
+    wanted = asked.select("incident_id").distinct()
+    parts = parts_of(timeline.join(wanted, "incident_id", "left_semi"), group, order)
+    offsets = part_offsets(parts, group)
+    totals = offsets.groupBy("incident_id").agg(F.max("total").alias("total"))
+    kept = asked.join(totals, "incident_id").select("request_id", "incident_id", _kept().alias("kept")).filter("kept > 0")
+    most = kept.groupBy("incident_id").agg(F.max("kept").alias("most"))
+    needed = offsets.join(most, "incident_id").filter("before < most")
+    ranked = numbered(parts, needed, group, order, "position").filter("position <= most").select(
+        "incident_id", "position", "event_id", "event_type", "message", "event_timestamp")
+    return ranked.join(kept, "incident_id").filter("position <= kept").select(
+        "request_id", "position", "event_id", "event_type", "message", "event_timestamp")
+
+
+def request_status(requests: DataFrame, timeline: DataFrame) -> DataFrame:
+    """``INVALID`` without an incident id, ``NOT_FOUND`` without events, else ``OK``; from counts alone."""
+    asked = _asked(requests)
+    totals = timeline.join(asked.select("incident_id").distinct(), "incident_id", "left_semi").groupBy(
+        "incident_id").agg(F.count(F.lit(1)).alias("total"))
+    counts = asked.join(totals, "incident_id").select("request_id", _kept().alias("events"))
     return requests.join(counts, "request_id", "left").select(
         *requests.columns,
         F.coalesce("events", F.lit(0)).cast("bigint").alias("events"),
         F.when(F.coalesce("incident_id", F.lit("")) == "", "INVALID")
-        .when(F.col("events").isNull(), "NOT_FOUND")
+        .when(F.coalesce("events", F.lit(0)) == 0, "NOT_FOUND")
         .otherwise("OK").alias("status"),
     )
 
 
-def not_found(requests: DataFrame, recent: DataFrame) -> DataFrame:
-    return requests.join(recent.select("request_id"), "request_id", "left_anti")
+def not_found(requests: DataFrame, timeline: DataFrame) -> DataFrame:
+    """The requests that have no event to tell of."""
+    return request_status(requests, timeline).filter(F.col("status") != "OK").select(*requests.columns)
 
 
 def _event_line() -> Column:
@@ -153,14 +130,18 @@ def summary_context(requests: DataFrame, recent: DataFrame, health: DataFrame) -
         _joined_lines(F.col("position"), _event_line()).alias("events_text"),
         F.count(F.lit(1)).alias("events"),
     )
-    health_text = health.filter(F.col("org_id") != "").groupBy("org_id").agg(
+    named = requests.filter(F.col("org_id").isNotNull() & (F.col("org_id") != ""))
+    wanted = health.join(named.select("org_id").distinct(), "org_id", "left_semi")
+    health_text = wanted.groupBy("org_id").agg(
         _joined_lines(F.col("service_name"), _health_line()).alias("health_text"),
         F.count(F.lit(1)).alias("services"),
     )
+    told = requests.select("request_id", "incident_id", "org_id").join(event_text, "request_id")
+    # Requests without an organisation have no key to join on; left in, they would all meet in one task.
+    has_org = F.coalesce("org_id", F.lit("")) != ""
+    with_health = told.filter(has_org).join(health_text, "org_id", "left")
     return (
-        requests.select("request_id", "incident_id", "org_id")
-        .join(event_text, "request_id")
-        .join(health_text, "org_id", "left")
+        with_health.unionByName(told.filter(~has_org), allowMissingColumns=True)
         .select(
             "request_id", "incident_id", "org_id", "events", F.coalesce("services", F.lit(0)).alias("services"),
             or_default(F.col("events_text"), NO_EVENTS).alias("events_text"),
@@ -227,27 +208,40 @@ def offline_generator() -> Generator:
 
 
 def generate_summaries(
-    prompts: DataFrame, make_generator: Callable[[], Generator] = offline_generator, parallelism: int | None = None
+    prompts: DataFrame, make_generator: Callable[[], Generator] = offline_generator, parallelism: int | None = None,
+    batch_size: int = 64,
 ) -> DataFrame:
-    """Run a caller's generator over the prompts; an empty reply is an error.
+    """Run a caller's generator over the prompts; what fails is that request's ``error``.
 
     ``make_generator`` is called once per partition and so can open a client;
-    the generator gets a batch of prompts.  ``parallelism`` sets the number of
-    partitions, as prompts are few and replies slow.
+    the generator gets up to ``batch_size`` prompts.  When it fails on a batch,
+    the batch's prompts are tried one by one, so that a bad prompt costs no
+    other request its reply.  An empty reply is an error too.  ``parallelism``
+    sets the number of partitions, as prompts are few and replies slow.
     """
     if parallelism:
         prompts = prompts.repartition(parallelism, "request_id")
 
+    def answered(generate: Generator, texts: list[str]) -> list[tuple[str | None, str | None]]:
+        try:
+            replies = list(generate(texts))
+            if len(replies) != len(texts):
+                raise ValueError(f"{len(replies)} replies to {len(texts)} prompts")
+            return [(reply or None, None if reply else "empty reply") for reply in replies]
+        except Exception as error:  # whatever a client raises
+            if len(texts) == 1:
+                return [(None, f"{type(error).__name__}: {error}")]
+            return [answered(generate, [text])[0] for text in texts]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generate = make_generator()
         for batch in batches:
-            yield batch[["request_id", "incident_id"]].assign(reply=list(generate(batch["prompt"].tolist())))
+            for start in range(0, len(batch), batch_size):
+                part = batch.iloc[start:start + batch_size]
+                reply, error = zip(*answered(generate, part["prompt"].tolist()))
+                yield part[["request_id", "incident_id"]].assign(reply=list(reply), error=list(error))
 
-    replies = prompts.mapInPandas(run, "request_id string, incident_id string, reply string")
-    return replies.select(
-        "request_id", "incident_id", F.nullif("reply", F.lit("")).alias("reply"),
-        F.when(F.coalesce("reply", F.lit("")) == "", "empty reply").alias("error"),
-    )
+    return prompts.mapInPandas(run, "request_id string, incident_id string, reply string, error string")
 
 
 def parse_summaries(replies: DataFrame, reply: str = "reply") -> DataFrame:

@@ -104,10 +104,12 @@ def with_location(artifacts: DataFrame, requested_at: Column, bucket: str = "buc
 
 def stored_lookup(lookups: DataFrame, artifacts: DataFrame, path: str = "path") -> DataFrame:
     """Percent-encoded object paths to the stored artifacts; ``objectKey`` is null when malformed."""
-    stored = artifacts.select(
-        F.col("object_key").alias("objectKey"), "bucket",
-        F.col("artifact_id").alias("artifactId"), F.col("incident_id").alias("incidentId"),
-    )
+    # A store holds one object per key: of several uploads the last one counts.
+    last = F.max_by(F.struct("bucket", "artifact_id", "incident_id"), F.struct("uploaded_at", "artifact_id"))
+    stored = artifacts.filter(F.col("object_key").isNotNull()).groupBy(F.col("object_key").alias("objectKey")).agg(
+        last.alias("last")).select(
+            "objectKey", "last.bucket", F.col("last.artifact_id").alias("artifactId"),
+            F.col("last.incident_id").alias("incidentId"))
     decoded = evaluated_once(lookups.withColumn("objectKey", percent_decode(F.col(path))))
     # Malformed paths have no key to join on; left in, they would all meet in one task.
     found = decoded.filter(F.col("objectKey").isNotNull()).join(stored, "objectKey", "left")

@@ -20,9 +20,8 @@ from sirenlog.operators.projections import (
     timeline_rows,
 )
 from sirenlog.operators.routing import CONSUMER_GROUP, first_deliveries
-from sirenlog.session import configure
+from sirenlog.session import configure, stored
 from sirenlog.sources.derived_log import log_from_events, read_events
-from sirenlog.sources.event_log import spread
 
 FIXED_TIME = "2026-01-01T00:00:00.000Z"
 
@@ -36,13 +35,42 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_events(configure(spark), sf_dir), "event_id")
+    """The events dealt over the session's partitions, as a log of many partitions would be.
+
+    The given table is one row group, which no scan can split; the narrow rows
+    are dealt before any text is made of them, in the same way at every size.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_events(configure(spark), sf_dir).repartition(parts, "event_id")
 
 
 def parsed_log(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     return parse_events(event_log(spark, sf_dir), columns)
 
 
+class Projected:
+    """Timeline, health and artifacts of one log, from one parse and one first-seen pass, stored once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        columns = tuple(dict.fromkeys((*TIMELINE_INPUT, *HEALTH_INPUT, *ARTIFACT_INPUT)))
+        first = first_deliveries(parsed_log(spark, sf_dir, columns), columns)
+        self.first = stored(first, "first-deliveries")
+
+    def timeline(self) -> DataFrame:
+        return timeline_rows(self.first)
+
+    def artifacts(self) -> DataFrame:
+        return artifact_rows(self.first)
+
+    def health(self) -> DataFrame:
+        return fold_health(health_changes(self.first))
+
+
+def stored_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position, id and verdict of every message, parsed once and stored."""
+    return stored(parsed_log(spark, sf_dir, ("topic",)), "parsed-log")
+
+
 def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline_rows(first_deliveries(parsed_log(spark, sf_dir, TIMELINE_INPUT), TIMELINE_INPUT))
 

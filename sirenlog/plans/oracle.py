@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
-from sirenlog.functions.text import WHITESPACE
-from sirenlog.operators.summaries import PROMPT_HEAD, PROMPT_TASK
+# Fixed values of the contract, written out here so that the SQL does not lean on the code it checks.
+WHITESPACE = '\\t\\n\\x0B\\f\\r \\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}'
+PROMPT_HEAD = """You assist on-call engineers of an incident platform.
+Summarise the production incident below. State only what the input supports, and name weak or conflicting evidence.
+
+Rules for the reply, which is one JSON object and nothing else:
+- summary: 2 to 4 sentences, fewer than 90 words, no markdown.
+- customer_impact: 1 or 2 sentences.
+- likely_root_cause: "Unknown based on current evidence" when unclear.
+- confidence: LOW, MEDIUM or HIGH, by strength of evidence.
+- next_actions: exactly 3 specific imperative items.
+- signals: exactly 3 concrete observations from the context.
+
+Context
+"""
+PROMPT_TASK = '\n\nTask: write the JSON summary of this incident.'
 
 ISO = "%Y-%m-%dT%H:%M:%S.%gZ"
 FIXED = "2026-01-01T00:00:00.000Z"
@@ -321,7 +335,8 @@ FROM routed WHERE route = 'dlq_message'""",
 appended AS (
   SELECT topic, "partition", "offset", key, value, NULL AS replayed FROM log
   UNION ALL
-  SELECT topic, "partition", (SELECT max("offset") FROM log) + 1 + "offset", incident_id, value, 'true'
+  SELECT topic, "partition", (SELECT max("offset") FROM log) + row_number() OVER (ORDER BY "offset"),
+    incident_id, value, 'true'
   FROM once WHERE route = 'dlq_message'),
 {_routed("appended", "twice")}
 SELECT "offset", replayed, event_id, route FROM twice""",
@@ -379,6 +394,21 @@ SELECT request_id, incident_id, true AS decoded,
   'Review the timeline|Check service health|Update the incident' AS next_actions,
   'event lines: ' || events || '|degraded services: ' || degraded || '|' || latest AS signals
 FROM firsts""",
+        "summarize_with_failures": f"""{BASE}, {_REQUESTS}, judged AS (
+  SELECT *, CAST(split_part(incident_id, '-', 2) AS INT) % 7 = 0 AS refused FROM context)
+SELECT request_id, incident_id, NOT refused AS decoded,
+  CASE WHEN refused THEN 'ValueError: no reply for ' || incident_id END AS error,
+  CASE WHEN NOT refused THEN 'LOW' END AS confidence FROM judged""",
+        "incident_timeline_by_key": f"""{BASE} SELECT event_id AS id, event_type AS type,
+  strftime(event_ts, '{ISO}') AS timestamp FROM timeline WHERE incident_id = (SELECT min(incident_id) FROM timeline)""",
+        "stored_dead_letter_replay": f"""{BASE} SELECT topic, topic AS source_topic, "offset" AS source_offset,
+  incident_id AS key, value FROM routed WHERE route = 'dlq_message'""",
+        "submit_publish_project": f"""WITH {_BODIES}
+SELECT 'sub-' || o AS id, replace(inc, '"', '') AS "incidentId", 'INCIDENT_REPORTED' AS type, et AS message, iso AS timestamp
+FROM bodies WHERE is_object AND inc <> '""' AND org NOT IN ('false', '0') AND has_service AND sev <> '0' AND has_message""",
+        "stored_content": """SELECT 'inc-' || (doc_id % 97) || '/1767225600000-document-' || doc_id || '.txt' AS object_key,
+  'text/plain' AS mime_type, CAST(octet_length(encode(text)) AS BIGINT) AS size, md5(reverse(text)) AS md5
+FROM documents WHERE octet_length(encode(text)) <= 10485760""",
         "parse_summaries": f"WITH {_replies('summary')} SELECT request_id, incident_id, decoded, {_DECODED} FROM replies",
         "summary_graphql_view": f"""WITH {_replies('summary')}, parsed AS (
   SELECT incident_id, {_DECODED} FROM replies WHERE decoded)

@@ -17,10 +17,10 @@ from sirenlog.operators import routing
 from sirenlog.operators import summaries as sm
 from sirenlog.operators import views
 from sirenlog.operators.parsing import parse_events
-from sirenlog.operators.submissions import accept_submissions
+from sirenlog.operators.submissions import accept_submissions, published
 from sirenlog.plans import inputs
-from sirenlog.session import configure, shared_folder
-from sirenlog.sources.event_log import append_log, stream_log
+from sirenlog.session import configure, shared_folder, stored
+from sirenlog.sources.event_log import append_log, publish, read_dead_letter_log, stream_log
 from sirenlog.streaming.pipeline import start_projection
 from sirenlog.streaming.tables import Tables
 
@@ -55,7 +55,7 @@ def parse_log(spark, sf_dir):
 
 @_query
 def route_events(spark, sf_dir):
-    return routing.route_events(inputs.parsed_log(spark, sf_dir, ())).select("offset", "event_id", "route")
+    return routing.route_events(inputs.stored_parse(spark, sf_dir)).select("offset", "event_id", "route")
 
 
 @_query
@@ -73,7 +73,7 @@ def dedup_first_seen(spark, sf_dir):
 @_query
 def message_deliveries(spark, sf_dir):
     return routing.first_positions(inputs.parsed_log(spark, sf_dir, ())).select(
-        "message_id", F.col("first_position").cast("bigint").alias("first_offset"), "deliveries")
+        "message_id", routing.offset_of(F.col("first_position")).alias("first_offset"), "deliveries")
 
 
 @_query
@@ -108,8 +108,9 @@ def dlq_replay(spark, sf_dir):
 
 @_query
 def replay_reprocess(spark, sf_dir):
-    log = dl.append_replay(inputs.event_log(spark, sf_dir), _replay(spark, sf_dir))
-    return routing.route_events(parse_events(log, ("headers",))).select(
+    log = inputs.event_log(spark, sf_dir)
+    again = stored(parse_events(dl.append_replay(log, _replay(spark, sf_dir)), ("headers",)), "parsed-log")
+    return routing.route_events(again).select(
         "offset", F.col("headers")[dl.REPLAY_HEADER].alias("replayed"), "event_id", "route")
 
 
@@ -172,39 +173,37 @@ def stored_artifact_lookup(spark, sf_dir):
 
 @_query
 def contract_violations(spark, sf_dir):
+    rows = inputs.Projected(spark, sf_dir)
     checked = [
-        ("incidentTimeline", "id", views.timeline_view(inputs.timeline(spark, sf_dir)), views.TIMELINE_CONTRACT),
-        ("serviceHealthByOrg", "latestEventId", views.health_view(inputs.health(spark, sf_dir)), views.HEALTH_CONTRACT),
-        ("incidentArtifacts", "artifactId", views.artifacts_view(inputs.artifacts(spark, sf_dir)),
-         views.ARTIFACT_CONTRACT),
+        ("incidentTimeline", "id", views.timeline_view(rows.timeline()), views.TIMELINE_CONTRACT),
+        ("serviceHealthByOrg", "latestEventId", views.health_view(rows.health()), views.HEALTH_CONTRACT),
+        ("incidentArtifacts", "artifactId", views.artifacts_view(rows.artifacts()), views.ARTIFACT_CONTRACT),
     ]
     parts = [views.contract_violations(view, name, key, contract) for name, key, view, contract in checked]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _recent(spark, sf_dir):
-    requests = inputs.summary_requests(spark, sf_dir)
-    return requests, sm.recent_events(inputs.timeline(spark, sf_dir), requests)
-
-
 @_query
 def recent_events(spark, sf_dir):
-    _, recent = _recent(spark, sf_dir)
+    recent = sm.recent_events(inputs.timeline(spark, sf_dir), inputs.summary_requests(spark, sf_dir))
     return recent.withColumn("event_timestamp", iso_millis(F.col("event_timestamp")))
 
 
 @_query
 def summary_requests(spark, sf_dir):
-    return sm.request_status(*_recent(spark, sf_dir)).select("request_id", "incident_id", "events", "status")
+    return sm.request_status(inputs.summary_requests(spark, sf_dir), inputs.timeline(spark, sf_dir)).select(
+        "request_id", "incident_id", "events", "status")
 
 
 @_query
 def requests_not_found(spark, sf_dir):
-    return sm.not_found(*_recent(spark, sf_dir)).select("request_id", "incident_id")
+    return sm.not_found(inputs.summary_requests(spark, sf_dir), inputs.timeline(spark, sf_dir)).select(
+        "request_id", "incident_id")
 
 
 def _context(spark, sf_dir):
-    return sm.summary_context(*_recent(spark, sf_dir), inputs.health(spark, sf_dir))
+    rows, requests = inputs.Projected(spark, sf_dir), inputs.summary_requests(spark, sf_dir)
+    return sm.summary_context(requests, sm.recent_events(rows.timeline(), requests), rows.health())
 
 
 @_query
@@ -223,6 +222,26 @@ def summarize_incidents(spark, sf_dir):
     return _flat(sm.parse_summaries(replies)).drop("reply", "error")
 
 
+def _failing_generator():
+    """The stand-in, but every seventh incident's prompt is refused."""
+    reply = sm.offline_generator()
+
+    def generate(prompts):
+        for prompt in prompts:
+            incident = next(x for x in prompt.split("\n") if x.startswith("Incident ID: "))[len("Incident ID: "):]
+            if int(incident.rpartition("-")[2]) % 7 == 0:
+                raise ValueError(f"no reply for {incident}")
+        return reply(prompts)
+
+    return generate
+
+
+@_query
+def summarize_with_failures(spark, sf_dir):
+    replies = sm.generate_summaries(sm.summary_prompts(_context(spark, sf_dir)), _failing_generator)
+    return sm.parse_summaries(replies).select("request_id", "incident_id", "decoded", "error", "confidence")
+
+
 def _flat(parsed: DataFrame) -> DataFrame:
     """Lists as one text each."""
     return parsed.withColumns({
@@ -310,6 +329,57 @@ def artifact_file_intake(spark, sf_dir):
     return registered.select("original_name", "size", "ok", "error", F.col("artifact.objectKey").alias("object_key"))
 
 
+@_query
+def stored_content(spark, sf_dir):
+    """The documents stored twice, the second time under the same keys; one row per key comes back."""
+    folder = f"{shared_folder(configure(spark))}/content-{uuid.uuid4()}"
+    intake = inputs.document_intake(spark, sf_dir)
+    content = af.artifact_content(af.register_artifacts(intake, F.concat(F.lit("doc-"), F.col("doc_id"))))
+    af.write_content(content, folder, "1")
+    af.write_content(content.withColumn("content", F.encode(F.reverse(F.decode("content", "UTF-8")), "UTF-8")), folder, "2")
+    return af.read_content(spark, folder).select(
+        "object_key", "mime_type", F.octet_length("content").cast("bigint").alias("size"), F.md5("content").alias("md5"))
+
+
+def _stored_timeline(spark, sf_dir):
+    tables = Tables(spark, f"{shared_folder(configure(spark))}/timeline-{uuid.uuid4()}")
+    tables.write("timeline", 0, inputs.timeline(spark, sf_dir))
+    return tables.all_batches("timeline")
+
+
+@_query
+def incident_timeline_by_key(spark, sf_dir):
+    """The stored events of one incident, the one with the first id, and three of their columns."""
+    stored_rows = _stored_timeline(spark, sf_dir)
+    key = stored_rows.agg(F.min("incident_id")).first()[0]
+    return views.timeline_view(stored_rows, key, ["id", "type", "timestamp"])
+
+
+@_query
+def stored_dead_letter_replay(spark, sf_dir):
+    """Dead letters published to a log of their own, read from it and replayed."""
+    folder = f"{shared_folder(configure(spark))}/dead-letters-{uuid.uuid4()}"
+    numbered = dl.numbered_messages(_dead_letter_messages(spark, sf_dir))
+    publish(numbered, folder)
+    records = dl.read_dead_letters(read_dead_letter_log(spark, folder))
+    return dl.replay_messages(records).select("topic", "source_topic", "source_offset", "key", "value")
+
+
+@_query
+def submit_publish_project(spark, sf_dir):
+    """Submissions published to a log, streamed from it and projected; the timeline that comes of it."""
+    folder = f"{shared_folder(configure(spark))}/submit-{uuid.uuid4()}"
+    accepted = accept_submissions(
+        inputs.submissions(spark, sf_dir), "rest",
+        F.concat(F.lit("sub-"), F.col("submission_id").cast("string")), F.col("received_at"),
+    )
+    publish(published(accepted, offset=F.col("submission_id")), f"{folder}/log")
+    start_projection(
+        stream_log(spark, f"{folder}/log"), f"{folder}/tables", f"{folder}/checkpoint", processed_at=inputs.fixed_time()
+    ).awaitTermination()
+    return views.timeline_view(Tables(spark, f"{folder}/tables").read("timeline"))
+
+
 @_query
 def stream_project(spark, sf_dir):
     """The log written and streamed in three runs; the tables afterwards, as one listing.

@@ -1,10 +1,11 @@
-"""Session settings that the expressions in this package rely on."""
+"""Session settings that the expressions in this package rely on, and its shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: nothing here sizes the cluster.
 #  * UTC           timestamps are rendered and parsed as UTC text
@@ -28,12 +29,29 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session without the setting (a local test) gets a temporary folder.
+    Without the setting a local session gets a temporary folder of its own;
+    elsewhere that would be a folder other machines cannot see, so it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="sirenlog-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    known = context._jsc.sc().getCheckpointDir()
+    if known.isEmpty():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sirenlog-"))
+        known = context._jsc.sc().getCheckpointDir()
+    return known.get().rstrip("/")
+
+
+def stored(frame: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Written once and read back: what follows repeats no work and survives a lost executor.
+
+    ``folder`` is where to write; by default a new one in the shared folder.
+    """
+    path = folder or f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    frame.write.mode("overwrite").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

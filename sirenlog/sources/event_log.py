@@ -5,32 +5,24 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sirenlog.schemas import ENVELOPE
 
+# What one micro-batch takes, so that a backlog comes in batches of bounded size.
+MAX_FILES = 1_000
+MAX_OFFSETS = 5_000_000
+
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(ENVELOPE).load(path)
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread an input that has fewer splits than the session has cores.
-
-    Parsing is the costly stage, and one small file is one task.  Inputs with
-    enough splits, so all large ones, are left as they are and not shuffled.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
-
-
 def stream_log(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", max_files: int = MAX_FILES
 ) -> DataFrame:
-    """The same log as a stream, from its beginning."""
-    reader = spark.readStream.format(fmt).schema(ENVELOPE)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    """The same log as a stream, from its beginning, ``max_files`` files to a batch."""
+    return spark.readStream.format(fmt).schema(ENVELOPE).option("maxFilesPerTrigger", max_files).load(path)
 
 
 def read_dead_letter_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -78,13 +70,39 @@ def to_kafka(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def kafka_log(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def publish(envelopes: DataFrame, path: str | None = None, fmt: str = "parquet", servers: str | None = None) -> None:
+    """Append messages to a file log, or send them to a broker (needs the Kafka connector package).
+
+    A broker numbers the messages; a file log takes the offsets that they carry.
+    """
+    if (path is None) == (servers is None):
+        raise ValueError("give either a path or servers")
+    if path is not None:
+        append_log(envelopes, path, fmt)
+    else:
+        to_kafka(envelopes).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+
+def publish_stream(envelopes: DataFrame, checkpoint: str, path: str | None = None, fmt: str = "parquet",
+                   servers: str | None = None) -> StreamingQuery:
+    """The same for a stream of messages, one bounded run from its checkpoint."""
+    if (path is None) == (servers is None):
+        raise ValueError("give either a path or servers")
+    if path is not None:
+        writer = envelopes.select(ENVELOPE.fieldNames()).writeStream.format(fmt).option("path", path)
+    else:
+        writer = to_kafka(envelopes).writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def kafka_log(spark: SparkSession, servers: str, topic: str, max_offsets: int = MAX_OFFSETS) -> DataFrame:
     """Streaming read of a topic from its beginning (needs the Kafka connector package)."""
     return from_kafka(
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", max_offsets)
         .option("includeHeaders", "true")
         .load()
     )

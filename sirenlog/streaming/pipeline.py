@@ -12,12 +12,8 @@ from sirenlog.operators import dead_letters as dl
 from sirenlog.operators import projections as pj
 from sirenlog.operators.parsing import DUPLICATE, LOST, TIMELINE_ONLY, parse_events, reaches_mark
 from sirenlog.operators.routing import CONSUMER_GROUP, first_deliveries
-from sirenlog.sources.event_log import append_log, read_log
-from sirenlog.streaming.tables import Tables
-
-# Up to this many marked messages in a batch, their ids are sent to the ledger
-# scan; beyond it, both sides are shuffled.
-BROADCAST_IDS = 500_000
+from sirenlog.sources.event_log import publish, read_log
+from sirenlog.streaming.tables import Tables, ledger_bucket
 
 FAILED_AFTER_MARK = "failed after the message id was recorded"
 
@@ -33,7 +29,9 @@ def project_batch(
     """Write one batch of envelopes to every table.
 
     ``after_mark_failure='lose'`` only counts messages whose projection fails
-    after their id is recorded; ``quarantine`` dead-letters them.
+    after their id is recorded; ``quarantine`` dead-letters them.  Their ids stay
+    recorded, so a replay of such a dead letter is a duplicate: it is kept to be
+    looked at and corrected under a new id, not to be replayed as it is.
     """
     if after_mark_failure not in ("lose", "quarantine"):
         raise ValueError("after_mark_failure must be 'lose' or 'quarantine'")
@@ -50,10 +48,10 @@ def project_batch(
         kept = sorted(needed)
         if quarantine:
             kept += ["topic", "value", "incident_kind", "incident_raw"]
-        ledger = tables.read_before("ledger", batch_id).filter(F.col("consumer_group") == CONSUMER_GROUP)
-        if marked <= BROADCAST_IDS:
-            ids = parsed.filter(reaches_mark()).select(F.col("event_id").alias("message_id"))
-            ledger = ledger.join(F.broadcast(ids), "message_id", "left_semi")
+        # Only the ledger's buckets that this batch's ids fall into are read.
+        ids = parsed.filter(reaches_mark()).select(ledger_bucket(F.col("event_id")).alias("bucket"))
+        buckets = sorted(r.bucket for r in ids.distinct().collect())  # <= LEDGER_BUCKETS numbers
+        ledger = tables.ledger_before(batch_id, buckets).filter(F.col("consumer_group") == CONSUMER_GROUP)
         first = first_deliveries(parsed, kept, ledger)
 
         # Written once, read back by every projection: their plans start from
@@ -119,7 +117,11 @@ def wait_until_projected(query: StreamingQuery, seconds: float = 15.0) -> bool:
 def replay_to_log(
     spark: SparkSession, tables: Tables, log_path: str, fmt: str = "parquet"
 ) -> None:
-    """Append the replayable dead letters of the committed batches to a file log."""
-    replay = dl.replay_messages(tables.read("dead_letters"))
-    last = read_log(spark, log_path, fmt).agg(F.max("offset")).first()[0]
-    append_log(replay.withColumn("offset", F.lit(last) + 1 + F.col("source_offset")), log_path, fmt)
+    """Append the replayable dead letters of the committed batches to a file log.
+
+    Each run appends every original once: dead letters of replayed messages
+    lead back to the position they were first read at.
+    """
+    log = read_log(spark, log_path, fmt)
+    replay = dl.replay_messages(dl.with_origins(tables.read("dead_letters"), log))
+    publish(dl.numbered_replay(log, replay), log_path, fmt)

@@ -7,10 +7,12 @@ and so never one table ahead of another.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from sirenlog.operators.projections import fold_health
 from sirenlog.schemas import ARTIFACTS, DEAD_LETTERS, HEALTH_CHANGES, LEDGER, TIMELINE
@@ -34,6 +36,13 @@ LAYOUTS = {
     "ledger": ("message_id",),
 }
 
+# Compacted ledgers lie in so many folders by a hash of the id; a batch reads those of its ids.
+LEDGER_BUCKETS = 256
+
+
+def ledger_bucket(message_id: Column) -> Column:
+    return F.pmod(F.xxhash64(message_id), F.lit(LEDGER_BUCKETS)).cast("int")
+
 
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
@@ -54,47 +63,88 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         """The rows of committed batches, compacted ones included."""
         last = self._last("outcomes", "batch_id")
-        through = self._last(f"compacted_{name}_done", "through")
-        recent = self.all_batches(name).filter(F.col("batch_id") <= (-1 if last is None else last)).drop("batch_id")
-        if through is None:
-            return recent
-        recent = (
-            self.all_batches(name)
-            .filter(F.col("batch_id").between(through + 1, last)).drop("batch_id")
-        )
-        compacted = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/compacted_{name}/through={through}")
-        return compacted.unionByName(recent)
+        return self._rows(name, -1 if last is None else last)
 
     def read_before(self, name: str, batch_id: int) -> DataFrame:
         """Rows of the batches before ``batch_id``; a repeated batch must not meet its own."""
+        return self._rows(name, batch_id - 1)
+
+    def ledger_before(self, batch_id: int, buckets: Sequence[int]) -> DataFrame:
+        """The same of the ledger, for ids that fall into the given buckets."""
+        return self._rows("ledger", batch_id - 1, buckets)
+
+    def _rows(self, name: str, last: int, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of the batches up to ``last``: compacted ones, then the folders after them."""
         through = self._last(f"compacted_{name}_done", "through")
-        batches = self.all_batches(name).filter(F.col("batch_id") < batch_id)
-        if through is None or through >= batch_id:
-            return batches.drop("batch_id")
-        compacted = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/compacted_{name}/through={through}")
-        return compacted.unionByName(batches.filter(F.col("batch_id") > through).drop("batch_id"))
+        recent = self.all_batches(name).filter(F.col("batch_id") <= last)
+        if through is None:
+            return recent.drop("batch_id")
+        if through > last:
+            raise ValueError(f"{name} is compacted through batch {through}; batch {last + 1} cannot be repeated")
+        schema, path = SCHEMAS[name], f"{self.root}/compacted_{name}/through={through}"
+        if name == "ledger":
+            schema = StructType([*schema.fields, StructField("bucket", IntegerType())])
+        compacted = self.spark.read.schema(schema).parquet(path)
+        if name == "ledger":
+            compacted = (compacted if buckets is None else compacted.filter(F.col("bucket").isin(list(buckets)))).drop("bucket")
+        return compacted.unionByName(recent.filter(F.col("batch_id") > through).drop("batch_id"))
 
     def health(self) -> DataFrame:
         """Current state per service."""
         return fold_health(self.read("health_changes"))
 
     def compact(self, name: str) -> None:
-        """Rewrite the committed batches of a table as one sorted set of files.
+        """Rewrite all committed batches but the newest as one sorted set of files.
 
-        Batch folders stay where they are; the marker written last makes
-        readers start from the compacted files.  Health changes are folded.
+        The marker written last makes readers start from the compacted files;
+        then the folders that they replace are removed: earlier batches, earlier
+        compactions and the accepted messages.  The newest batch stays as it
+        is, since a restarted query may repeat it.  Health changes are folded.
+        Readers that began before may lose their files: compact between runs.
         """
-        last = self._last("outcomes", "batch_id")
-        if last is None or last == self._last(f"compacted_{name}_done", "through"):
+        newest = self._last("outcomes", "batch_id")
+        done = self._last(f"compacted_{name}_done", "through")
+        if newest is None or newest < 1 or newest - 1 == done:
             return
-        rows = self.health() if name == "health_changes" else self.read(name)
+        last = newest - 1
+        rows = self._rows(name, last)
+        if name == "health_changes":
+            rows = fold_health(rows)
         layout = LAYOUTS.get(name)
-        if layout:
+        if name == "ledger":
+            rows = rows.withColumn("bucket", ledger_bucket(F.col("message_id"))).repartition("bucket")
+            rows = rows.sortWithinPartitions("bucket", "message_id")
+        elif layout:
             rows = rows.repartitionByRange(*layout).sortWithinPartitions(*layout)
-        rows.write.mode("overwrite").parquet(f"{self.root}/compacted_{name}/through={last}")
+        writer = rows.write.mode("overwrite")
+        if name == "ledger":
+            writer = writer.partitionBy("bucket")
+        writer.parquet(f"{self.root}/compacted_{name}/through={last}")
         self.spark.range(1).select(F.lit(last).alias("done")).write.mode("overwrite").parquet(
             f"{self.root}/compacted_{name}_done/through={last}"
         )
+        self._remove(name, "batch_id", last)
+        self._remove("accepted", "batch_id", last)
+        self._remove(f"compacted_{name}", "through", last - 1)
+        self._remove(f"compacted_{name}_done", "through", last - 1)
+
+    def folders(self, name: str) -> list[str]:
+        """The names of a table's batch (or compaction) folders."""
+        found = self._list(name)
+        return sorted(status.getPath().getName() for status in found if "=" in status.getPath().getName())
+
+    def _list(self, name: str) -> list:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return list(files.listStatus(path)) if files.exists(path) else []
+
+    def _remove(self, name: str, column: str, last: int) -> None:
+        """Remove the folders of a column's values up to ``last``."""
+        for status in self._list(name):
+            path = status.getPath()
+            key, _, value = path.getName().partition("=")
+            if key == column and int(value) <= last:
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def _last(self, name: str, column: str) -> int | None:
         """The highest partition value, from folder names and a one-row aggregate."""

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sirenlog.schemas import ENVELOPE
 from sirenlog.operators import artifacts as af
 from sirenlog.operators import dead_letters as dl
 from sirenlog.operators import summaries as sm
@@ -52,7 +53,24 @@ def test_replay_takes_truthy_originals_once(spark, spelling):
     replayed = dl.replay_messages(dl.read_dead_letters(messages)).collect()
     assert sorted((r.value, r.key) for r in replayed) == sorted(
         [('{"incidentId":"i","id":"a"}', "i"), ("5", None), ('"x"', None), ("[]", None)])
-    assert all(r.headers == {"replayedFromDlq": "true"} for r in replayed)
+    assert all(r.headers == {"replayedFromDlq": "true", "replayOrigin": f"t/0/{r.source_offset}"} for r in replayed)
+
+
+def test_originals_without_a_position_are_all_replayed(spark):
+    values = [json.dumps({"originalMessage": {"incidentId": "i", "id": name}}) for name in "abc"]
+    replayed = dl.replay_messages(dl.read_dead_letters(spark.createDataFrame([(v,) for v in values], "value string")))
+    assert sorted(json.loads(r.value)["id"] for r in replayed.collect()) == ["a", "b", "c"]
+    assert {tuple(r.headers) for r in replayed.collect()} == {("replayedFromDlq",)}
+
+
+def test_replayed_messages_of_two_topics_get_their_own_offsets(spark):
+    rows = [{"originalTopic": t, "originalPartition": p, "originalOffset": str(5), "originalMessage": {"id": f"{t}{p}"}}
+            for t in ("t1", "t2") for p in (0, 1)]
+    records = dl.read_dead_letters(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string"))
+    log = spark.createDataFrame([("incident-events", 0, 9, None, "v", {})], ENVELOPE)
+    got = dl.append_replay(log, dl.replay_messages(records)).filter("value <> 'v'").collect()
+    assert sorted((r.partition, r.offset, json.loads(r.value)["id"]) for r in got) == [
+        (0, 10, "t10"), (0, 11, "t20"), (1, 0, "t11"), (1, 1, "t21")]
 
 
 def test_absent_dead_letter_log_is_an_error(spark, tmp_path):
@@ -113,7 +131,8 @@ def test_artifact_files(spark, tmp_path):
     assert row.artifact.objectKey == "i/1700000000000-disk-full-log.txt"
     assert row.artifact.mimeType == af.DEFAULT_MIME
     assert json.loads(row.value)["message"] == "Artifact attached: disk full\tlog.txt"
-    af.write_content(af.artifact_content(judged), str(tmp_path / "stored"))
+    for _ in range(2):  # a load that is repeated replaces itself
+        af.write_content(af.artifact_content(judged), str(tmp_path / "stored"), "1")
     assert bytes(spark.read.parquet(str(tmp_path / "stored")).first().content) == b"abc"
     refused = af.register_artifacts(files.drop("content"), F.lit("u")).filter("NOT ok").collect()
     assert [(r.original_name, r.error) for r in refused] == [("large.bin", af.TOO_LARGE)]
@@ -170,3 +189,20 @@ def test_prompt_generation_and_empty_reply(spark):
     assert {tuple(r.errors) for r in sm.validate_replies(replies).collect()} == {()}
     empty = sm.generate_summaries(prompts, lambda: lambda texts: ["" for _ in texts])
     assert {(r.reply, r.error) for r in empty.collect()} == {(None, "empty reply")}
+
+
+def test_a_failing_prompt_is_its_own_error(spark):
+    prompts = spark.createDataFrame([(f"r{n}", "i", f"p{n}") for n in range(9)],
+                                    "request_id string, incident_id string, prompt string").repartition(2)
+
+    def make():
+        def generate(texts):
+            if "p4" in texts:
+                raise OSError("unreachable")
+            return [t.upper() for t in texts] if "p7" not in texts else []
+        return generate
+
+    got = {r.request_id: (r.reply, r.error) for r in sm.generate_summaries(prompts, make, batch_size=3).collect()}
+    assert got.pop("r4") == (None, "OSError: unreachable")
+    assert got.pop("r7") == (None, "ValueError: 0 replies to 1 prompts")
+    assert got == {f"r{n}": (f"P{n}", None) for n in range(9) if n not in (4, 7)}

@@ -89,7 +89,8 @@ def test_artifact_rows_views_and_contract(make_log):
 
 def test_stored_lookup(spark):
     stored = spark.createDataFrame(
-        [("i/1-a b+c.log", "bk", "x", "i")], "object_key string, bucket string, artifact_id string, incident_id string")
+        [("i/1-a b+c.log", "bk", "x", "i")], "object_key string, bucket string, artifact_id string, incident_id string"
+    ).withColumn("uploaded_at", F.timestamp_seconds(F.lit(0)))
     paths = spark.createDataFrame([("i%2F1-a%20b+c.log",), ("i%2",), ("%E0%A4",), ("none",)], "path string")
     got = {r.path: (r.objectKey, r.artifactId) for r in views.stored_lookup(paths, stored).collect()}
     assert got == {"i%2F1-a%20b+c.log": ("i/1-a b+c.log", "x"), "i%2": (None, None), "%E0%A4": (None, None),
@@ -132,15 +133,67 @@ def test_limits_match_brute_force(spark, make_log):
         if taken:
             want[request_id] = {i + 1: name for i, name in enumerate(taken)}
     assert got == want
-    status = {r.request_id: r.status for r in sm.request_status(frame, sm.recent_events(timeline, frame)).collect()}
+    status = {r.request_id: r.status for r in sm.request_status(frame, timeline).collect()}
     assert status["hot-1"] == "OK" and status["hot-3"] == "NOT_FOUND" and status["None-0"] == "INVALID"
-    assert {r.request_id for r in sm.not_found(frame, sm.recent_events(timeline, frame)).collect()} == (
+    assert {r.request_id for r in sm.not_found(frame, timeline).collect()} == (
         {r[0] for r in requests} - set(want))
 
 
-def test_top_n_is_cut_before_the_shuffle(spark, make_log):
+def test_one_hot_hour_and_limits_around_a_thousand(spark):
+    """Most events share one hour, a third one instant; every limit goes the same way."""
+    rng = random.Random(8)
+    moments = [1777044600000 + (rng.randrange(3_600_000) if n % 3 else 1_000) for n in range(1300)]
+    moments += [1777044600000 + 7_200_000 * n for n in range(1, 20)]
+    rows = [("hot", f"e{n:05}", m) for n, m in enumerate(moments)] + [("cold", "c", 1777044600000)]
+    timeline = spark.createDataFrame(rows, "incident_id string, event_id string, ms bigint").select(
+        "incident_id", F.timestamp_millis("ms").alias("event_timestamp"), "event_id",
+        F.lit("t").alias("event_type"), F.lit("m").alias("message")).repartition(6)
+    limits = [999.0, 1000.0, 1001.0, -1.0, 1.0, 5000.0, 1e300, -1e300]
+    frame = spark.createDataFrame(
+        [(f"r{n}", "hot", None, limit, True) for n, limit in enumerate(limits)],
+        "request_id string, incident_id string, org_id string, limit double, limit_given boolean")
+    got = {}
+    for r in sm.recent_events(timeline, frame).collect():
+        got.setdefault(r.request_id, {})[r.position] = r.event_id
+    newest = [e for _, e, _ in sorted((r for r in rows if r[0] == "hot"), key=lambda r: (-r[2], r[1]))]
+    for n, limit in enumerate(limits):
+        taken = newest[:int(limit)]
+        assert got.get(f"r{n}", {}) == {i + 1: e for i, e in enumerate(taken)}, limit
+    status = {r.request_id: r.events for r in sm.request_status(frame, timeline).collect()}
+    assert status == {f"r{n}": len(newest[:int(limit)]) for n, limit in enumerate(limits)}
+
+
+def test_no_window_ranks_a_whole_incident(spark, make_log):
     frame = spark.createDataFrame(
         [("r", "i", None, 3.0, True)],
         "request_id string, incident_id string, org_id string, limit double, limit_given boolean")
-    plan = sm.recent_events(timeline_of(make_log([event()])), frame)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    recent = sm.recent_events(timeline_of(make_log([event()])), frame)
+    plan = recent._jdf.queryExecution().optimizedPlan().toString()
+    ranks = [line for line in plan.split("\n") if "row_number()" in line]
+    assert ranks and all("part#" in line for line in ranks)
+    assert "row_number" not in sm.request_status(frame, timeline_of(make_log([event()])))._jdf.queryExecution(
+        ).optimizedPlan().toString()
+
+
+def test_health_text_of_requested_organisations_only(spark):
+    requests = spark.createDataFrame(
+        [("a", "i", "o1"), ("b", "i", None), ("c", "i", "")], "request_id string, incident_id string, org_id string")
+    recent = spark.createDataFrame(
+        [(r, 1, "e", "t", "m") for r in "abc"],
+        "request_id string, position bigint, event_id string, event_type string, message string"
+    ).withColumn("event_timestamp", F.timestamp_millis(F.lit(0)))
+    health = spark.createDataFrame(
+        [(o, "s", "LOW", "ACTIVE", "m") for o in ("o1", "o2", "")],
+        "org_id string, service_name string, severity string, status string, message string"
+    ).withColumn("last_updated", F.timestamp_millis(F.lit(0)))
+    got = {r.request_id: r.services for r in sm.summary_context(requests, recent, health).collect()}
+    assert got == {"a": 1, "b": 0, "c": 0}
+
+
+def test_last_upload_of_a_key_is_found(spark):
+    stored = spark.createDataFrame(
+        [("k", "b", "x", "i", 1), ("k", "b", "y", "i", 2)],
+        "object_key string, bucket string, artifact_id string, incident_id string, s int"
+    ).withColumn("uploaded_at", F.timestamp_seconds("s"))
+    paths = spark.createDataFrame([("k",), ("k",)], "path string")
+    assert [r.artifactId for r in views.stored_lookup(paths, stored).collect()] == ["y", "y"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sirenlog.operators import routing
 from sirenlog.operators.parsing import parse_events
+from sirenlog.schemas import ENVELOPE
 
 
 def event(**changes):
@@ -62,6 +63,12 @@ SINGLE = [
     (event(timestamp=1700000000000), "projected_full"),
     (event(timestamp="2026-04-24T15:30Z"), "projected_full"),
     (event(timestamp="2026-04-24"), "projected_full"),
+    (event(timestamp="2026-04-24 15:30:00"), "projected_full"),
+    (event(timestamp="2026-04-24 15:30:00 GMT"), "projected_full"),
+    (event(timestamp="2026-04-24T15:30:00+0000"), "projected_full"),
+    (event(timestamp="Fri, 24 Apr 2026 15:30:00 GMT"), "projected_full"),
+    (event(timestamp="24 Apr 2026 15:30:00 +0200"), "projected_full"),
+    (event(timestamp="Fri, 24 Foo 2026 15:30:00 GMT"), "lost_after_mark"),
     (event(message=["x"]), "lost_after_mark"),
     (event(orgId=""), "projected_timeline_only"),
     (event(orgId=5), "projected_timeline_only"),
@@ -150,3 +157,28 @@ def test_text_is_parsed_once_under_filters(make_log):
     assert 1 <= plan.count("parseJson") <= 2
     assert plan.index("Filter (verdict") < plan.index("Generate inline")
     assert "Python" not in plan
+
+
+def test_two_topics_at_one_position_stay_two_messages(spark):
+    rows = [(t, 0, 5, None, event(id=t), {}) for t in ("t1", "t2")]
+    log = spark.createDataFrame(rows, ENVELOPE)
+    routes = routing.route_events(parse_events(log)).collect()
+    assert [r.route for r in routes] == ["projected_full"] * 2
+    same = spark.createDataFrame([(t, 0, 5, None, event(), {}) for t in ("t1", "t2")], ENVELOPE)
+    assert sorted(r.route for r in routing.route_events(parse_events(same)).collect()) == ["duplicate", "projected_full"]
+    assert {r.route: r.n for r in routing.route_counts(parse_events(same)).collect()} == {"duplicate": 1, "projected_full": 1}
+
+
+def test_date_spellings_give_one_time(spark):
+    from sirenlog.functions.timestamps import iso_millis, parse_iso
+
+    texts = ["2026-04-24T15:30:00.000Z", "2026-04-24 15:30:00", "2026-04-24T15:30:00+0000", "2026-04-24 17:30:00+0200",
+             "2026-04-24 15:30 UTC", "Fri, 24 Apr 2026 15:30:00 GMT", "24 Apr 2026 17:30:00 +0200"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select(F.expr(parse_iso("t")).alias("ts"))
+    assert {r[0] for r in frame.select(iso_millis(F.col("ts"))).collect()} == {"2026-04-24T15:30:00.000Z"}
+
+
+def test_a_size_of_nineteen_digits(spark, make_log):
+    log = make_log([event(**{**ART, "artifact": {"size": size}}) for size in (2**63 - 1, str(2**63 - 1), "9" * 19)])
+    got = parse_events(log).orderBy("offset").select("verdict", "artifact.size").collect()
+    assert [tuple(r) for r in got] == [("projected_artifact", 2**63 - 1)] * 2 + [("lost_after_mark", None)]

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from sirenlog.operators import projections as pj
 from sirenlog.operators import routing, views
 from sirenlog.operators.parsing import parse_events
-from sirenlog.sources.event_log import append_log, read_log, stream_log
+from sirenlog.sources.event_log import append_log, publish_stream, read_log, stream_log
 from sirenlog.streaming.pipeline import project_batch, replay_to_log, start_projection, wait_until_projected
-from sirenlog.streaming.tables import Tables
+from sirenlog.streaming.tables import Tables, ledger_bucket
 from tests.test_routing import ART, event
 
 
@@ -78,12 +78,42 @@ def test_uncommitted_batch_is_not_read(spark, make_log, tmp_path):
     assert [r.event_id for r in tables.read("timeline").collect()] == ["a"]
 
 
-def test_compaction_keeps_contents(streamed):
-    _, tables = streamed
-    before = contents(tables)
-    for name in ("ledger", "timeline", "artifacts", "dead_letters", "health_changes"):
+def test_compaction_keeps_contents_and_removes_folders(spark, streamed):
+    folder, tables = streamed
+    before, names = contents(tables), ("ledger", "timeline", "artifacts", "dead_letters", "health_changes")
+    assert len(tables.folders("timeline")) == 3
+    for name in names:
         tables.compact(name)
     assert contents(tables) == before
+    for name in (*names, "accepted"):
+        assert tables.folders(name) == ["batch_id=2"], name
+        if name != "accepted":
+            assert tables.folders(f"compacted_{name}") == ["through=1"]
+    # The newest batch may still be repeated, and a further run and compaction follow.
+    last = read_log(spark, f"{folder}/log").filter(F.col("offset") >= 80)
+    project_batch(last, 2, tables, processed_at=now())
+    assert contents(tables) == before
+    again = read_log(spark, f"{folder}/log").filter("offset < 50")
+    project_batch(again, 3, tables, processed_at=now())
+    assert contents(tables)["ledger"] == before["ledger"] and contents(tables)["timeline"] == before["timeline"]
+    tables.compact("ledger")
+    assert tables.folders("compacted_ledger") == ["through=2"] and contents(tables)["ledger"] == before["ledger"]
+    with pytest.raises(ValueError):
+        tables.read_before("ledger", 1)
+
+
+def test_ledger_reads_only_the_buckets_asked_for(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    ids = spark.range(500).select(F.lit("g").alias("consumer_group"), F.col("id").cast("string").alias("message_id"),
+                                  now().alias("processed_at"))
+    for batch in range(2):
+        tables.write("ledger", batch, ids.filter(F.col("message_id") % 2 == batch))
+        tables.write("outcomes", batch, spark.createDataFrame([("x", 1)], "route string, n bigint"))
+    tables.compact("ledger")
+    wanted = spark.createDataFrame([("10",)], "message_id string").select(ledger_bucket(F.col("message_id"))).first()[0]
+    some = tables.ledger_before(1, [wanted])
+    assert "10" in {r.message_id for r in some.collect()} and some.count() < 20
+    assert "PartitionFilters: [isnotnull(bucket" in some._jdf.queryExecution().executedPlan().toString()
 
 
 def test_replay_and_quarantine(spark, make_log, tmp_path):
@@ -94,6 +124,32 @@ def test_replay_and_quarantine(spark, make_log, tmp_path):
     replay_to_log(spark, tables, log)
     appended = read_log(spark, log).filter(F.col("offset") > 2).orderBy("offset").collect()
     assert [(r.offset, r.headers) for r in appended] == [
-        (3, {"replayedFromDlq": "true"}), (4, {"replayedFromDlq": "true"})]
+        (3, {"replayedFromDlq": "true", "replayOrigin": "incident-events/0/0"}),
+        (4, {"replayedFromDlq": "true", "replayOrigin": "incident-events/0/1"})]
     routes = routing.route_events(parse_events(read_log(spark, log))).orderBy("offset").collect()
     assert [r.route for r in routes] == ["dlq_message", "lost_after_mark", "dlq_raw", "dlq_message", "duplicate"]
+
+
+def test_successive_replays_append_each_original_once(spark, make_log, tmp_path):
+    log, tables = str(tmp_path / "log"), Tables(spark, str(tmp_path / "tables"))
+    append_log(make_log([event(id="1", message="FORCE_DLQ"), event(id="2", message="FORCE_DLQ")]), log)
+    done = 0
+    for run in range(3):
+        rows = read_log(spark, log)
+        project_batch(rows.filter(F.col("offset") >= done), run, tables)
+        done = rows.count()
+        replay_to_log(spark, tables, log)
+    offsets = sorted(r.offset for r in read_log(spark, log).collect())
+    assert offsets == list(range(8))  # two originals and two more a run, without gaps
+    origins = [r.headers.get("replayOrigin") for r in read_log(spark, log).collect()]
+    assert sorted(filter(None, origins)) == ["incident-events/0/0"] * 3 + ["incident-events/0/1"] * 3
+
+
+def test_published_stream_equals_its_source(spark, make_log, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    append_log(make_log([event(id="1"), "{oops", None]), source)
+    for _ in range(2):
+        publish_stream(stream_log(spark, source), str(tmp_path / "c"), target).awaitTermination()
+    assert sorted(map(str, read_log(spark, target).collect())) == sorted(map(str, read_log(spark, source).collect()))
+    with pytest.raises(ValueError):
+        publish_stream(stream_log(spark, source), str(tmp_path / "d"))
