@@ -78,4 +78,5 @@ def published(accepted: DataFrame, topic: str = "incident-events", offset: Colum
     ]
     if offset is not None:
         message += [F.lit(0).alias("partition"), offset.cast("bigint").alias("offset")]
-    return accepted.filter("ok").select(*message)
+    # The filter would otherwise repeat the whole check below the projection.
+    return sj.evaluated_once(accepted).filter("ok").select(*message)
