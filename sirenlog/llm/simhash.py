@@ -11,6 +11,12 @@ adds up the differing bits of 64 pairs at a time.  A query is dropped, and at
 last the block abandoned, once all its distances exceed the radius.  A block
 yields a spanning forest of its links, never all pairs.
 
+For copies that differ more, ``sketches`` and ``similar_groups`` take five-word
+shingles, 256 bits and a radius of SIMILAR_RADIUS, at which a similarity
+(Jaccard) of 0.8 still links; that radius leaves no usable bands of bits, so
+candidates meet by bands of minima of the shingles' hashes instead.  What meets
+is compared in the same way.
+
 A (band, value) group is cut into parts of PART fingerprints by hash, and each
 pair of parts is a unit of work of its own, so no group is one task.
 
@@ -34,31 +40,42 @@ from pyspark.sql.window import Window
 
 from sirenlog.llm.common import materialize
 from sirenlog.llm.components import components
+from sirenlog.llm.words import mix
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 PART = 2048       # fingerprints of a part of a group
+SIMILAR_SHINGLE, SIMILAR_WORDS, SIMILAR_RADIUS = 5, 4, 51
+BANDS, ROWS = 12, 3   # groups of minima; one group is shared with probability 1 - 2e-4 at a similarity of 0.8
 BLOCK = 1024      # small groups are compared together up to this size
 QUERIES = 256     # fingerprints that are compared with a block at once
 
 
-def fingerprint(text: bytes) -> int:
-    """The unsigned fingerprint of one text."""
+def shingle_values(text: bytes, size: int) -> np.ndarray:
+    """The XXH64 values of all shingles of a text, repeats included."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
+    if len(words) <= size:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum([len(x) + 1 for x in words]) - 1
-    if len(words) <= SHINGLE:
-        values = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        starts = [0, *(ends[:-SHINGLE] + 1).tolist()]
-        digest = xxhash.xxh64_intdigest
-        values = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1:].tolist())]
+    starts = [0, *(ends[:-size] + 1).tolist()]
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1:].tolist())], np.uint64)
+
+
+def majority(values: np.ndarray) -> np.uint64:
+    """The bits that are set in over half of the values."""
     counts = np.zeros(64, np.int64)
     for i in range(0, len(values), 1 << 16):
-        part = np.array(values[i:i + (1 << 16)], "<u8")
+        part = np.ascontiguousarray(values[i:i + (1 << 16)], "<u8")
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
-    return int(np.packbits(2 * counts > len(values), bitorder="little").view("<u8")[0])
+    return np.packbits(2 * counts > len(values), bitorder="little").view("<u8")[0]
+
+
+def fingerprint(text: bytes) -> int:
+    """The unsigned fingerprint of one text."""
+    return int(majority(shingle_values(text, SHINGLE)))
 
 
 def fingerprints(documents: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -84,10 +101,10 @@ def as_hex(value: Column) -> Column:
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
-    """Plane i holds bit i of all fingerprints, 64 to a word; the last word is filled up with zeros."""
-    padded = np.zeros(-(-len(prints) // 64) * 64, "<u8")
+    """Plane i holds bit i of all fingerprints (rows of 64-bit words), 64 to a word; the rest is filled up with zeros."""
+    padded = np.zeros((-(-len(prints) // 64) * 64, prints.shape[1]), "<u8")
     padded[:len(prints)] = prints
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(padded.view(np.uint8).reshape(len(padded), -1), axis=1, bitorder="little")
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
 
 
@@ -102,8 +119,9 @@ def within(planes: np.ndarray, queries: np.ndarray, asked: np.ndarray, radius: i
     alive, who = asked.copy(), np.arange(len(queries))
     counter = [np.full_like(alive, np.uint64(0xFFFFFFFFFFFFFFFF) if rest >> i & 1 else np.uint64(0))
                for i in range(digits)]
-    for i in range(64):
-        carry = planes[i][None, :] ^ (np.uint64(0) - ((queries >> np.uint64(i)) & np.uint64(1)))[:, None]
+    for i in range(len(planes)):
+        bit = (queries[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
+        carry = planes[i][None, :] ^ (np.uint64(0) - bit)[:, None]
         for digit in counter:
             up = digit & carry
             digit ^= carry
@@ -125,6 +143,7 @@ def links(prints: np.ndarray, radius: int = RADIUS, split: int = 0) -> np.ndarra
     With ``split``, only pairs across that place are compared.
     """
     n = len(prints)
+    prints = prints.reshape(n, -1)
     planes = bit_planes(prints)
     label, edges = np.arange(n), []
     place = np.arange(planes.shape[1] * 64)
@@ -157,61 +176,73 @@ def candidate_units(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(fp, i * width).bitwiseAND(
             F.lit((1 << (width if i < bands - 1 else 64 - width * i)) - 1)).alias("value")) for i in range(bands)])
     banded = nodes.select("fingerprint", F.explode(band).alias("b")).select("fingerprint", "b.*")
+    return _units(banded, "fingerprint")
+
+
+def _units(banded: DataFrame, node: str) -> DataFrame:
+    """Rows of (band, value) groups of at least two, cut into parts by a hash of the node and paired."""
     sizes = banded.groupBy("band", "value").count().filter("count > 1").withColumn(
         "parts", F.ceil(F.col("count") / PART).cast("int")).drop("count")
-    part = F.pmod(F.xxhash64("fingerprint", F.lit("part")), F.col("parts")).cast("int")
+    part = F.pmod(F.xxhash64(node, F.lit("part")), F.col("parts")).cast("int")
     parted = banded.join(sizes, ["band", "value"]).withColumn("part", part)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     low, high = F.least("part", "other"), F.greatest("part", "other")
+    kept = [c for c in banded.columns if c not in ("band", "value")]
     return parted.withColumn("other", other).select(
-        F.xxhash64("band", "value", low, high).alias("unit"), F.col("band"), F.col("value"),
-        low.alias("low"), high.alias("high"), (F.col("part") > F.col("other")).alias("side"), "fingerprint")
+        F.xxhash64("band", "value", low, high).alias("unit"), "band", "value",
+        low.alias("low"), high.alias("high"), (F.col("part") > F.col("other")).alias("side"), *kept)
 
 
-def link_edges(units: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges (a, b) that span the links of all units."""
+def link_edges(units: DataFrame, radius: int = RADIUS, node: str = "fingerprint",
+               prints: tuple[str, ...] = ("fingerprint",)) -> DataFrame:
+    """Edges (a, b) of nodes that span the links of all units."""
     key = ["band", "value", "low", "high"]
-    dealt = units.repartition("unit").sortWithinPartitions("unit", *key, "side", "fingerprint")
+    dealt = units.repartition("unit").sortWithinPartitions("unit", *key, "side", node)
 
-    def compare(group: list[np.ndarray], split: int) -> Iterator[pa.RecordBatch]:
-        prints = np.concatenate(group)
-        found = links(prints, radius, split)
+    def compare(group: list[tuple[np.ndarray, np.ndarray]], split: int) -> Iterator[pa.RecordBatch]:
+        nodes, values = (np.concatenate(x) for x in zip(*group))
+        found = links(values, radius, split)
         if len(found):
-            signed = prints.view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(signed[found[:, 0]]), pa.array(signed[found[:, 1]])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[found[:, 0]]), pa.array(nodes[found[:, 1]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Groups that lie on one part are compared together; extra links found across them are true ones.
-        small: list[np.ndarray] = []
+        small: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
-        for whole, paired, side, prints in _unit_groups(batches):
+        for paired, side, nodes, values in _unit_groups(batches, node, prints):
             if paired:
                 split = int(np.searchsorted(side, True))
-                if 0 < split < len(prints):
-                    yield from compare([prints], split)
+                if 0 < split < len(nodes):
+                    yield from compare([(nodes, values)], split)
                 continue
-            if held and held + len(prints) > BLOCK:
+            if held and held + len(nodes) > BLOCK:
                 yield from compare(small, 0)
                 small, held = [], 0
-            small.append(prints)
-            held += len(prints)
+            small.append((nodes, values))
+            held += len(nodes)
         if held:
             yield from compare(small, 0)
 
-    return dealt.select("low", "high", "side", "fingerprint", "unit", "band", "value").mapInArrow(
-        run, "a long, b long").distinct()
+    columns = list(dict.fromkeys(["unit", *key, "side", node, *prints]))
+    return dealt.select(*columns).mapInArrow(run, "a long, b long").distinct()
 
 
-def _unit_groups(batches: Iterator[pa.RecordBatch]):
-    """(key, whether it is a pair of parts, sides, fingerprints) of each unit; rows come sorted by unit."""
-    key, sides, prints = None, [], []
+def _unit_groups(batches: Iterator[pa.RecordBatch], node: str, prints: tuple[str, ...]):
+    """(whether it is a pair of parts, sides, nodes, fingerprints) of each unit; rows come sorted by unit."""
+    key, held = None, []
     names = ("unit", "band", "value", "low", "high")
+
+    def whole():
+        sides, nodes, values = (np.concatenate(x) for x in zip(*held))
+        return key[3] != key[4], sides, nodes, values
+
     for batch in batches:
-        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-        side = batch.column("side").to_numpy(zero_copy_only=False)
-        value = batch.column("fingerprint").to_numpy(zero_copy_only=False).view(np.uint64)
         if not batch.num_rows:
             continue
+        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        side = batch.column("side").to_numpy(zero_copy_only=False)
+        nodes = batch.column(node).to_numpy(zero_copy_only=False)
+        values = np.stack([batch.column(p).to_numpy(zero_copy_only=False) for p in prints], 1).view(np.uint64)
         change = np.zeros(batch.num_rows, bool)
         for c in columns:
             change[1:] |= c[1:] != c[:-1]
@@ -219,44 +250,99 @@ def _unit_groups(batches: Iterator[pa.RecordBatch]):
         for a, b in zip(starts, starts[1:]):
             here = tuple(int(c[a]) for c in columns)
             if here != key and key is not None:
-                yield key, key[3] != key[4], np.concatenate(sides), np.concatenate(prints)
-                sides, prints = [], []
+                yield whole()
+                held = []
             key = here
-            sides.append(side[a:b])
-            prints.append(value[a:b])
+            held.append((side[a:b], nodes[a:b], values[a:b]))
     if key is not None:
-        yield key, key[3] != key[4], np.concatenate(sides), np.concatenate(prints)
+        yield whole()
 
 
 def near_copy_groups(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """``prints`` (a stored table with ``key`` and ``fingerprint``) with ``component_id``, the smallest key reachable."""
     nodes = materialize(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), "simhash-nodes")
     edges = link_edges(candidate_units(nodes.select("fingerprint"), radius), radius)
+    return _named(prints, nodes, edges, "fingerprint")
+
+
+def _named(rows: DataFrame, nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
+    """The rows with ``component_id``, the least key of their node's component."""
     found = materialize(components(edges), "simhash-components")
-    linked = nodes.join(found, nodes["fingerprint"] == found["node"])
+    linked = nodes.select(node, "least").join(found, F.col(node) == F.col("node") if node != "node" else "node")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "component").select("fingerprint", "component_id")
-    of_print = nodes.join(named, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.drop("component_id").join(of_print, "fingerprint", "left")
+    named = linked.join(least, "component").select(node, "component_id")
+    of_node = nodes.select(node, "least").join(named, node, "left").select(
+        node, F.coalesce("component_id", "least").alias("component_id"))
+    return rows.drop("component_id").join(of_node, node, "left")
+
+
+# --- copies that differ more --------------------------------------------------
+
+_PRINTS = tuple(f"p{i}" for i in range(SIMILAR_WORDS))
+_SALTS = mix(np.arange(1, SIMILAR_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
+
+
+def sketch(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The 256-bit fingerprint (as words) over five-word shingles, and the hashes of the bands of minima."""
+    values = shingle_values(text, SIMILAR_SHINGLE)
+    if not len(values):
+        return np.zeros(SIMILAR_WORDS, np.uint64), np.zeros(BANDS, np.uint64)
+    prints = np.array([majority(mix(values + salt)) for salt in _SALTS], np.uint64)
+    least = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(values), 1 << 14):
+        least = np.minimum(least, (values[i:i + (1 << 14), None] * _ODD[None, :]).min(0))
+    rows = least.reshape(BANDS, ROWS)
+    bands = np.zeros(BANDS, np.uint64)
+    for k in range(ROWS):
+        bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
+    return prints, bands
+
+
+def sketches(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep``, the fingerprint's words and ``bands``."""
+    source = documents.select(*keep, F.coalesce(text, F.lit("")).cast("binary").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [sketch(x.as_py()) for x in batch.column("__text")]
+            prints = np.array([p for p, _ in made], np.uint64).reshape(-1, SIMILAR_WORDS).view(np.int64)
+            bands = np.array([b for _, b in made], np.uint64).reshape(-1).view(np.int64)
+            offsets = pa.array(np.arange(len(made) + 1) * BANDS, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(n) for n in keep] + [pa.array(np.ascontiguousarray(prints[:, i])) for i in range(SIMILAR_WORDS)]
+                + [pa.ListArray.from_arrays(offsets, pa.array(bands))], [*keep, *_PRINTS, "bands"])
+
+    return source.mapInArrow(run, T.StructType([source.schema[n] for n in keep] + [
+        T.StructField(p, T.LongType()) for p in _PRINTS] + [T.StructField("bands", T.ArrayType(T.LongType()))]))
+
+
+def similar_groups(rows: DataFrame, key: str, radius: int = SIMILAR_RADIUS) -> DataFrame:
+    """``rows`` (a stored table of ``sketches``) with ``node`` and ``component_id``, the smallest key reachable."""
+    rows = rows.withColumn("node", F.xxhash64(*_PRINTS))
+    nodes = materialize(rows.groupBy("node").agg(
+        F.min(key).alias("least"), *[F.min(p).alias(p) for p in _PRINTS], F.min("bands").alias("bands")), "simhash-nodes")
+    banded = nodes.select("node", *_PRINTS, F.posexplode("bands").alias("band", "value"))
+    edges = link_edges(_units(banded, "node"), radius, "node", _PRINTS)
+    return _named(rows.drop("bands", *_PRINTS), nodes, edges, "node")
 
 
-def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest key.
+def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", radius: int = SIMILAR_RADIUS) -> DataFrame:
+    """One document of each group of similar ones: the one with the smallest key.
 
     Rows that repeat the smallest key are told apart by their fingerprint and a
     hash of the text; of wholly equal rows one stays.
     """
-    prints = materialize(fingerprints(documents.select(
+    rows = materialize(sketches(documents.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")), "text",
-        ["key", "mark"]), "simhash-prints")
-    grouped = near_copy_groups(prints, "key", radius)
+        ["key", "mark"]), "simhash-sketches")
+    grouped = similar_groups(rows, "key", radius)
     # Only what is kept, one row per component, meets the texts again.
     first = grouped.filter(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min(F.struct("fingerprint", "mark")).alias("f")).select(
+        F.min(F.struct("node", "mark")).alias("f")).select(
             F.col("component_id").alias("key"), F.col("f.mark").alias("mark"))
-    rows = documents.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
-    kept = rows.join(first, rows["key"].eqNullSafe(first["key"]) & (rows["mark"] == first["mark"]), "left_semi")
+    whole = documents.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
+    kept = whole.join(first, whole["key"].eqNullSafe(first["key"]) & (whole["mark"] == first["mark"]), "left_semi")
     # Equal rows share a key and a mark; the group limit is applied before any further exchange.
     order = Window.partitionBy("key", "mark").orderBy("key")
     return kept.withColumn("at", F.row_number().over(order)).filter("at = 1").select("row.*")

@@ -83,10 +83,66 @@ def test_keep_one(spark, documents, odd_rows):
     docs = documents(odd_rows).selectExpr("*", "'x' AS fingerprint", "1 AS component_id", "2 AS row", "3 AS mark")
     kept = s.keep_one(docs)
     assert kept.columns == docs.columns
-    texts = [r.text for r in kept.collect()]
-    prints = [plain_fingerprint(t) for t in texts]
-    assert len(prints) == len(set(prints)) == len(set(plain_components([plain_fingerprint(t) for _, t in odd_rows])))
-    assert {r.fingerprint for r in kept.collect()} == {"x"}
+    rows = kept.collect()
+    group = similar_components([t for _, t in odd_rows])
+    assert len(rows) == len(set(group)) and {r.fingerprint for r in rows} == {"x"}
+    assert len({similar_print(r.text) for r in rows}) == len(rows)
+
+
+def similar_print(text):
+    """256 bits over five-word shingles, bit by bit."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i:i + 5]) for i in range(len(words) - 4)] or [b" ".join(words)]
+    values = np.array([xxhash.xxh64_intdigest(x, 42) for x in shingles], np.uint64)
+    out = 0
+    for k, salt in enumerate(s._SALTS):
+        mixed = s.mix(values + salt)
+        for b in range(64):
+            if 2 * int((mixed >> np.uint64(b) & np.uint64(1)).sum()) > len(values):
+                out |= 1 << 64 * k + b
+    return out
+
+
+def similar_components(texts):
+    return plain_components([similar_print(t) for t in texts], s.SIMILAR_RADIUS)
+
+
+def test_similar_texts_meet_and_others_do_not(documents):
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    shared = [word() for _ in range(60)]
+    rows, want = [], []
+    for g in range(25):
+        base = [word() for _ in range(300)]
+        for copy in range(4):
+            changed = list(base)
+            for at in rng.choice(300, 6 * (copy > 0), replace=False):  # similarity about 0.82
+                changed[at] = word()
+            rows.append((len(rows), " ".join(changed)))
+            want.append(4 * g)
+    for _ in range(40):  # one long passage in otherwise different texts
+        rows.append((len(rows), " ".join([word() for _ in range(120)] + shared + [word() for _ in range(120)])))
+        want.append(len(rows) - 1)
+    kept = {r.doc_id for r in s.keep_one(documents(rows)).collect()}
+    assert kept == set(want)
+
+
+@pytest.mark.parametrize("radius", [40, 51])
+def test_wide_links_equal_all_pairs(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, (60, 4), dtype=np.uint64)
+    near = base.copy()
+    for row, n in zip(near, rng.integers(20, 70, 60)):
+        for b in rng.choice(256, n, replace=False):
+            row[b // 64] ^= np.uint64(1 << int(b % 64))
+    prints = np.concatenate([base, near])
+    found = {tuple(e) for e in s.links(prints, radius).tolist()}
+    want = {(i, j) for i in range(120) for j in range(i + 1, 120)
+            if int(np.bitwise_count(prints[i] ^ prints[j]).sum()) <= radius}
+    joined = lambda edges: {frozenset(g) for g in _groups(120, edges)}
+    assert found <= want and joined(found) == joined(want)
 
 
 def test_empty(documents):
