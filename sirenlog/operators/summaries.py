@@ -18,9 +18,18 @@ from sirenlog.operators.numbering import numbered, part_offsets, parts_of
 DEFAULT_LIMIT = 20
 CONFIDENCE = ("LOW", "MEDIUM", "HIGH")
 LIST_LENGTH = 3
-SUMMARY_FIELDS = (
-    "summary", "customer_impact", "likely_root_cause", "confidence", "next_actions", "signals",
+# The contract of a reply: field, kind, and what is asked of the field.  The prompt's rules,
+# the decoded columns and the checks all come from it.
+TEXT, CHOICE, LIST = "text", "choice", "list"
+REPLY_CONTRACT = (
+    ("summary", TEXT, "2 to 4 sentences, fewer than 90 words, no markdown."),
+    ("customer_impact", TEXT, "1 or 2 sentences."),
+    ("likely_root_cause", TEXT, '"Unknown based on current evidence" when unclear.'),
+    ("confidence", CHOICE, f"{', '.join(CONFIDENCE[:-1])} or {CONFIDENCE[-1]}, by strength of evidence."),
+    ("next_actions", LIST, f"exactly {LIST_LENGTH} specific imperative items."),
+    ("signals", LIST, f"exactly {LIST_LENGTH} concrete observations from the context."),
 )
+SUMMARY_FIELDS = tuple(name for name, _, _ in REPLY_CONTRACT)
 GRAPHQL_FIELDS = ("summary", "customerImpact", "likelyRootCause", "confidence", "nextActions", "signals")
 NO_EVENTS = "(none)"
 NO_HEALTH = "(not provided)"
@@ -154,15 +163,7 @@ PROMPT_HEAD = """You assist on-call engineers of an incident platform.
 Summarise the production incident below. State only what the input supports, and name weak or conflicting evidence.
 
 Rules for the reply, which is one JSON object and nothing else:
-- summary: 2 to 4 sentences, fewer than 90 words, no markdown.
-- customer_impact: 1 or 2 sentences.
-- likely_root_cause: "Unknown based on current evidence" when unclear.
-- confidence: LOW, MEDIUM or HIGH, by strength of evidence.
-- next_actions: exactly 3 specific imperative items.
-- signals: exactly 3 concrete observations from the context.
-
-Context
-"""
+""" + "".join(f"- {name}: {rule}\n" for name, _, rule in REPLY_CONTRACT) + "\nContext\n"
 PROMPT_TASK = "\n\nTask: write the JSON summary of this incident."
 
 
@@ -250,10 +251,10 @@ def parse_summaries(replies: DataFrame, reply: str = "reply") -> DataFrame:
     decoded = out.attach(replies).selectExpr(
         *replies.columns,
         f"{out.is_valid()} AS decoded",
-        *[f"{out.string(name)} AS {name}" for name in SUMMARY_FIELDS[:4]],
         *[
             f"CASE WHEN {sj.is_array(out.kind(name))} THEN from_json({out.raw(name)}, 'array<string>') END AS {name}"
-            for name in SUMMARY_FIELDS[4:]
+            if kind == LIST else f"{out.string(name)} AS {name}"
+            for name, kind, _ in REPLY_CONTRACT
         ],
     )
     return sj.evaluated_once(decoded)
@@ -284,8 +285,9 @@ def validate_replies(replies: DataFrame, shape: str = "summary", reply: str = "r
     names = GRAPHQL_FIELDS if shape == "graphql" else SUMMARY_FIELDS
     outer = {"summary": (), "rest": ("ok", "incidentId"), "graphql": ("incidentId",)}[shape]
     out = sj.JsonObject(reply, (*outer, *names))
-    checked_texts = names[:3] if shape == "summary" else names[:1]
-    confidence, lists = names[3], names[4:]
+    of_kind = lambda wanted: [n for n, (_, kind, _) in zip(names, REPLY_CONTRACT) if kind == wanted]
+    checked_texts = of_kind(TEXT) if shape == "summary" else of_kind(TEXT)[:1]
+    [confidence], lists = of_kind(CHOICE), of_kind(LIST)
 
     def got(name: str) -> str:
         return sj.as_json(out.kind(name), out.raw(name))
