@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,21 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors reach, from ``spark.checkpoint.dir``.
-
-    Where the setting is missing, a local session gets a temporary folder; a
-    cluster without it is an error, since its machines share no local disk.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sirenlog-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+from sirenlog.session import shared_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
