@@ -47,7 +47,8 @@ SLICE = 1 << 21
 SHARD = 1 << 20              # bytes of a suffix order
 HOT = 2048                   # different runs of one anchor that one suffix order takes
 PIECE = 16                   # windows of a piece of a hot anchor's run
-_PLACE = 28                  # bits of a place in a slice
+PART = 1 << 24               # bytes of a longer text that are looked at together
+_PLACE = 28                  # bits of a place in a part
 
 
 def sliding_least(values: np.ndarray, size: int) -> np.ndarray:
@@ -65,8 +66,12 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     """Text number, first window (from the text's start), windows, anchor hash and run hash of every run."""
     if len(data) < LENGTH:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
-    if len(data) >= 1 << _PLACE:
-        raise ValueError(f"a text has more than {1 << _PLACE} bytes")
+    if len(data) > PART and len(bounds) == 2:
+        # A very long text in parts, by where windows start; runs that a limit cuts are judged by their suffixes.
+        step = PART - LENGTH
+        cuts = [(a, data[a:a + step + LENGTH - 1]) for a in range(0, len(data) - LENGTH + 1, step)]
+        parts = [(a, runs(piece, np.array([0, len(piece)]))) for a, piece in cuts]
+        return tuple(np.concatenate([x[i] + a if i == 1 else x[i] for a, x in parts]) for i in range(5))
     hashes = w.Hashes(data)
     grams = hashes.windows(GRAM)
     place = np.arange(len(grams), dtype=np.uint64)
@@ -189,9 +194,13 @@ def _by_suffixes(cut: DataFrame, keep: str) -> DataFrame:
     def judge(rows: pa.Table) -> pa.RecordBatch:
         strings = rows.column("content").to_pylist()
         s = Suffixes(strings, LENGTH)
-        longest = s.factors()
+        # Only windows that lie wholly in their run can be found again.
+        whole = np.zeros(len(s.order), bool)
+        for a, b in zip(s.starts, s.starts[1:]):
+            whole[a:max(a, b - LENGTH)] = True
+        longest = s.factors(among=whole)
         if keep == "none":
-            longest = np.maximum(longest, s.factors(earlier=False))
+            longest = np.maximum(longest, s.factors(earlier=False, among=whole))
         found = np.zeros(len(longest) + 1, np.int8)
         found[:-1] = longest >= LENGTH
         edge = np.diff(found, prepend=np.int8(0))

@@ -35,14 +35,14 @@ class Suffixes:
             if distinct and length < depth:
                 self.ranks.append((length, rank.astype(np.int32)))
                 break
-        self.order = order if len(self.ranks) > 1 else np.argsort(rank, kind="stable")
+        self.order = order if len(self.ranks) > 1 else np.argsort(rank)
 
     @staticmethod
     def _double(rank: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, bool]:
         after = np.zeros_like(rank)
         after[:-length] = rank[length:] + 1
         key = rank << np.int64(31) | after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         step = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
         new = np.empty_like(rank)
@@ -60,14 +60,18 @@ class Suffixes:
             size += np.where(inside & (rank[i] == rank[j]) & (a != b), length, 0)
         return size
 
-    def factors(self, earlier: bool = True) -> np.ndarray:
-        """For each position the longest match that starts at an earlier (or later) one."""
-        at = self.order if earlier else -self.order
+    def factors(self, earlier: bool = True, among: np.ndarray | None = None) -> np.ndarray:
+        """For each position the longest match that starts at an earlier (or later) one.
+
+        ``among`` marks the positions that take part; the others match nothing.
+        """
+        order = self.order if among is None else self.order[among[self.order]]
+        at = order if earlier else -order
         longest = np.zeros(len(self.order), np.int64)
         for side in (1, -1):
             near = nearest_smaller(at[::side])
             has = np.flatnonzero(near >= 0)
-            own, other = self.order[::side][has], self.order[::side][near[has]]
+            own, other = order[::side][has], order[::side][near[has]]
             longest[own] = np.maximum(longest[own], self.common(own, other))
         return longest
 

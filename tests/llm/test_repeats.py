@@ -26,11 +26,14 @@ def test_factors(seed):
         return next((i for i in range(min(len(x), len(y))) if x[i] != y[i]), min(len(x), len(y)))
 
     s = Suffixes(strings, 16)
-    for earlier in (True, False):
-        got = s.factors(earlier)
-        for p, a in enumerate(places):
-            want = max([common(a, b) for q, b in enumerate(places) if (q < p if earlier else q > p)], default=0)
-            assert min(want, 16) == min(got[p], 16)
+    for among in (np.ones(len(places), bool), rng.random(len(places)) < 0.4):
+        for earlier in (True, False):
+            got = s.factors(earlier, among)
+            for p, a in enumerate(places):
+                want = max([common(a, b) for q, b in enumerate(places)
+                            if (q < p if earlier else q > p) and among[p] and among[q]], default=0)
+                assert min(want, 16) == min(got[p], 16)
+    assert s.factors().tolist() == s.factors(among=np.ones(len(places), bool)).tolist()
 
 
 def plain_ranges(rows, keep):
@@ -76,6 +79,21 @@ def test_every_occurrence(documents, monkeypatch, hot, shard):
         assert got[i] == (len(d), len(d) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()), i
 
 
+def test_a_text_in_parts_has_the_same_anchors(monkeypatch):
+    data = np.frombuffer("\n".join(t or "" for _, t in _corpus()).encode(), np.uint8)
+    bounds = np.array([0, len(data)])
+
+    def by_window():
+        _, place, windows, anchor, _ = r.runs(data, bounds)
+        assert sorted(np.concatenate([np.arange(p, p + n) for p, n in zip(place, windows)])) == list(range(len(data) - 199))
+        return {p + i: h for p, n, h in zip(place.tolist(), windows.tolist(), anchor.tolist()) for i in range(n)}
+
+    whole = by_window()
+    for part in (450, 1000, len(data) - 1):
+        monkeypatch.setattr(r, "PART", part)
+        assert by_window() == whole
+
+
 @pytest.mark.parametrize("hot", [2048, 2])
 def test_later_copies(documents, monkeypatch, hot):
     monkeypatch.setattr(r, "HOT", hot)
