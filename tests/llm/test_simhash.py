@@ -154,3 +154,64 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     assert {(r.node, r.component) for r in components(edges).collect()} == {
         (i, 0) for i in range(61)} | {(100, 100), (101, 100)}
+
+
+def jaccard(a, b):
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def plain_similar(texts):
+    """Index of the least member of each text's component, from the similarity of all pairs."""
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and jaccard(texts[i], texts[j]) >= 0.8:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    return group
+
+
+def _edited(rng, n_groups, copies, changes, n_words=160):
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    texts = []
+    for _ in range(n_groups):
+        base = [word() for _ in range(n_words)]
+        for _ in range(copies):
+            text = list(base)
+            for at in rng.choice(n_words, int(rng.choice(changes)), replace=False):
+                text[at] = word()
+            texts.append(" ".join(text))
+    return texts
+
+
+def test_keep_one_equals_the_exact_similarity(documents, monkeypatch):
+    """Copies on both sides of 0.8, chains among them; parts of groups too."""
+    monkeypatch.setattr(s, "PART", 8)
+    rng = np.random.default_rng(12)
+    texts = _edited(rng, 40, 2, [0, 1, 2, 3, 5, 6]) + _edited(rng, 3, 20, [1, 2, 3, 4, 5])
+    texts += ["a b c d e f g h", "a b c d e f g h x", "a b c d e f g x"]
+    near = [jaccard(texts[i], texts[i + 1]) for i in range(0, 80, 2)]
+    assert sum(0.6 < x < 0.8 for x in near) > 8 and sum(0.8 <= x < 1 for x in near) > 8
+    group = plain_similar(texts)
+    kept = sorted(r.doc_id for r in s.keep_one(documents(list(enumerate(texts)))).collect())
+    assert kept == sorted(set(group))
+
+
+@pytest.mark.parametrize("split", [0, 70])
+@pytest.mark.parametrize("small", [64, 200])
+def test_near_members_equal_all_pairs(monkeypatch, split, small):
+    monkeypatch.setattr(s, "SMALL", small)
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, (60, 4), dtype=np.uint64)
+    near = base.copy()
+    for row, n in zip(near, rng.integers(20, 100, 60)):
+        for b in rng.choice(256, n, replace=False):
+            row[b // 64] ^= np.uint64(1 << int(b % 64))
+    prints = np.concatenate([base, near])
+    found = {(i, int(j)) for i, js in s.near_members(prints, 72, split) for j in js}
+    assert found == {(i, j) for i in range(120) for j in range(i + 1, 120)
+                     if int(np.bitwise_count(prints[i] ^ prints[j]).sum()) <= 72 and (not split or i < split <= j)}
