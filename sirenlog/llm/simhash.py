@@ -467,20 +467,19 @@ def similar_groups(rows: DataFrame, documents: DataFrame, radius: int = MEETING_
 def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", radius: int = MEETING_RADIUS) -> DataFrame:
     """One document of each group of similar ones: the one with the smallest key.
 
-    Rows that repeat the smallest key are told apart by their fingerprint and a
-    hash of the text; of wholly equal rows one stays.
+    Groups are those of ``component``, whatever keys their rows have: a null or
+    repeated key joins nothing.  Rows of a group that repeat its smallest key are
+    told apart by their shingle set and a hash of the text; of wholly equal rows
+    one stays, and null keys come last.
     """
     rows = materialize(sketches(documents.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")), "text",
         ["key", "mark"]), "simhash-sketches")
     texts = documents.select(F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     grouped = similar_groups(rows, texts, radius)
-    least = grouped.groupBy("component").agg(F.min("key").alias("component_id"))
-    grouped = grouped.join(least, "component")
-    # Only what is kept, one row per component, meets the texts again.
-    first = grouped.filter(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min(F.struct("node", "mark")).alias("f")).select(
-            F.col("component_id").alias("key"), F.col("f.mark").alias("mark"))
+    # Only what is kept, one row per component, meets the texts again; null keys come last.
+    first = grouped.groupBy("component").agg(F.min(F.struct(
+        F.col("key").isNull().alias("none"), "key", "node", "mark")).alias("f")).select("f.key", "f.mark")
     whole = documents.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
     kept = whole.join(first, whole["key"].eqNullSafe(first["key"]) & (whole["mark"] == first["mark"]), "left_semi")
     # Equal rows share a key and a mark; the group limit is applied before any further exchange.

@@ -215,3 +215,11 @@ def test_near_members_equal_all_pairs(monkeypatch, split, small):
     found = {(i, int(j)) for i, js in s.near_members(prints, 72, split) for j in js}
     assert found == {(i, j) for i in range(120) for j in range(i + 1, 120)
                      if int(np.bitwise_count(prints[i] ^ prints[j]).sum()) <= 72 and (not split or i < split <= j)}
+
+
+def test_null_and_repeated_ids_join_nothing(documents):
+    rows = [(None, "first text that has no id"), (None, "second text, also without one"), (None, "and a third of the kind"),
+            (None, "and a third of the kind"), (5, "one text under the id five"), (5, "quite another with the same id"),
+            (6, "one text under the id five")]
+    kept = [(r.doc_id, r.text) for r in s.keep_one(documents(rows)).collect()]
+    assert sorted(kept, key=str) == sorted([*rows[:3], *rows[4:6]], key=str)
