@@ -16,7 +16,9 @@ Defined results: calls without an id or conversation are never linked (status
 ``unlinked``), results without one are orphans; null arguments are no JSON;
 a reference to an id that the conversation lacks, or to a repeated one's later
 copy, is an error and orders nothing; equal rows are separate, the first in the
-order of (turn, place) counts, and of wholly equal ones all are alike.
+order of (turn, place) counts, and of wholly equal ones all are alike.  Results
+of one turn have no place: those with content come first, in the order of a hash
+of it, and every result but the first is reported, equal ones by their count.
 """
 
 from __future__ import annotations
@@ -162,9 +164,13 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, Any]) ->
     checked = materialize(_checked(calls, schemas), "tool-checked")
     # The first of each identifier, found before any payload moves.
     first_call = checked.filter(has_key).groupBy(key).agg(F.min(F.struct("turn", "place")).alias("first"))
-    first_result = results.filter(has_key).groupBy(key).agg(F.min("turn").alias("first_turn"))
-    answers = results.join(first_result, key).filter(F.col("turn").eqNullSafe(F.col("first_turn")))
-    answers = answers.groupBy(key).agg(F.min("content").alias("content"), F.lit(True).alias("answered"))
+    order = F.struct(F.col("turn").isNull().alias("late"), "turn", F.col("content").isNull().alias("bare"),
+                     F.xxhash64("content").alias("tie"))
+    first_result = results.filter(has_key).groupBy(key).agg(F.min(order).alias("first_result"))
+    is_first = order.eqNullSafe(F.col("first_result"))
+    answers = results.join(first_result, key).filter(is_first).groupBy(key).agg(
+        F.min("content").alias("content"), F.lit(True).alias("answered"), F.min("turn").alias("first_turn"),
+        F.count(F.lit(1)).alias("equal_results"))
     nodes = checked.join(first_call, key).filter(F.struct("turn", "place").eqNullSafe(F.col("first"))).groupBy(key).agg(
         F.min("refs").alias("refs"))
     levels = topological_levels(nodes)
@@ -176,7 +182,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, Any]) ->
 
     ranked = checked.join(first_call.hint("shuffle_hash"), key, "left").withColumn(
         "repeated", ~F.struct("turn", "place").eqNullSafe(F.col("first")) & F.col("first").isNotNull()).drop("first")
-    met = ranked.join(answers.hint("shuffle_hash"), key, "left").join(levels.hint("shuffle_hash"), key, "left")
+    answer = answers.drop("first_turn", "equal_results")
+    met = ranked.join(answer.hint("shuffle_hash"), key, "left").join(levels.hint("shuffle_hash"), key, "left")
     same = [met[c].eqNullSafe(lost[c]) for c in ("turn", "place")]
     met = met.join(lost, [met["conv_id"] == lost["conv_id"], met["call_id"] == lost["call_id"], *same], "left").select(
         met["*"], F.coalesce("lost", F.array().cast("array<string>")).alias("lost"))
@@ -191,8 +198,10 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, Any]) ->
             F.array(F.lit("references form a circle"))).otherwise(F.array().cast("array<string>")))).alias("errors"),
         F.when(F.col("status") == "linked", F.col("content")).alias("content"), "canonical")
     first_only = results.join(first_call, key, "left_semi")
-    spare = first_only.join(first_result, key).filter(~F.col("turn").eqNullSafe(F.col("first_turn"))).withColumn(
-        "status", F.lit("repeated_result"))
+    spare = first_only.join(first_result, key).filter(~is_first).select(*results.columns).unionByName(
+        answers.filter("equal_results > 1").join(first_call, key, "left_semi").withColumn(
+            "copy", F.explode(F.sequence(F.lit(2), "equal_results"))).withColumnRenamed(
+                "first_turn", "turn").select(*results.columns)).withColumn("status", F.lit("repeated_result"))
     orphans = results.join(first_call, key, "left_anti").withColumn("status", F.lit("orphan_result"))
     none = [F.lit(None).cast(linked.schema[c].dataType).alias(c) for c in ("place", "name", "level")]
     rest = spare.select(*orphans.columns).unionByName(orphans).select(

@@ -92,3 +92,22 @@ def test_a_long_chain_either_way(spark, monkeypatch):
 
 def test_empty(spark):
     assert _link(spark, [], []) == []
+
+
+def test_results_that_tie_are_all_reported(spark):
+    calls = [(1, 1, 0, c, "f", "1") for c in "abcd"]
+    results = [(1, 2, "a", "x"), (1, 2, "a", "y"), (1, 2, "a", None), (1, 4, "a", "z"), (1, 2, "b", "same"), (1, 2, "b", "same"),
+               (1, 2, "b", "same"), (1, None, "c", "p"), (1, None, "c", "q"), (1, None, "d", "late"), (1, 3, "d", "early")]
+    rows = _link(spark, calls, results)
+    assert len(rows) == len(results)
+    content = lambda r: json.loads(r.message)["result"]["content"]
+    for call in "abcd":
+        mine = [r for r in rows if r.call_id == call]
+        linked = [r for r in mine if r.status == "linked"]
+        assert len(linked) == 1 and all(r.status == "repeated_result" for r in mine if r is not linked[0])
+        assert sorted((content(r) for r in mine), key=str) == sorted((c for _, _, i, c in results if i == call), key=str)
+        later = [(r.turn, content(r)) for r in mine if r is not linked[0]]
+        given = [(turn, c) for _, turn, i, c in results if i == call]
+        assert all(x in given for x in later)
+    first = {r.call_id: content(r) for r in rows if r.status == "linked"}
+    assert first["a"] in ("x", "y") and first["b"] == "same" and first["d"] == "early"
