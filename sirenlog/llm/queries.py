@@ -143,6 +143,66 @@ def op4_suffix_repeats(spark, sf_dir):
     return removal_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+SHARDS = 40
+
+
+@_query
+def op11_minimax_shards(spark, sf_dir):
+    from sirenlog.llm import sharding as s
+
+    sizes = s.document_sizes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return s.shard_rows(sizes, "text_group", "size", "doc_id", SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+# Checksums byte by byte; the capacity by a machine that looks up one group end a step.
+_ORACLES["op11_minimax_shards"] = """
+WITH RECURSIVE
+poly(i, c, k) AS (SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM poly WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS entries FROM poly WHERE k = 8),
+d AS (SELECT doc_id, coalesce(text, '') AS t, octet_length(encode(coalesce(text, ''))) + 16 AS size FROM documents),
+crc AS (
+  SELECT t, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+             regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST(concat('0x', x) AS BIGINT))),
+           lambda c, b: xor(c // 256, entries[CAST(xor(c % 256, b) AS INTEGER) + 1])), 4294967295) AS text_crc32
+  FROM (SELECT DISTINCT t FROM d), crc_table),
+g AS (SELECT t, sum(size)::BIGINT AS size, min(doc_id) AS first, sha256(t) AS tie FROM d GROUP BY t),
+by_size AS (
+  SELECT *, row_number() OVER w AS i, sum(size) OVER () - coalesce(sum(size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+         AND 1 PRECEDING), 0) AS rest FROM g WINDOW w AS (ORDER BY size DESC, tie)),
+own AS (SELECT *, bool_and(i < 40 AND size * (41 - i) >= rest) OVER (ORDER BY i) AS alone FROM by_size),
+n_own AS (SELECT count(*) FILTER (alone) AS k FROM own),
+ends AS (SELECT t, (sum(size) OVER (ORDER BY first NULLS FIRST, tie ROWS UNBOUNDED PRECEDING))::BIGINT AS e, size
+         FROM own WHERE NOT alone),
+limits AS (SELECT max(e) AS total, greatest(max(size), (max(e) + 39 - any_value(k)) // (40 - any_value(k)))::BIGINT AS low,
+                  40 - any_value(k) AS shards FROM ends, n_own),
+machine AS (
+  SELECT low, total AS high, (low + total) // 2 AS c, 0::BIGINT AS pos, 0::BIGINT AS used FROM limits
+  UNION ALL
+  SELECT CASE WHEN full_up THEN c + 1 ELSE low END, CASE WHEN fits THEN c ELSE high END,
+         CASE WHEN fits THEN (low + c) // 2 WHEN full_up THEN (c + 1 + high) // 2 ELSE c END,
+         CASE WHEN fits OR full_up THEN 0 ELSE next END, CASE WHEN fits OR full_up THEN 0 ELSE used + 1 END
+  FROM (SELECT m.low, m.high, m.c, m.used, max(e) AS next, max(e) = any_value(l.total) AS fits,
+               max(e) < any_value(l.total) AND m.used + 1 = any_value(l.shards) AS full_up
+        FROM machine m, limits l, ends WHERE m.low < m.high AND e <= m.pos + m.c GROUP BY m.low, m.high, m.c, m.pos, m.used)),
+best AS (SELECT min(high) AS c FROM machine WHERE low = high),
+cuts AS (
+  SELECT 0::BIGINT AS pos, -1 AS shard
+  UNION ALL
+  SELECT max(e), any_value(shard) + 1 FROM cuts, best, limits, ends WHERE pos < total AND e <= pos + c GROUP BY cuts.pos),
+placed AS (
+  SELECT t, i - 1 AS shard, 0 AS e FROM own WHERE alone
+  UNION ALL
+  SELECT t, k + (SELECT min(shard) FROM cuts WHERE cuts.pos >= e AND shard >= 0), e FROM ends, n_own)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY e, sha256(d.t), doc_id NULLS FIRST) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM d JOIN crc ON d.t = crc.t JOIN placed ON d.t = placed.t
+"""
+
+
 TOOLS = ("search", "translate", "count")
 TOOL_SCHEMA = {
     "type": "object", "required": ["limit", "query"], "additionalProperties": False,
