@@ -203,6 +203,31 @@ FROM d JOIN crc ON d.t = crc.t JOIN placed ON d.t = placed.t
 """
 
 
+@_query
+def op13_ranked_search(spark, sf_dir):
+    from sirenlog.llm.ranked_search import search
+
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+_TERMS += "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_ORACLES["op13_ranked_search"] = f"""
+WITH found AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+held AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, count(*) AS n FROM found GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM held, whole GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN lengths USING (doc_id), whole GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 TOOLS = ("search", "translate", "count")
 TOOL_SCHEMA = {
     "type": "object", "required": ["limit", "query"], "additionalProperties": False,

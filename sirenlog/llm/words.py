@@ -64,20 +64,24 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return _SPACE[data]
 
 
-def word_ranges(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word ``[^\\x20\\x09-\\x0D]+``, and the number of words before each text (and in all)."""
-    inside = ~_SPACE[data]
-    first = np.zeros(len(data) + 1, bool)
+def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every maximal run of marked bytes in a text, and the number of runs before each text (and in all)."""
+    first = np.zeros(len(inside) + 1, bool)
     first[bounds] = True
-    left = np.ones(len(data), bool)
+    left = np.ones(len(inside), bool)
     left[1:] = ~inside[:-1]
-    right = np.ones(len(data), bool)
+    right = np.ones(len(inside), bool)
     right[:-1] = ~inside[1:]
     start = np.flatnonzero(inside & (left | first[:-1]))
     end = np.flatnonzero(inside & (right | first[1:])) + 1
     return start, end, np.searchsorted(start, bounds)
 
 
+def word_ranges(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word ``[^\\x20\\x09-\\x0D]+``, and the number of words before each text (and in all)."""
+    return runs(~_SPACE[data], bounds)
+
+
 def sums_by_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The sum of the values of each text; exact, as values are integers or booleans."""
     total = np.zeros(len(values) + 1, np.int64)
