@@ -228,6 +228,48 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 5
 """
 
 
+@_query
+def op12_phrase_collocations(spark, sf_dir):
+    from sirenlog.llm.phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+_ORACLES["op12_phrase_collocations"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+placed AS (SELECT lang, p, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM numbered),
+totals AS (SELECT lang, count(*) AS n FROM placed GROUP BY lang),
+follow AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER s AS w2, lead(w, 2) OVER s AS w3, lead(w, 3) OVER s AS w4, lead(w, 4) OVER s AS w5
+  FROM placed WINDOW s AS (PARTITION BY p ORDER BY i)),
+held AS (
+  SELECT lang, unnest([[w1], CASE WHEN w2 IS NOT NULL THEN [w1, w2] END, CASE WHEN w3 IS NOT NULL THEN [w1, w2, w3] END,
+         CASE WHEN w4 IS NOT NULL THEN [w1, w2, w3, w4] END, CASE WHEN w5 IS NOT NULL THEN [w1, w2, w3, w4, w5] END]) AS ws
+  FROM follow),
+f AS (SELECT lang, ws, count(*) AS n FROM held WHERE ws IS NOT NULL GROUP BY lang, ws HAVING count(*) >= 100),
+covers AS (
+  SELECT lang, unnest([ws[:-2], ws[2:]]) AS ws, n FROM f WHERE len(ws) > 2),
+lone AS (
+  SELECT f.lang, f.ws, f.n AS a FROM f LEFT JOIN (SELECT lang, ws, max(n) AS n FROM covers GROUP BY lang, ws) c
+  ON f.lang = c.lang AND f.ws = c.ws WHERE len(f.ws) > 1 AND (c.n IS NULL OR c.n < f.n)),
+cuts AS (SELECT *, unnest(range(1, len(ws))) AS k FROM lone),
+scored AS (
+  SELECT cuts.lang, cuts.ws, a, k, x.n AS l, y.n AS r, totals.n AS n,
+         ((1000::HUGEINT * a * totals.n) // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM cuts JOIN totals ON cuts.lang = totals.lang
+  JOIN f x ON x.lang = cuts.lang AND x.ws = cuts.ws[:k] JOIN f y ON y.lang = cuts.lang AND y.ws = cuts.ws[k + 1:]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ws, ' ')) AS rank,
+         array_to_string(ws, ' ') AS phrase, a, l, r, n, score FROM best)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
 TOOLS = ("search", "translate", "count")
 TOOL_SCHEMA = {
     "type": "object", "required": ["limit", "query"], "additionalProperties": False,
