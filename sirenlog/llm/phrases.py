@@ -158,58 +158,61 @@ def count_words(documents: DataFrame, salt: int) -> DataFrame:
 class Trie:
     """Counts of windows: inner nodes by word id, hash containers of the remaining ids below.
 
-    Keys are the ids as bytes, eight to an id.
+    The root branches by the first id; a subtree is one container of the other
+    four ids (as bytes, eight to an id) or, burst, an inner node of containers.
     """
 
     def __init__(self, burst: int):
-        self.burst = burst
-        self.root: dict = {}
-        self.sizes: dict[bytes, int] = {}   # entries under each first id
-
-    def add(self, keys: list[bytes], counts: list[int]) -> None:
-        root, sizes = self.root, self.sizes
-        for key, n in zip(keys, counts):
-            head, rest = key[:8], key[8:]
-            node = root.get(head)
-            if node is None:
-                node = root[head] = {}
-                sizes[head] = 0
-            if None in node:  # burst: one level more
-                node, rest = node.setdefault(rest[:8], {}), rest[8:]
-            old = node.get(rest)
-            if old is None:
-                node[rest] = n
-                sizes[head] += 1
-                if len(rest) == 32 and len(node) > self.burst:
-                    root[head] = _burst(node)
+        self.burst, self.entries = burst, 0
+        self.root: dict[int, dict[bytes, int]] = {}                  # one container
+        self.inner: dict[int, dict[bytes, dict[bytes, int]]] = {}    # by the second id
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Windows whose equal first ids stand together."""
+        first = np.flatnonzero(np.diff(ids[:, 0], prepend=ids[0, 0] - 1))
+        rests = np.ascontiguousarray(ids[:, 1:]).view("V32").ravel().tolist()
+        counts = counts.tolist()
+        for head, a, b in zip(ids[first, 0].tolist(), first.tolist(), [*first[1:].tolist(), len(ids)]):
+            if head in self.inner:
+                node = self.inner[head]
+                for key, n in zip(rests[a:b], counts[a:b]):
+                    child = node.setdefault(key[:8], {})
+                    self.entries -= len(child)
+                    child[key[8:]] = child.get(key[8:], 0) + n
+                    self.entries += len(child)
+                continue
+            node = self.root.setdefault(head, {})
+            before = len(node)
+            if before:
+                for key, n in zip(rests[a:b], counts[a:b]):
+                    node[key] = node.get(key, 0) + n
             else:
-                node[rest] = old + n
-
-    def entries(self) -> int:
-        return sum(self.sizes.values())
-
-    def spill(self, left: int) -> Iterator[tuple[list[bytes], list[int]]]:
-        """Takes out the largest subtrees, each as one sorted run, until at most ``left`` entries stay."""
-        held = self.entries()
-        for head in sorted(self.sizes, key=self.sizes.get, reverse=True):
-            if held <= left:
-                return
-            held -= self.sizes.pop(head)
-            node = self.root.pop(head)
-            if None in node:
-                run = sorted((head + middle + rest, n) for middle, child in node.items() if middle is not None
-                             for rest, n in child.items())
+                node.update(zip(rests[a:b], counts[a:b]))
+            self.entries += len(node) - before
+            if len(node) > self.burst:
+                inner = self.inner[head] = {}
+                for key, n in self.root.pop(head).items():
+                    inner.setdefault(key[:8], {})[key[8:]] = n
+
+    def spill(self, left: int) -> tuple[np.ndarray, np.ndarray]:
+        """Takes out the largest subtrees, each as one sorted run, until at most ``left`` entries stay: ids and counts."""
+        sizes = {head: len(node) for head, node in self.root.items()}
+        sizes |= {head: sum(map(len, node.values())) for head, node in self.inner.items()}
+        heads, keys, counts = [], [], []
+        for head in sorted(sizes, key=sizes.get, reverse=True):
+            if self.entries <= left:
+                break
+            self.entries -= sizes[head]
+            heads.append(head)
+            if head in self.root:
+                run = sorted(self.root.pop(head).items())
             else:
-                run = sorted((head + rest, n) for rest, n in node.items())
-            yield [key for key, _ in run], [n for _, n in run]
-
-
-def _burst(container: dict) -> dict:
-    """The container as an inner node, which the key None marks."""
-    inner: dict = {None: None}
-    for key, n in container.items():
-        inner.setdefault(key[:8], {})[key[8:]] = n
-    return inner
+                run = sorted((a + b, n) for a, child in self.inner.pop(head).items() for b, n in child.items())
+            keys += [key for key, _ in run]
+            counts += [n for _, n in run]
+        first = np.repeat(np.array(heads, np.int64), [sizes[head] for head in heads])
+        rests = np.frombuffer(b"".join(keys), np.int64).reshape(-1, LONGEST - 1)
+        return np.concatenate([first[:, None], rests], axis=1), np.array(counts, np.int64)
 
 
 @dataclass
@@ -269,12 +272,11 @@ _IDS = [f"w{i + 1}" for i in range(LONGEST)]
 
 def window_runs(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Sorted runs of counted windows of at least two frequent words, as the tasks' tries spill them."""
-    def rows(run: tuple[list[bytes], list[int]]) -> pa.RecordBatch:
-        ids = np.frombuffer(b"".join(run[0]), np.int64).reshape(-1, LONGEST)
+    def spilled(trie: Trie, left: int) -> Iterator[pa.RecordBatch]:
+        ids, n = trie.spill(left)
         deal, depth = vocabulary.deal(ids)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(deal), pa.array(depth), *(pa.array(c) for c in ids.T), pa.array(run[1], pa.int64())],
-            ["deal", "depth", *_IDS, "n"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(deal), pa.array(depth), *(pa.array(c) for c in ids.T), pa.array(n)], ["deal", "depth", *_IDS, "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(BURST)
@@ -285,13 +287,12 @@ def window_runs(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             joined = block.joined & good
             joined[:-1] &= good[1:]
             found, n = distinct_windows(windows(block.at, joined, LONGEST), len(ids))
-            found = np.ascontiguousarray(np.concatenate([[0], ids])[found])
-            keys = found.view("V40").ravel().tolist() if len(found) else []
-            for a in range(0, len(keys), BURST):
-                trie.add(keys[a:a + BURST], n[a:a + BURST].tolist())
-                if trie.entries() > ENTRIES:
-                    yield from map(rows, trie.spill(ENTRIES // 2))
-        yield from map(rows, trie.spill(0))
+            found = np.concatenate([[0], ids])[found]
+            for a in range(0, len(found), ENTRIES):
+                trie.add(found[a:a + ENTRIES], n[a:a + ENTRIES])
+                if trie.entries > ENTRIES:
+                    yield from spilled(trie, ENTRIES // 2)
+        yield from spilled(trie, 0)
 
     return documents.mapInArrow(run, _RUNS)
 
