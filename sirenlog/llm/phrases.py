@@ -240,15 +240,39 @@ class Vocabulary:
                 [block.langs[i] for i in other.tolist()], block.words.take(pa.array(other)).to_pylist(), self.salt)
         return ids
 
-    def deal(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of rows of ids: the hash of the prefix that decides the partition, and that prefix's length."""
+    @property
+    def width(self) -> int:
+        """Bytes of an id in a run's keys."""
+        return 3 if self.complete else 8
+
+    def depths(self, rows: np.ndarray) -> np.ndarray:
+        """The length of the prefix that decides the partition of each row of ids."""
         code = np.where(rows >= 0, self.code_of[np.maximum(rows, 0)], -1 - rows)
-        hashes = prefix_hashes(list(code.T))
-        depth, crowded, chosen = np.ones(len(rows), np.int32), np.ones(len(rows), bool), hashes[0]
-        for level in range(LEVELS):
-            crowded = crowded & self.crowded[level][_load_of(hashes[level])]
-            depth, chosen = depth + crowded, np.where(crowded, hashes[level + 1], chosen)
-        return chosen.view(np.int64), depth
+        depth, crowded = np.ones(len(rows), np.int64), np.ones(len(rows), bool)
+        for level, hashes in enumerate(prefix_hashes(list(code.T[:LEVELS]))):
+            crowded = crowded & self.crowded[level][_load_of(hashes)]
+            depth = depth + crowded
+        return depth
+
+
+def as_keys(rows: np.ndarray, width: int) -> pa.Array:
+    """Rows of ids (0 past the end) as bytes, ``width`` to an id, which sort by prefixes."""
+    parts = np.ascontiguousarray(rows).astype(">i8").view(np.uint8).reshape(len(rows), LONGEST, 8)[:, :, 8 - width:]
+    used = rows != 0
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum(used.sum(1) * width, out=offsets[1:])
+    return pa.Array.from_buffers(
+        pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(parts[used]))])
+
+
+def from_keys(keys: pa.Array, width: int) -> np.ndarray:
+    """The rows of ids again."""
+    data, bounds = text_bytes(keys)
+    parts = np.zeros((len(data) // width, 8), np.uint8)
+    parts[:, 8 - width:] = data.reshape(-1, width)
+    rows = np.zeros((len(keys), LONGEST), np.int64)
+    rows[np.arange(LONGEST) < (np.diff(bounds) // width)[:, None]] = parts.view(">i8").ravel()
+    return rows
 
 
 def distinct_windows(columns: list[np.ndarray], n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -266,7 +290,7 @@ def distinct_windows(columns: list[np.ndarray], n_words: int) -> tuple[np.ndarra
     return np.stack([c[order[first]] for c in columns], axis=1), np.diff(np.append(first, len(order)))
 
 
-_RUNS = "deal bigint, depth int, w1 bigint, w2 bigint, w3 bigint, w4 bigint, w5 bigint, n bigint"
+_RUNS = "key binary, n bigint"   # n is 8 times the count and the depth
 _IDS = [f"w{i + 1}" for i in range(LONGEST)]
 
 
@@ -274,9 +298,8 @@ def window_runs(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Sorted runs of counted windows of at least two frequent words, as the tasks' tries spill them."""
     def spilled(trie: Trie, left: int) -> Iterator[pa.RecordBatch]:
         ids, n = trie.spill(left)
-        deal, depth = vocabulary.deal(ids)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(deal), pa.array(depth), *(pa.array(c) for c in ids.T), pa.array(n)], ["deal", "depth", *_IDS, "n"])
+            [as_keys(ids, vocabulary.width), pa.array(8 * n + vocabulary.depths(ids))], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(BURST)
@@ -297,7 +320,7 @@ def window_runs(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return documents.mapInArrow(run, _RUNS)
 
 
-def prefix_counts(runs: DataFrame, least: int) -> DataFrame:
+def prefix_counts(runs: DataFrame, least: int, width: int) -> DataFrame:
     """(``w1`` to ``w5``, 0 past the end; ``n``) of all phrases of two words and more with at least ``least`` occurrences."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, depth = np.zeros(LONGEST, np.int64), 0
@@ -305,9 +328,9 @@ def prefix_counts(runs: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = np.stack([last, *np.stack([batch.column(c).to_numpy() for c in _IDS], axis=1)])
-            depths = np.concatenate([[depth], batch.column("depth").to_numpy()])
-            n = batch.column("n").to_numpy()
+            ids = np.concatenate([last[None], from_keys(batch.column("key"), width)])
+            depths = np.concatenate([[depth], batch.column("n").to_numpy() % 8])
+            n = batch.column("n").to_numpy() // 8
             changed, out = np.zeros(len(ids) - 1, bool), []
             for m in range(1, LONGEST + 1):
                 changed = changed | (ids[1:, m - 1] != ids[:-1, m - 1])
@@ -323,7 +346,8 @@ def prefix_counts(runs: DataFrame, least: int) -> DataFrame:
         for m in range(2, LONGEST + 1):
             yield from filter(None, [_phrases(last[None], np.array([depth]), np.array([sums[m]]), m, least)])
 
-    merged = runs.repartition("deal").sortWithinPartitions(*_IDS).mapInArrow(
+    prefix = F.expr(f"substring(key, 1, CAST(n % 8 AS INT) * {width})")
+    merged = runs.repartition(prefix).sortWithinPartitions("key").mapInArrow(
         run, ", ".join(f"{c} bigint" for c in [*_IDS, "n"]))
     return merged.groupBy(*_IDS).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
@@ -372,7 +396,7 @@ def phrase_counts(documents: DataFrame, least: int) -> tuple[DataFrame, DataFram
         vocabulary, table = frequent_words(counted, least, salt)
         if vocabulary.complete or _distinct_codes(counted, salt):
             break
-    found = prefix_counts(window_runs(documents, vocabulary), least)
+    found = prefix_counts(window_runs(documents, vocabulary), least, vocabulary.width)
     ids = F.filter(F.array(*_IDS), lambda x: x != 0)
     return counted.filter("level = 0"), table, materialize(found.select(ids.alias("ids"), "n"), "frequent-phrases")
 

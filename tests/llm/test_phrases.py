@@ -96,3 +96,14 @@ def test_distinct_windows_of_many_words():
 def test_pieces_end_at_texts():
     block = p.read_block(pa.array(["a b", "c", None, " d.e"]), pa.array(["x", "x", None, "x"]))
     assert block.joined.tolist() == [True, False, False, False, False]
+
+
+@pytest.mark.parametrize("width", [3, 8])
+def test_keys_hold_ids(width):
+    rng = np.random.default_rng(width)
+    rows = rng.integers(1, 1 << (8 * width - 1), (200, 5))
+    rows[np.arange(5) >= rng.integers(2, 6, 200)[:, None]] = 0
+    keys = p.as_keys(rows, width)
+    assert (p.from_keys(keys, width) == rows).all() and (p.from_keys(keys[20:50], width) == rows[20:50]).all()
+    order = sorted(range(200), key=lambda i: keys[i].as_py())
+    assert rows[order].tolist() == sorted(rows.tolist())
