@@ -13,6 +13,9 @@ REFERENCE = "$ref"
 class Invalid(ValueError):
     """Text that has no canonical form."""
 
+DEPTH = 200  # levels of objects and lists; deeper values are refused
+_HALF_PAIR = re.compile("[\ud800-\udfff]")
+
 
 def parse(text: str) -> Any:
     """The value of a JSON text; repeated keys and numbers that are not finite are refused."""
@@ -26,9 +29,32 @@ def parse(text: str) -> Any:
         raise Invalid(f"{name} is no JSON number")
 
     try:
-        return json.loads(text, object_pairs_hook=object_of, parse_constant=constant)
-    except (json.JSONDecodeError, RecursionError) as error:
+        value = json.loads(text, object_pairs_hook=object_of, parse_constant=constant)
+    except RecursionError as error:
+        raise Invalid("nested too deeply") from error
+    except json.JSONDecodeError as error:
         raise Invalid("no JSON") from error
+    except ValueError as error:  # an integer of thousands of digits
+        raise Invalid("number out of range") from error
+    _refuse_odd(value)
+    return value
+
+
+def _refuse_odd(value: Any) -> None:
+    """Values nested beyond DEPTH, and texts with half a surrogate pair, which UTF-8 cannot hold."""
+    level, depth = [value], 0
+    while level:
+        if depth > DEPTH:
+            raise Invalid("nested too deeply")
+        below = []
+        for here in level:
+            if isinstance(here, dict):
+                below += [*here, *here.values()]
+            elif isinstance(here, list):
+                below += here
+            elif isinstance(here, str) and _HALF_PAIR.search(here):
+                raise Invalid("half a surrogate pair")
+        level, depth = below, depth + 1
 
 
 def dump(value: Any) -> str:
@@ -53,7 +79,7 @@ def _number(value: float) -> str:
         return text
     digits, exponent = text.split("e")
     power = int(exponent)
-    if -7 <= power < 0:
+    if -7 < power < 0:
         return f"{value:.{len(digits.replace('.', '').lstrip('-')) - 1 - power}f}"
     return f"{digits}e{'+' if power > 0 else ''}{power}"
 

@@ -111,3 +111,18 @@ def test_results_that_tie_are_all_reported(spark):
         assert all(x in given for x in later)
     first = {r.call_id: content(r) for r in rows if r.status == "linked"}
     assert first["a"] in ("x", "y") and first["b"] == "same" and first["d"] == "early"
+
+
+@pytest.mark.parametrize("text, error", [
+    ("[" * 2000 + "]" * 2000, "nested too deeply"), ('{"a":' * 100_000 + "1" + "}" * 100_000, "nested too deeply"),
+    ("9" * 5000, "number out of range"), ('{"a": "\\ud800"}', "half a surrogate pair"), ('{"\\udc00": 1}', "half a surrogate pair"),
+    ("1e999", "number out of range"),
+])
+def test_odd_arguments_are_errors_of_their_row(text, error):
+    assert t.check_arguments("f", text, {"f": {}}) == (None, [f"$: {error}"], [])
+
+
+def test_arguments_at_the_depth_limit():
+    text = "[" * cj.DEPTH + "]" * cj.DEPTH
+    assert t.check_arguments("f", text, {"f": {"items": {"type": "array"}}}) == (text, [], [])
+    assert t.check_arguments("f", '"\\ud83d\\ude00"', {"f": {}})[0] == '"\U0001F600"'
