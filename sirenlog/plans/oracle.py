@@ -340,6 +340,11 @@ appended AS (
   FROM once WHERE route = 'dlq_message'),
 {_routed("appended", "twice")}
 SELECT "offset", replayed, event_id, route FROM twice""",
+        "replay_attempts": f"""{BASE} SELECT topic || '/' || "partition" || '/' || rank AS origin,
+  CASE route WHEN 'dlq_message' THEN 3 ELSE 0 END AS replays,
+  CASE route WHEN 'dlq_message' THEN 'exhausted' ELSE 'not_replayable' END AS status
+FROM (SELECT *, row_number() OVER (ORDER BY "offset") - 1 AS rank FROM routed)
+WHERE route IN ('dlq_raw', 'dlq_message')""",
         "incident_timeline": f"""{BASE} SELECT event_id AS id, incident_id AS "incidentId", event_type AS type, message,
   strftime(event_ts, '{ISO}') AS timestamp FROM timeline ORDER BY incident_id, event_ts DESC, event_id""",
         "timeline_counts": f"""{BASE} SELECT incident_id AS "incidentId", count(*) AS events

@@ -20,8 +20,9 @@ from sirenlog.operators.parsing import parse_events
 from sirenlog.operators.submissions import accept_submissions, published
 from sirenlog.plans import inputs
 from sirenlog.session import configure, shared_folder, stored
-from sirenlog.sources.event_log import append_log, publish, read_dead_letter_log, stream_log
-from sirenlog.streaming.pipeline import start_projection
+from sirenlog.sources.event_log import append_log, read_dead_letter_log, stream_log
+from sirenlog.sources.outbox import Outbox
+from sirenlog.streaming.pipeline import replay_report, replay_to_log, start_projection
 from sirenlog.streaming.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,12 +109,29 @@ def dlq_replay(spark, sf_dir):
 
 @_query
 def replay_reprocess(spark, sf_dir):
-    log = inputs.event_log(spark, sf_dir)
-    again = stored(parse_events(dl.append_replay(log, _replay(spark, sf_dir)), ("headers",)), "parsed-log")
-    return routing.route_events(again).select(
+    """The log and its replayed dead letters, routed together; each message is parsed once."""
+    parsed = stored(inputs.parsed_log(spark, sf_dir, dl.INPUT), "parsed-log")
+    messages = dl.dead_letter_messages(parsed, F.lit(inputs.FIXED_TIME))
+    replay = dl.replay_messages(dl.read_dead_letters(messages))
+    again = stored(parse_events(dl.numbered_replay(parsed, replay), dl.INPUT), "parsed-replay")
+    return routing.route_events(parsed.unionByName(again)).select(
         "offset", F.col("headers")[dl.REPLAY_HEADER].alias("replayed"), "event_id", "route")
 
 
+@_query
+def replay_attempts(spark, sf_dir):
+    """The log projected and its dead letters replayed until no replay is due; what became of each."""
+    folder = f"{shared_folder(configure(spark))}/replay-attempts-{uuid.uuid4()}"
+    log, tables = inputs.event_log(spark, sf_dir), Tables(spark, f"{folder}/tables")
+    Outbox(spark, f"{folder}/log").publish("events", log, [F.asc("offset")])
+    for _ in range(dl.MAX_REPLAYS + 2):
+        start_projection(
+            stream_log(spark, f"{folder}/log"), tables.root, f"{folder}/checkpoint", processed_at=inputs.fixed_time()
+        ).awaitTermination()
+        replay_to_log(spark, tables, f"{folder}/log")
+    return replay_report(tables)
+
+
 @_query
 def incident_timeline(spark, sf_dir):
     return views.timeline_view(inputs.timeline(spark, sf_dir))
@@ -359,8 +377,8 @@ def incident_timeline_by_key(spark, sf_dir):
 def stored_dead_letter_replay(spark, sf_dir):
     """Dead letters published to a log of their own, read from it and replayed."""
     folder = f"{shared_folder(configure(spark))}/dead-letters-{uuid.uuid4()}"
-    numbered = dl.numbered_messages(_dead_letter_messages(spark, sf_dir))
-    publish(numbered, folder)
+    messages = _dead_letter_messages(spark, sf_dir).withColumn("partition", F.lit(0))
+    Outbox(spark, folder).publish("dead-letters", messages, [F.asc("value")])
     records = dl.read_dead_letters(read_dead_letter_log(spark, folder))
     return dl.replay_messages(records).select("topic", "source_topic", "source_offset", "key", "value")
 
@@ -373,7 +391,8 @@ def submit_publish_project(spark, sf_dir):
         inputs.submissions(spark, sf_dir), "rest",
         F.concat(F.lit("sub-"), F.col("submission_id").cast("string")), F.col("received_at"),
     )
-    publish(published(accepted, offset=F.col("submission_id")), f"{folder}/log")
+    messages = published(accepted).withColumn("partition", F.lit(0))
+    Outbox(spark, f"{folder}/log").publish("submissions", messages, [F.asc("value")])
     start_projection(
         stream_log(spark, f"{folder}/log"), f"{folder}/tables", f"{folder}/checkpoint", processed_at=inputs.fixed_time()
     ).awaitTermination()

@@ -41,6 +41,11 @@ DEAD_LETTERS = _struct(
     originalMessage=_TEXT, originalRawValue=_TEXT,
 )
 
+# As the tables keep them: where the message was first read, and how many replays brought it.
+STORED_DEAD_LETTERS = StructType([*DEAD_LETTERS.fields, *_struct(origin=_TEXT, attempt=_INT).fields])
+
+REPLAYS = _struct(origin=_TEXT, attempt=_INT)
+
 TIMELINE = _struct(
     incident_id=_TEXT, event_timestamp=_TIME, event_id=_TEXT, event_type=_TEXT, message=_TEXT,
 )

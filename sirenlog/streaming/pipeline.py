@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sirenlog.functions.timestamps import iso_millis
 from sirenlog.operators import dead_letters as dl
 from sirenlog.operators import projections as pj
-from sirenlog.operators.parsing import DUPLICATE, LOST, TIMELINE_ONLY, parse_events, reaches_mark
+from sirenlog.operators.parsing import DUPLICATE, LOST, TIMELINE_ONLY, VERDICTS, parse_events, reaches_mark
 from sirenlog.operators.routing import CONSUMER_GROUP, first_deliveries
-from sirenlog.sources.event_log import publish, read_log
-from sirenlog.streaming.tables import Tables, ledger_bucket
+from sirenlog.sources.outbox import Outbox
+from sirenlog.streaming.tables import Tables
 
 FAILED_AFTER_MARK = "failed after the message id was recorded"
 
@@ -39,43 +38,44 @@ def project_batch(
     failed_at = iso_millis(processed_at)
     quarantine = after_mark_failure == "quarantine"
 
+    # Written once, read back by every step: their plans start from files and
+    # survive the loss of an executor.  Counts come from the writes themselves.
     needed = {*pj.TIMELINE_INPUT, *pj.HEALTH_INPUT, *pj.ARTIFACT_INPUT}
-    parsed = parse_events(batch, [*needed, *dl.INPUT]).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        received = {r["verdict"]: r["count"] for r in parsed.groupBy("verdict").count().collect()}  # <= 7 rows
-        marked = sum(n for verdict, n in received.items() if verdict not in dl.DEAD_ROUTES)
-
-        kept = sorted(needed)
-        if quarantine:
-            kept += ["topic", "value", "incident_kind", "incident_raw"]
-        # Only the ledger's buckets that this batch's ids fall into are read.
-        ids = parsed.filter(reaches_mark()).select(ledger_bucket(F.col("event_id")).alias("bucket"))
-        buckets = sorted(r.bucket for r in ids.distinct().collect())  # <= LEDGER_BUCKETS numbers
-        ledger = tables.ledger_before(batch_id, buckets).filter(F.col("consumer_group") == CONSUMER_GROUP)
-        first = first_deliveries(parsed, kept, ledger)
-
-        # Written once, read back by every projection: their plans start from
-        # files and survive the loss of an executor.
-        path = f"{tables.root}/accepted/batch_id={batch_id}"
-        first.write.mode("overwrite").parquet(path)
-        first = tables.spark.read.schema(first.schema).parquet(path)
-
-        tables.write("ledger", batch_id, pj.ledger_rows(first, processed_at))
-        tables.write("timeline", batch_id, pj.timeline_rows(first))
-        tables.write("artifacts", batch_id, pj.artifact_rows(first))
-        tables.write("health_changes", batch_id, pj.fold_health(pj.health_changes(first, batch_id, missing)))
-        dead = dl.dead_letter_records(parsed, failed_at)
-        if quarantine:
-            dead = dead.unionByName(_quarantined(first, failed_at))
-        tables.write("dead_letters", batch_id, dead)
-
-        accepted = {r["verdict"]: r["count"] for r in first.groupBy("verdict").count().collect()}
-        outcomes = {v: n if v in dl.DEAD_ROUTES else accepted.get(v, 0) for v, n in received.items()}
-        outcomes[DUPLICATE] = marked - sum(accepted.values())
-        rows = [(route, n) for route, n in sorted(outcomes.items())]
-        tables.write("outcomes", batch_id, tables.spark.createDataFrame(rows, "route string, n bigint").coalesce(1))
-    finally:
-        parsed.unpersist()
+    parsed = parse_events(batch, [*needed, *dl.INPUT])
+    if not quarantine:  # only dead letters carry their message on
+        parsed = parsed.withColumn("value", F.when(F.col("verdict").isin(*dl.DEAD_ROUTES), F.col("value")))
+    parsed, received = _written(parsed, f"{tables.root}/received/batch_id={batch_id}")
+
+    kept = sorted(needed)
+    if quarantine:
+        kept += ["topic", "value", "headers", "incident_kind", "incident_raw"]
+    ids = parsed.filter(reaches_mark()).select(F.col("event_id").alias("message_id"))
+    ledger = tables.ledger_before(batch_id, ids).filter(F.col("consumer_group") == CONSUMER_GROUP)
+    first, accepted = _written(
+        first_deliveries(parsed, kept, ledger), f"{tables.root}/accepted/batch_id={batch_id}")
+
+    tables.write("ledger", batch_id, pj.ledger_rows(first, processed_at))
+    tables.write("timeline", batch_id, pj.timeline_rows(first))
+    tables.write("artifacts", batch_id, pj.artifact_rows(first))
+    tables.write("health_changes", batch_id, pj.fold_health(pj.health_changes(first, batch_id, missing)))
+    dead = dl.stored_dead_letters(parsed, failed_at)
+    if quarantine:
+        dead = dead.unionByName(_quarantined(first, failed_at))
+    tables.write("dead_letters", batch_id, dead)
+
+    outcomes = {v: received[v] if v in dl.DEAD_ROUTES else accepted[v] for v in VERDICTS}
+    outcomes[DUPLICATE] = sum(received.values()) - sum(outcomes.values())
+    rows = [(route, n) for route, n in sorted(outcomes.items()) if received.get(route) or route == DUPLICATE]
+    tables.write("outcomes", batch_id, tables.spark.createDataFrame(rows, "route string, n bigint").coalesce(1))
+
+
+def _written(rows: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """The rows, stored and read back, and how many of them have each verdict, observed while they are written."""
+    seen = Observation()
+    observed = rows.observe(seen, *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS])
+    observed.write.mode("overwrite").parquet(path)
+    counts = seen.get
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), {v: counts.get(v, 0) for v in VERDICTS}
 
 
 def _quarantined(first: DataFrame, failed_at: Column) -> DataFrame:
@@ -89,6 +89,8 @@ def _quarantined(first: DataFrame, failed_at: Column) -> DataFrame:
         F.col("offset").cast("string").alias("originalOffset"),
         F.col("value").alias("originalMessage"),
         F.lit(None).cast("string").alias("originalRawValue"),
+        F.expr(dl.ORIGIN).alias("origin"),
+        F.expr(dl.ATTEMPT).alias("attempt"),
     )
 
 
@@ -115,13 +117,29 @@ def wait_until_projected(query: StreamingQuery, seconds: float = 15.0) -> bool:
 
 
 def replay_to_log(
-    spark: SparkSession, tables: Tables, log_path: str, fmt: str = "parquet"
+    spark: SparkSession, tables: Tables, log_path: str, fmt: str = "parquet", most: int = dl.MAX_REPLAYS
 ) -> None:
     """Append the replayable dead letters of the committed batches to a file log.
 
-    Each run appends every original once: dead letters of replayed messages
-    lead back to the position they were first read at.
+    Each run appends an original at most once, and each original at most
+    ``most`` times in all: dead letters say where their message was first read
+    and which replay brought it.  What is due is a function of the committed
+    batches, so the newest of them names the load, and a run that ended half-way
+    is repeated without appending anything twice.  The log itself is not read.
     """
-    log = read_log(spark, log_path, fmt)
-    replay = dl.replay_messages(dl.with_origins(tables.read("dead_letters"), log))
-    publish(dl.numbered_replay(log, replay), log_path, fmt)
+    last = tables.last_batch()
+    if last is None:
+        return
+    load, outbox = f"replay-{last}", Outbox(spark, log_path, fmt)
+    if outbox.is_published(load):
+        return
+    replay = dl.replay_messages(tables.read("dead_letters"), tables.replays(before=last), most)
+    if not outbox.is_staged(load):
+        tables.write("replays", last, dl.replay_rows(replay))
+    outbox.publish(load, replay.select("topic", "partition", "key", "value", "headers", "source_offset", "source_topic"),
+                   dl.replay_order())
+
+
+def replay_report(tables: Tables, most: int = dl.MAX_REPLAYS) -> DataFrame:
+    """What became of every dead-lettered original: ``origin``, ``replays`` and ``status``."""
+    return dl.replay_report(tables.read("dead_letters"), tables.replays(), most)

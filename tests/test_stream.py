@@ -10,7 +10,11 @@ from sirenlog.operators import routing, views
 from sirenlog.operators.parsing import parse_events
 from sirenlog.sources.event_log import append_log, publish_stream, read_log, stream_log
 from sirenlog.streaming.pipeline import project_batch, replay_to_log, start_projection, wait_until_projected
-from sirenlog.streaming.tables import Tables, ledger_bucket
+from sirenlog.operators.routing import CONSUMER_GROUP
+from sirenlog.sources.outbox import Outbox
+from sirenlog.streaming import tables as stored
+from sirenlog.streaming.pipeline import replay_report
+from sirenlog.streaming.tables import Tables
 from tests.test_routing import ART, event
 
 
@@ -85,9 +89,9 @@ def test_compaction_keeps_contents_and_removes_folders(spark, streamed):
     for name in names:
         tables.compact(name)
     assert contents(tables) == before
-    for name in (*names, "accepted"):
+    for name in (*names, "accepted", "received"):
         assert tables.folders(name) == ["batch_id=2"], name
-        if name != "accepted":
+        if name not in ("accepted", "received"):
             assert tables.folders(f"compacted_{name}") == ["through=1"]
     # The newest batch may still be repeated, and a further run and compaction follow.
     last = read_log(spark, f"{folder}/log").filter(F.col("offset") >= 80)
@@ -102,18 +106,80 @@ def test_compaction_keeps_contents_and_removes_folders(spark, streamed):
         tables.read_before("ledger", 1)
 
 
-def test_ledger_reads_only_the_buckets_asked_for(spark, tmp_path):
-    tables = Tables(spark, str(tmp_path))
-    ids = spark.range(500).select(F.lit("g").alias("consumer_group"), F.col("id").cast("string").alias("message_id"),
-                                  now().alias("processed_at"))
-    for batch in range(2):
-        tables.write("ledger", batch, ids.filter(F.col("message_id") % 2 == batch))
-        tables.write("outcomes", batch, spark.createDataFrame([("x", 1)], "route string, n bigint"))
+def files_read(frame):
+    """Files that the scans of an executed plan read, by the folder of their table."""
+    frame.collect()
+    plan, found = frame._jdf.queryExecution().executedPlan(), {}
+    leaves = plan.finalPhysicalPlan().collectLeaves() if "AdaptiveSparkPlan" in plan.nodeName() else plan.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.metrics().contains("numFiles"):
+            name = leaf.relation().location().rootPaths().head().toString().split("/tables/")[1].split("/")[0]
+            found[name] = found.get(name, 0) + leaf.metrics().apply("numFiles").value()
+    return found
+
+
+def ledger_of(spark, tables, ids, batch):
+    rows = ids.select(F.lit(CONSUMER_GROUP).alias("consumer_group"), "message_id", now().alias("processed_at"))
+    tables.write("ledger", batch, rows)
+    tables.write("outcomes", batch, spark.createDataFrame([("x", 1)], "route string, n bigint"))
+
+
+@pytest.fixture(scope="module")
+def large_ledger(spark, tmp_path_factory):
+    """100,000 ids, compacted into many folders, and a few in the newest batch."""
+    tables = Tables(spark, f"{tmp_path_factory.mktemp('ledger')}/tables")
+    names = lambda low, high: spark.range(low, high).select(F.concat(F.lit("id-"), F.col("id")).alias("message_id"))
+    patch = pytest.MonkeyPatch()
+    patch.setattr(stored, "BUCKET_IDS", 200)
+    for batch, (low, high) in enumerate([(0, 60_000), (60_000, 100_000), (100_000, 100_010)]):
+        ledger_of(spark, tables, names(low, high), batch)
     tables.compact("ledger")
-    wanted = spark.createDataFrame([("10",)], "message_id string").select(ledger_bucket(F.col("message_id"))).first()[0]
-    some = tables.ledger_before(1, [wanted])
-    assert "10" in {r.message_id for r in some.collect()} and some.count() < 20
-    assert "PartitionFilters: [isnotnull(bucket" in some._jdf.queryExecution().executedPlan().toString()
+    patch.undo()  # a lookup goes by what the marker says, not by the setting
+    return tables, names
+
+
+def test_ledger_lookup_finds_all_known_ids(spark, large_ledger):
+    tables, names = large_ledger
+    ids = names(99_000, 101_000)
+    held = {r.message_id for r in tables.ledger_before(3, ids).collect()}
+    assert {f"id-{i}" for i in range(99_000, 100_010)} <= held
+    unseen = routing.unseen(ids, tables.ledger_before(3, ids), "message_id")
+    assert sorted(r.message_id for r in unseen.collect()) == sorted(f"id-{i}" for i in range(100_010, 101_000))
+
+
+def test_ledger_lookup_reads_a_bounded_share(spark, large_ledger):
+    tables, names = large_ledger
+    everything = files_read(tables.read("ledger"))["compacted_ledger"]
+    new = files_read(tables.ledger_before(3, names(200_000, 201_000)))
+    one = files_read(tables.ledger_before(3, names(5, 6)))
+    assert everything >= 500
+    assert new.get("compacted_ledger", 0) < everything / 20   # a thousand new ids: only those the filter cannot tell
+    assert 1 <= one["compacted_ledger"] <= 2
+    suspects = tables.suspects(names(200_000, 300_000), *((d := tables._compacted("ledger", 2))[0], d[2]))
+    assert suspects.count() < 1_500                            # of 100,000
+
+
+def test_ledger_lookup_of_a_batch_too_large_to_send(spark, large_ledger, monkeypatch):
+    tables, names = large_ledger
+    ids = names(99_990, 100_020)
+    small = sorted(r.message_id for r in tables.ledger_before(3, ids).collect())
+    monkeypatch.setattr(stored, "SMALL_BATCH", 3)
+    lookup = tables.suspects(ids, *((d := tables._compacted("ledger", 2))[0], d[2]))
+    assert "rightHint" not in lookup._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.message_id for r in tables.ledger_before(3, ids).collect()) == small
+
+
+def test_compaction_after_compaction_takes_new_numbers(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, f"{tmp_path}/tables")
+    ids = lambda low, high: spark.range(low, high).select(F.col("id").cast("string").alias("message_id"))
+    for batch, size in enumerate((50, 100, 40)):
+        monkeypatch.setattr(stored, "BUCKET_IDS", size)
+        ledger_of(spark, tables, ids(batch * 100, batch * 100 + 100), batch)
+        tables.compact("ledger")
+    known = {r.message_id for r in tables.ledger_before(3, ids(0, 300)).collect()}
+    assert known == {str(i) for i in range(300)}
+    assert tables.folders("compacted_ledger_filter") == ["through=1"] and tables._compacted("ledger", 2) == (1, 5, 50)
 
 
 def test_replay_and_quarantine(spark, make_log, tmp_path):
@@ -145,6 +211,101 @@ def test_successive_replays_append_each_original_once(spark, make_log, tmp_path)
     assert sorted(filter(None, origins)) == ["incident-events/0/0"] * 3 + ["incident-events/0/1"] * 3
 
 
+def test_a_poison_message_is_replayed_as_often_as_the_cap_says(spark, make_log, tmp_path):
+    log, tables = str(tmp_path / "log"), Tables(spark, str(tmp_path / "tables"))
+    append_log(make_log([event(id="1", message="FORCE_DLQ"), "{oops", event(id="2")]), log)
+    done, seen = 0, []
+    for run in range(5):
+        rows = read_log(spark, log)
+        project_batch(rows.filter(F.col("offset") >= done), run, tables)
+        done = rows.count()
+        replay_to_log(spark, tables, log, most=2)
+        replay_to_log(spark, tables, log, most=2)  # no new batch, nothing new to append
+        seen.append({r.origin: (r.replays, r.status) for r in replay_report(tables, most=2).collect()})
+    raw = {"incident-events/0/1": (0, "not_replayable")}
+    poison = lambda *state: {"incident-events/0/0": state, **raw}
+    assert seen == [poison(1, "replayed"), poison(2, "replayed"), *[poison(2, "exhausted")] * 3]
+    assert [r.headers for r in read_log(spark, log).filter("offset > 2").orderBy("offset").collect()] == [
+        {"replayedFromDlq": "true", "replayOrigin": "incident-events/0/0"},
+        {"replayedFromDlq": "true", "replayOrigin": "incident-events/0/0", "replayAttempt": "2"}]
+
+
+def test_a_replay_that_waits_is_not_appended_again(spark, make_log, tmp_path):
+    """A batch that does not hold the replayed messages is projected in between."""
+    log, tables = str(tmp_path / "log"), Tables(spark, str(tmp_path / "tables"))
+    append_log(make_log([event(id="1", message="FORCE_DLQ")]), log)
+    project_batch(read_log(spark, log), 0, tables)
+    replay_to_log(spark, tables, log)
+    project_batch(make_log([event(id="other")], 50), 1, tables)
+    replay_to_log(spark, tables, log)
+    assert sorted(r.offset for r in read_log(spark, log).collect()) == [0, 1]
+
+
+def messages_of(spark, values, partitions=3):
+    rows = [("t", i % 2, v, v, {"h": "x"}) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "topic string, partition int, key string, value string, headers map<string,string>"
+                                 ).repartition(partitions)
+
+
+@pytest.mark.parametrize("ends", ["allotted", "staged", "moved", "before the mark"])
+def test_a_publish_that_ended_half_way_is_repeated(spark, tmp_path, monkeypatch, ends):
+    path, box = str(tmp_path / "log"), Outbox(spark, str(tmp_path / "log"))
+    box.publish("a", messages_of(spark, ["1", "2", "3"]), [F.asc("value")])
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")  # several files a load
+    moved, move = [], Outbox._move
+
+    def failing(self, *names):
+        moved.append(names)
+        if len(moved) == 2:
+            raise OSError("lost")
+        move(self, *names)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        if ends == "allotted":
+            patch.setattr("sirenlog.sources.outbox.numbered", lost)
+        elif ends == "staged":
+            patch.setattr(Outbox, "_move", lost)
+        elif ends == "moved":
+            patch.setattr(Outbox, "_move", failing)
+        else:
+            patch.setattr(Outbox, "_touch", lost)
+        with pytest.raises(OSError):
+            box.publish("b", messages_of(spark, [f"b{i}" for i in range(40)], 8), [F.asc("value")])
+    for _ in range(2):
+        box.publish("b", messages_of(spark, [f"b{i}" for i in range(40)], 8), [F.asc("value")])
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    box.publish("c", messages_of(spark, ["c"]), [F.asc("value")])
+    rows = read_log(spark, path).collect()
+    assert sorted(r.value for r in rows) == sorted(["1", "2", "3", "c", *(f"b{i}" for i in range(40))])
+    for partition in (0, 1):
+        mine = sorted((r.offset, r.value) for r in rows if r.partition == partition)
+        assert [o for o, _ in mine] == list(range(len(mine)))
+        assert [v for _, v in mine][-1] == ("c" if partition == 0 else max(f"b{i}" for i in range(1, 40, 2)))
+
+
+def test_offsets_come_from_the_allotments_alone(spark, make_log, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    append_log(make_log(["x", "y"], 5), path)  # a log without allotments is scanned once
+    Outbox(spark, path).publish("a", messages_of(spark, ["1"]).withColumn("topic", F.lit("incident-events")), [F.asc("value")])
+    monkeypatch.setattr("sirenlog.sources.outbox.read_log", None)
+    Outbox(spark, path).publish("b", messages_of(spark, ["2", "3"]).withColumn("topic", F.lit("incident-events")), [F.asc("value")])
+    assert sorted((r.partition, r.offset, r.value) for r in read_log(spark, path).collect()) == [
+        (0, 5, "x"), (0, 6, "y"), (0, 7, "1"), (0, 8, "2"), (1, 0, "3")]
+    with pytest.raises(ValueError):
+        Outbox(spark, path).publish("a/b", messages_of(spark, ["1"]), [F.asc("value")])
+
+
+def test_a_stream_reads_each_published_message_once(spark, tmp_path):
+    path, target = str(tmp_path / "log"), str(tmp_path / "copy")
+    for load in ("a", "b"):
+        Outbox(spark, path).publish(load, messages_of(spark, [f"{load}{i}" for i in range(9)]), [F.asc("value")])
+        publish_stream(stream_log(spark, path), str(tmp_path / "c"), target).awaitTermination()
+    assert sorted(r.value for r in read_log(spark, target).collect()) == sorted(f"{x}{i}" for x in "ab" for i in range(9))
+
+
 def test_published_stream_equals_its_source(spark, make_log, tmp_path):
     source, target = str(tmp_path / "a"), str(tmp_path / "b")
     append_log(make_log([event(id="1"), "{oops", None]), source)
