@@ -303,7 +303,7 @@ _SPACES = f"[{WHITESPACE}]+"
 
 
 def all_oracles() -> dict[str, str]:
-    return {
+    oracles = {
         "event_log_scan": f'WITH {LOG} SELECT topic, "partition", "offset", key, value FROM log',
         "parse_log": f"""{BASE} SELECT "offset", decodable, event_id, incident_id, org_id, service_name, severity,
   CASE severity_kind WHEN 'VARCHAR' THEN 'text' WHEN 'NULL' THEN 'null' END AS severity_kind, event_type, message,
@@ -470,3 +470,4 @@ SELECT DISTINCT 'ledger', event_id, '{FIXED}' FROM routed WHERE marks
 UNION ALL
 SELECT 'outcomes', route, CAST(count(*) AS VARCHAR) FROM routed GROUP BY route""",
     }
+    return oracles | {"stream_project_keyed": oracles["stream_project"]}

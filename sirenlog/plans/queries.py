@@ -22,7 +22,7 @@ from sirenlog.plans import inputs
 from sirenlog.session import configure, shared_folder, stored
 from sirenlog.sources.event_log import append_log, read_dead_letter_log, stream_log
 from sirenlog.sources.outbox import Outbox
-from sirenlog.streaming.pipeline import replay_report, replay_to_log, start_projection
+from sirenlog.streaming.pipeline import replay_report, replay_to_log, start_keyed_projection, start_projection
 from sirenlog.streaming.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -401,6 +401,16 @@ def submit_publish_project(spark, sf_dir):
 
 @_query
 def stream_project(spark, sf_dir):
+    return _streamed(spark, sf_dir, start_projection)
+
+
+@_query
+def stream_project_keyed(spark, sf_dir):
+    """The same with the first-seen test in keyed state."""
+    return _streamed(spark, sf_dir, start_keyed_projection)
+
+
+def _streamed(spark, sf_dir, start):
     """The log written and streamed in three runs; the tables afterwards, as one listing.
 
     The cuts fall between the two deliveries of an id, so duplicates meet the
@@ -413,7 +423,7 @@ def stream_project(spark, sf_dir):
     tables = Tables(spark, f"{folder}/tables")
     for low, high in zip(cuts, cuts[1:]):
         append_log(log.filter((F.col("offset") > low) & (F.col("offset") <= high)), f"{folder}/log")
-        start_projection(
+        start(
             stream_log(spark, f"{folder}/log"), tables.root, f"{folder}/checkpoint", processed_at=inputs.fixed_time()
         ).awaitTermination()
     text = lambda *columns: F.concat_ws("|", *columns)

@@ -10,11 +10,14 @@ from sirenlog.functions.timestamps import iso_millis
 from sirenlog.operators import dead_letters as dl
 from sirenlog.operators import projections as pj
 from sirenlog.operators.parsing import DUPLICATE, LOST, TIMELINE_ONLY, VERDICTS, parse_events, reaches_mark
-from sirenlog.operators.routing import CONSUMER_GROUP, first_deliveries
+from sirenlog.operators.routing import CONSUMER_GROUP, first_deliveries, position
 from sirenlog.sources.outbox import Outbox
 from sirenlog.streaming.tables import Tables
 
 FAILED_AFTER_MARK = "failed after the message id was recorded"
+NEEDED = sorted({*pj.TIMELINE_INPUT, *pj.HEALTH_INPUT, *pj.ARTIFACT_INPUT})
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def project_batch(
@@ -35,25 +38,37 @@ def project_batch(
     if after_mark_failure not in ("lose", "quarantine"):
         raise ValueError("after_mark_failure must be 'lose' or 'quarantine'")
     processed_at = F.current_timestamp() if processed_at is None else processed_at
-    failed_at = iso_millis(processed_at)
     quarantine = after_mark_failure == "quarantine"
 
     # Written once, read back by every step: their plans start from files and
     # survive the loss of an executor.  Counts come from the writes themselves.
-    needed = {*pj.TIMELINE_INPUT, *pj.HEALTH_INPUT, *pj.ARTIFACT_INPUT}
-    parsed = parse_events(batch, [*needed, *dl.INPUT])
-    if not quarantine:  # only dead letters carry their message on
-        parsed = parsed.withColumn("value", F.when(F.col("verdict").isin(*dl.DEAD_ROUTES), F.col("value")))
-    parsed, received = _written(parsed, f"{tables.root}/received/batch_id={batch_id}")
-
-    kept = sorted(needed)
-    if quarantine:
-        kept += ["topic", "value", "headers", "incident_kind", "incident_raw"]
+    parsed, received = _written(_parsed(batch, quarantine), f"{tables.root}/received/batch_id={batch_id}")
+    kept = _kept(quarantine)
     ids = parsed.filter(reaches_mark()).select(F.col("event_id").alias("message_id"))
     ledger = tables.ledger_before(batch_id, ids).filter(F.col("consumer_group") == CONSUMER_GROUP)
     first, accepted = _written(
         first_deliveries(parsed, kept, ledger), f"{tables.root}/accepted/batch_id={batch_id}")
 
+    _project(parsed, first, received, accepted, batch_id, tables, processed_at, quarantine, missing)
+
+
+def _parsed(log: DataFrame, quarantine: bool) -> DataFrame:
+    parsed = parse_events(log, [*NEEDED, *dl.INPUT])
+    if quarantine:
+        return parsed
+    # Only dead letters carry their message on.
+    return parsed.withColumn("value", F.when(F.col("verdict").isin(*dl.DEAD_ROUTES), F.col("value")))
+
+
+def _kept(quarantine: bool) -> list[str]:
+    """The columns of a first delivery that the tables need."""
+    return NEEDED + (["topic", "value", "headers", "incident_kind", "incident_raw"] if quarantine else [])
+
+
+def _project(parsed: DataFrame, first: DataFrame, received: dict[str, int], accepted: dict[str, int], batch_id: int,
+             tables: Tables, processed_at: Column, quarantine: bool, missing: str) -> None:
+    """Every table's rows of a batch, from all its messages and the first deliveries among them."""
+    failed_at = iso_millis(processed_at)
     tables.write("ledger", batch_id, pj.ledger_rows(first, processed_at))
     tables.write("timeline", batch_id, pj.timeline_rows(first))
     tables.write("artifacts", batch_id, pj.artifact_rows(first))
@@ -111,6 +126,68 @@ def start_projection(
     return writer.start()
 
 
+def keyed_messages(log: DataFrame, quarantine: bool = False) -> DataFrame:
+    """A streaming log's messages, and beside them the positions that first carried an id (``is_first``).
+
+    The state per id is its first position and the times of the first and the
+    last micro-batch that held it.  Both are one batch's time only while the id
+    was never met before that batch, and only then its position is told: an id
+    that comes back, also at a smaller position of another partition, stays
+    known.  A repeated micro-batch has the same time and meets the same state.
+    """
+    messages = _parsed(log, quarantine).withColumn("position", position())
+    marked = messages.filter(reaches_mark()).select("event_id", "position", F.current_timestamp().alias("arrival"))
+    known = marked.groupBy("event_id").agg(
+        F.min(F.struct("arrival", "position")).alias("first"), F.max("arrival").alias("last"))
+    firsts = known.filter(F.col("first.arrival") == F.col("last")).select("first.position", F.lit(True).alias("is_first"))
+    return messages.unionByName(firsts, allowMissingColumns=True)
+
+
+def project_keyed_batch(batch: DataFrame, batch_id: int, tables: Tables, processed_at: Column | None = None,
+                        after_mark_failure: str = "lose", missing: str = "keep") -> None:
+    """The same tables as :func:`project_batch`, from one batch of :func:`keyed_messages`; no ledger is read."""
+    processed_at = F.current_timestamp() if processed_at is None else processed_at
+    quarantine = after_mark_failure == "quarantine"
+    # A second look at the batch would run the state again: everything starts from the written one.
+    rows, received = _written(batch, f"{tables.root}/received/batch_id={batch_id}")
+    parsed, firsts = rows.filter("is_first IS NULL").drop("is_first"), rows.filter("is_first").select("position")
+    # Positions are unique, so no key of this join is hot; of copies at one position one is taken.
+    first, accepted = _written(
+        parsed.filter(reaches_mark()).join(firsts, "position", "left_semi").dropDuplicates(["position"]).select(
+            "event_id", "verdict", *_kept(quarantine)),
+        f"{tables.root}/accepted/batch_id={batch_id}")
+    _project(parsed.drop("position"), first, received, accepted, batch_id, tables, processed_at, quarantine, missing)
+
+
+def start_keyed_projection(
+    log: DataFrame, root: str, checkpoint: str, available_now: bool = True, **options
+) -> StreamingQuery:
+    """The projection with its first-seen test in keyed state instead of the ledger.
+
+    A batch then costs by its own ids, however long the history is.  The state
+    lies in RocksDB on the executors and, by version, in the checkpoint; the
+    number of its partitions is the session's when the checkpoint is made.  A
+    projection keeps to the way it was started with: the state knows nothing of
+    an older ledger.
+    """
+    spark = log.sparkSession
+    quarantine = options.get("after_mark_failure") == "quarantine"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        project_keyed_batch(batch, batch_id, Tables(batch.sparkSession, root), **options)
+
+    writer = keyed_messages(log, quarantine).writeStream.outputMode("update").foreachBatch(write).option(
+        "checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # a query takes its settings along when it starts
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def wait_until_projected(query: StreamingQuery, seconds: float = 15.0) -> bool:
     """Wait, for a bounded time, until a bounded run has written everything; errors are raised."""
     return bool(query.awaitTermination(seconds))

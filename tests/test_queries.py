@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 
 
 OWN = sorted(all_queries())
-STREAMS = {"stream_project", "submit_publish_project"}
+STREAMS = {"stream_project", "stream_project_keyed", "submit_publish_project", "replay_attempts"}
 WITH_GENERATOR = {"summarize_incidents", "summarize_with_failures"}
 
 

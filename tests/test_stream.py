@@ -13,7 +13,8 @@ from sirenlog.streaming.pipeline import project_batch, replay_to_log, start_proj
 from sirenlog.operators.routing import CONSUMER_GROUP
 from sirenlog.sources.outbox import Outbox
 from sirenlog.streaming import tables as stored
-from sirenlog.streaming.pipeline import replay_report
+from sirenlog.schemas import ENVELOPE
+from sirenlog.streaming.pipeline import replay_report, start_keyed_projection
 from sirenlog.streaming.tables import Tables
 from tests.test_routing import ART, event
 
@@ -314,3 +315,58 @@ def test_published_stream_equals_its_source(spark, make_log, tmp_path):
     assert sorted(map(str, read_log(spark, target).collect())) == sorted(map(str, read_log(spark, source).collect()))
     with pytest.raises(ValueError):
         publish_stream(stream_log(spark, source), str(tmp_path / "d"))
+
+
+def keyed_run(spark, folder, tables, **options):
+    query = start_keyed_projection(
+        stream_log(spark, f"{folder}/log"), tables.root, f"{folder}/ckpt", processed_at=now(), **options)
+    assert wait_until_projected(query, 240)
+    return query
+
+
+def test_keyed_state_gives_the_tables_of_the_ledger(spark, streamed, make_log, tmp_path):
+    values, tables = messages(), Tables(spark, f"{tmp_path}/tables")
+    for low, high in ((0, 37), (37, 80), (80, len(values))):  # each run starts anew from the checkpoint
+        append_log(make_log(values[low:high], low).coalesce(1), f"{tmp_path}/log")
+        keyed_run(spark, tmp_path, tables)
+    batch = Tables(spark, f"{tmp_path}/one_batch")
+    project_batch(read_log(spark, f"{tmp_path}/log"), 0, batch, processed_at=now())
+    assert contents(tables) == contents(batch)
+    counts = {r.route: r.n for r in tables.read("outcomes").groupBy("route").agg(F.sum("n").alias("n")).collect() if r.n}
+    assert counts == {r.route: r.n for r in routing.route_counts(parse_events(read_log(spark, f"{tmp_path}/log"))).collect()}
+
+
+def test_keyed_state_knows_ids_that_come_back_at_smaller_positions(spark, tmp_path):
+    tables = Tables(spark, f"{tmp_path}/tables")
+    rows = [("incident-events", 3, 5, "a", 1), ("incident-events", 0, 0, "a", 2), ("incident-events", 1, 7, "b", 2),
+            ("incident-events", 0, 9, "b", 3), ("incident-events", 2, 1, "a", 3)]
+    for run in (1, 2, 3):
+        part = [(t, p, o, None, event(id=i, message=f"run {n}"), {}) for t, p, o, i, n in rows if n == run]
+        append_log(spark.createDataFrame(part, ENVELOPE).coalesce(1), f"{tmp_path}/log")
+        keyed_run(spark, tmp_path, tables)
+    assert sorted((r.event_id, r.message) for r in tables.read("timeline").collect()) == [("a", "run 1"), ("b", "run 2")]
+    assert {(r.batch_id, r.route): r.n for r in tables.all_batches("outcomes").collect() if r.n} == {
+        (0, "projected_full"): 1, (1, "projected_full"): 1, (1, "duplicate"): 1, (2, "duplicate"): 2}
+
+
+def test_keyed_batch_repeated_after_a_failure(spark, make_log, tmp_path, monkeypatch):
+    """The second batch fails when half of its tables are written; the next run repeats it from the same state."""
+    tables, write = Tables(spark, f"{tmp_path}/tables"), Tables.write
+    append_log(make_log([event(id="1"), event(id="2")]).coalesce(1), f"{tmp_path}/log")
+    keyed_run(spark, tmp_path, tables, after_mark_failure="quarantine")
+    append_log(make_log([event(id="2"), event(id="3"), event(id="4", timestamp="bad")], 2).coalesce(1), f"{tmp_path}/log")
+
+    def failing(self, name, batch_id, rows):
+        if name == "artifacts":
+            raise OSError("lost")
+        write(self, name, batch_id, rows)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Tables, "write", failing)
+        with pytest.raises(Exception, match="lost"):
+            keyed_run(spark, tmp_path, tables, after_mark_failure="quarantine")
+    assert sorted(r.event_id for r in tables.read("timeline").collect()) == ["1", "2"]
+    keyed_run(spark, tmp_path, tables, after_mark_failure="quarantine")
+    assert sorted(r.event_id for r in tables.read("timeline").collect()) == ["1", "2", "3"]
+    assert [r.originalOffset for r in tables.read("dead_letters").collect()] == ["4"]
+    assert sorted(r.message_id for r in tables.read("ledger").collect()) == ["1", "2", "3", "4"]
