@@ -37,7 +37,7 @@ NO_HEALTH = "(not provided)"
 MAX_LONG = 2**63 - 1
 
 
-def _newest_first() -> list[Column]:
+def newest_first() -> list[Column]:
     return [F.desc("event_timestamp"), F.asc("event_id")]
 
 
@@ -53,13 +53,13 @@ def effective_limit() -> Column:
     )
 
 
-def _asked(requests: DataFrame) -> DataFrame:
+def asked_limits(requests: DataFrame) -> DataFrame:
     return requests.filter(F.coalesce("incident_id", F.lit("")) != "").select(
         "request_id", "incident_id", effective_limit().alias("take")
     )
 
 
-def _kept() -> Column:
+def kept_of() -> Column:
     """How many of an incident's ``total`` events a request keeps."""
     return F.when(F.col("take") < 0, F.greatest(F.col("total") + F.col("take"), F.lit(0))).otherwise(
         F.least("take", "total"))
@@ -73,13 +73,13 @@ def recent_events(timeline: DataFrame, requests: DataFrame) -> DataFrame:
     the incident's total say.  Parts that lie wholly beyond the most that any
     request keeps are dropped before they are ranked.
     """
-    asked = _asked(requests)
-    group, order = ["incident_id"], _newest_first()
+    asked = asked_limits(requests)
+    group, order = ["incident_id"], newest_first()
     wanted = asked.select("incident_id").distinct()
     parts = parts_of(timeline.join(wanted, "incident_id", "left_semi"), group, order)
     offsets = part_offsets(parts, group)
     totals = offsets.groupBy("incident_id").agg(F.max("total").alias("total"))
-    kept = asked.join(totals, "incident_id").select("request_id", "incident_id", _kept().alias("kept")).filter("kept > 0")
+    kept = asked.join(totals, "incident_id").select("request_id", "incident_id", kept_of().alias("kept")).filter("kept > 0")
     most = kept.groupBy("incident_id").agg(F.max("kept").alias("most"))
     needed = offsets.join(most, "incident_id").filter("before < most")
     ranked = numbered(parts, needed, group, order, "position").filter("position <= most").select(
@@ -90,10 +90,10 @@ def recent_events(timeline: DataFrame, requests: DataFrame) -> DataFrame:
 
 def request_status(requests: DataFrame, timeline: DataFrame) -> DataFrame:
     """``INVALID`` without an incident id, ``NOT_FOUND`` without events, else ``OK``; from counts alone."""
-    asked = _asked(requests)
+    asked = asked_limits(requests)
     totals = timeline.join(asked.select("incident_id").distinct(), "incident_id", "left_semi").groupBy(
         "incident_id").agg(F.count(F.lit(1)).alias("total"))
-    counts = asked.join(totals, "incident_id").select("request_id", _kept().alias("events"))
+    counts = asked.join(totals, "incident_id").select("request_id", kept_of().alias("events"))
     return requests.join(counts, "request_id", "left").select(
         *requests.columns,
         F.coalesce("events", F.lit(0)).cast("bigint").alias("events"),

@@ -470,4 +470,9 @@ SELECT DISTINCT 'ledger', event_id, '{FIXED}' FROM routed WHERE marks
 UNION ALL
 SELECT 'outcomes', route, CAST(count(*) AS VARCHAR) FROM routed GROUP BY route""",
     }
-    return oracles | {"stream_project_keyed": oracles["stream_project"]}
+    return oracles | {
+        "stream_project_keyed": oracles["stream_project"],
+        "recent_events_stored": oracles["recent_events"],
+        "stored_health_by_org": f"""WITH every AS ({oracles["service_health_by_org"]})
+SELECT * FROM every WHERE "orgId" = (SELECT min("orgId") FROM every)""",
+    }

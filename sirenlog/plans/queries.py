@@ -207,6 +207,31 @@ def recent_events(spark, sf_dir):
     return recent.withColumn("event_timestamp", iso_millis(F.col("event_timestamp")))
 
 
+@_query
+def recent_events_stored(spark, sf_dir):
+    """The same from the stored timeline, through its position index."""
+    tables = Tables(spark, f"{shared_folder(configure(spark))}/recent-{uuid.uuid4()}")
+    tables.write("timeline", 0, stored(inputs.timeline(spark, sf_dir), "timeline"))
+    tables.write("outcomes", 0, spark.createDataFrame([("projected", 1)], "route string, n bigint"))
+    recent = tables.recent_events(inputs.summary_requests(spark, sf_dir))
+    return recent.withColumn("event_timestamp", iso_millis(F.col("event_timestamp")))
+
+
+@_query
+def stored_health_by_org(spark, sf_dir):
+    """One organisation's services, the one with the first name, from compacted state and the changes since."""
+    tables = Tables(spark, f"{shared_folder(configure(spark))}/health-{uuid.uuid4()}")
+    changes = stored(pj.health_changes(inputs.Projected(spark, sf_dir).first), "health-changes")
+    last = changes.agg(F.max("arrival.offset")).first()[0]
+    for batch in range(3):
+        part = F.floor(F.col("arrival.offset") * 3 / (last + 1)) == batch
+        tables.write("health_changes", batch, pj.fold_health(changes.filter(part)))
+        tables.write("outcomes", batch, spark.createDataFrame([("projected", 1)], "route string, n bigint"))
+    tables.compact("health_changes")
+    key = tables.read("health_changes").agg(F.min("org_id")).first()[0]
+    return views.health_view(tables.health(key))
+
+
 @_query
 def summary_requests(spark, sf_dir):
     return sm.request_status(inputs.summary_requests(spark, sf_dir), inputs.timeline(spark, sf_dir)).select(

@@ -50,6 +50,9 @@ TIMELINE = _struct(
     incident_id=_TEXT, event_timestamp=_TIME, event_id=_TEXT, event_type=_TEXT, message=_TEXT,
 )
 
+# Per incident and file of the timeline: how many events, from when to when, and how many without a time.
+TIMELINE_INDEX = _struct(incident_id=_TEXT, file=_TEXT, n=_LONG, oldest=_TIME, newest=_TIME, undated=_LONG)
+
 LEDGER = _struct(consumer_group=_TEXT, message_id=_TEXT, processed_at=_TIME)
 
 ARRIVAL = _struct(batch_id=_LONG, partition=_INT, offset=_LONG)

@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from sirenlog.operators import newest
 from sirenlog.operators.projections import fold_health
-from sirenlog.schemas import ARTIFACTS, HEALTH_CHANGES, LEDGER, REPLAYS, STORED_DEAD_LETTERS, TIMELINE
+from sirenlog.schemas import ARTIFACTS, HEALTH_CHANGES, LEDGER, REPLAYS, STORED_DEAD_LETTERS, TIMELINE, TIMELINE_INDEX
+from sirenlog.session import stored
 
 OUTCOMES = StructType([StructField("route", StringType()), StructField("n", LongType())])
 
@@ -33,6 +35,7 @@ SCHEMAS = {
     "artifacts": ARTIFACTS,
     "dead_letters": STORED_DEAD_LETTERS,
     "replays": REPLAYS,
+    "timeline_index": TIMELINE_INDEX,
     "outcomes": OUTCOMES,
 }
 
@@ -42,6 +45,7 @@ LAYOUTS = {
     "timeline": ("incident_id", "event_timestamp", "event_id"),
     "artifacts": ("incident_id", "uploaded_at", "artifact_id"),
     "ledger": ("message_id",),
+    "health_changes": ("org_id", "service_name"),
 }
 
 BUCKET_IDS = 1_000_000      # ids of a folder of the compacted ledger, about
@@ -78,7 +82,23 @@ class Tables:
         layout = LAYOUTS.get(name)
         if layout:
             rows = rows.repartitionByRange(*layout).sortWithinPartitions(*layout)
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
+        path = f"{self.root}/{name}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        if name == "timeline":
+            self._index_timeline(path, f"{self.root}/timeline_index/batch_id={batch_id}")
+
+    def _index_timeline(self, path: str, index: str) -> None:
+        newest.file_index(self.spark.read.schema(TIMELINE).parquet(path)).write.mode("overwrite").parquet(index)
+
+    def recent_events(self, requests: DataFrame) -> DataFrame:
+        """Per request the newest events of its incident, from the files that hold them."""
+        index = self.read("timeline_index")
+        kept = stored(newest.kept_by_index(index, requests), "kept")
+        needed = stored(newest.needed_from(index, kept), "needed")
+        files = newest.needed_files(index, needed)
+        rows = self.spark.read.schema(TIMELINE)
+        rows = rows.parquet(*files) if files else self.spark.createDataFrame([], TIMELINE)
+        return newest.ranked_newest(rows, kept, needed)
 
     def all_batches(self, name: str) -> DataFrame:
         """Every row with its ``batch_id``, committed or not."""
@@ -154,9 +174,15 @@ class Tables:
         recent = self._recent(name, last, done)
         return recent if done is None else self._compacted_rows(name, done[0]).select(recent.columns).unionByName(recent)
 
-    def health(self) -> DataFrame:
-        """Current state per service."""
-        return fold_health(self.read("health_changes"))
+    def health(self, org_id: str | None = None) -> DataFrame:
+        """Current state per service, of one organisation or of all.
+
+        Compaction folds the changes into one row per service, and that state
+        and the changes since lie in the order of organisations: one
+        organisation's filter skips the files and row groups of the others.
+        """
+        changes = self.read("health_changes")
+        return fold_health(changes if org_id is None else changes.filter(F.col("org_id") == org_id))
 
     def compact(self, name: str) -> None:
         """Rewrite all committed batches but the newest as one sorted set of files.
@@ -191,9 +217,11 @@ class Tables:
             if layout:
                 rows = rows.repartitionByRange(*layout).sortWithinPartitions(*layout)
             rows.write.mode("overwrite").parquet(path)
-        self.spark.range(1).select(
-            F.lit(last).cast("bigint").alias("done"), F.lit(buckets).alias("buckets"), F.lit(words).cast("bigint").alias("words"),
-        ).write.mode("overwrite").parquet(f"{self.root}/compacted_{name}_done/through={last}")
+        if name == "timeline":
+            index = f"{self.root}/compacted_timeline_index"
+            self._index_timeline(path, f"{index}/through={last}")
+            self._mark("timeline_index", last, 0, 0)
+        self._mark(name, last, buckets, words)
         self._remove(name, "batch_id", last)
         for kept in ("accepted", "received"):
             self._remove(kept, "batch_id", last)
@@ -201,6 +229,15 @@ class Tables:
         self._remove(f"compacted_{name}_done", "through", last - 1)
         if name == "ledger":
             self._remove("compacted_ledger_filter", "through", last - 1)
+        if name == "timeline":
+            self._remove("timeline_index", "batch_id", last)
+            for kept in ("compacted_timeline_index", "compacted_timeline_index_done"):
+                self._remove(kept, "through", last - 1)
+
+    def _mark(self, name: str, last: int, buckets: int, words: int) -> None:
+        self.spark.range(1).select(
+            F.lit(last).cast("bigint").alias("done"), F.lit(buckets).alias("buckets"), F.lit(words).cast("bigint").alias("words"),
+        ).write.mode("overwrite").parquet(f"{self.root}/compacted_{name}_done/through={last}")
 
     def folders(self, name: str) -> list[str]:
         """The names of a table's batch (or compaction) folders."""

@@ -1,10 +1,12 @@
 """The streamed tables against the batch operators; retries, replay, quarantine, compaction."""
 
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from sirenlog.operators import newest
 from sirenlog.operators import projections as pj
 from sirenlog.operators import routing, views
 from sirenlog.operators.parsing import parse_events
@@ -13,7 +15,7 @@ from sirenlog.streaming.pipeline import project_batch, replay_to_log, start_proj
 from sirenlog.operators.routing import CONSUMER_GROUP
 from sirenlog.sources.outbox import Outbox
 from sirenlog.streaming import tables as stored
-from sirenlog.schemas import ENVELOPE
+from sirenlog.schemas import ENVELOPE, HEALTH_CHANGES, SUMMARY_REQUEST, TIMELINE
 from sirenlog.streaming.pipeline import replay_report, start_keyed_projection
 from sirenlog.streaming.tables import Tables
 from tests.test_routing import ART, event
@@ -107,16 +109,26 @@ def test_compaction_keeps_contents_and_removes_folders(spark, streamed):
         tables.read_before("ledger", 1)
 
 
+def scans_of(plan):
+    """The file scans of an executed plan, below its query stages too."""
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.finalPhysicalPlan()
+    leaves, found = plan.collectLeaves(), []
+    for leaf in [leaves.apply(i) for i in range(leaves.size())]:
+        if "Stage" in leaf.nodeName():
+            found += scans_of(leaf.plan())
+        elif leaf.metrics().contains("numFiles"):
+            found.append(leaf)
+    return found
+
+
 def files_read(frame):
     """Files that the scans of an executed plan read, by the folder of their table."""
     frame.collect()
-    plan, found = frame._jdf.queryExecution().executedPlan(), {}
-    leaves = plan.finalPhysicalPlan().collectLeaves() if "AdaptiveSparkPlan" in plan.nodeName() else plan.collectLeaves()
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        if leaf.metrics().contains("numFiles"):
-            name = leaf.relation().location().rootPaths().head().toString().split("/tables/")[1].split("/")[0]
-            found[name] = found.get(name, 0) + leaf.metrics().apply("numFiles").value()
+    found = {}
+    for scan in scans_of(frame._jdf.queryExecution().executedPlan()):
+        name = scan.relation().location().rootPaths().head().toString().split("/tables/")[1].split("/")[0]
+        found[name] = found.get(name, 0) + scan.metrics().apply("numFiles").value()
     return found
 
 
@@ -370,3 +382,89 @@ def test_keyed_batch_repeated_after_a_failure(spark, make_log, tmp_path, monkeyp
     assert sorted(r.event_id for r in tables.read("timeline").collect()) == ["1", "2", "3"]
     assert [r.originalOffset for r in tables.read("dead_letters").collect()] == ["4"]
     assert sorted(r.message_id for r in tables.read("ledger").collect()) == ["1", "2", "3", "4"]
+
+
+def newest_of(rows, limit, limit_given=True):
+    """The newest events of one incident, plainly."""
+    ordered = sorted(rows, key=lambda r: (r.event_timestamp is None, -(r.event_timestamp or now_time()).timestamp(), r.event_id))
+    keep = 20 if not limit_given else int(limit) if limit >= 0 else max(0, len(rows) + int(limit))
+    return [(i, r.event_id) for i, r in enumerate(ordered[:keep], 1)]
+
+
+def now_time():
+    return datetime.datetime(2026, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def timeline_tables(spark, tmp_path_factory):
+    """Four batches of events, out of order, one hot incident, some events without a time."""
+    tables, rng = Tables(spark, f"{tmp_path_factory.mktemp('newest')}/tables"), random.Random(5)
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", "c"]),
+             None if rng.random() < 0.02 else now_time() + datetime.timedelta(seconds=rng.randrange(5000)),
+             f"e{i}", "t", "m") for i in range(3000)]
+    for batch in range(4):
+        part = rows[batch * 750:(batch + 1) * 750]
+        tables.write("timeline", batch, spark.createDataFrame(part, TIMELINE).repartition(8))
+        tables.write("outcomes", batch, spark.createDataFrame([("x", 1)], "route string, n bigint"))
+    return tables
+
+
+LIMITS = [("hot", 5.0, True), ("hot", 1.0, False), ("hot", -2400.0, True), ("hot", 1e9, True), ("a", 3.0, True),
+          ("b", -1.0, True), ("c", 0.0, True), ("none", 4.0, True), ("", 4.0, True)]
+
+
+def check_newest(spark, tables):
+    asked = spark.createDataFrame([(f"r{i}", *x[:1], None, *x[1:]) for i, x in enumerate(LIMITS)], SUMMARY_REQUEST)
+    got = {}
+    for r in tables.recent_events(asked).collect():
+        got.setdefault(r.request_id, []).append((r.position, r.event_id))
+    rows = tables.read("timeline").collect()
+    want = {f"r{i}": newest_of([r for r in rows if r.incident_id == x[0]], *x[1:]) for i, x in enumerate(LIMITS)}
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
+
+
+def test_newest_events_through_the_index(spark, timeline_tables):
+    check_newest(spark, timeline_tables)
+
+
+def test_newest_events_open_only_the_files_that_hold_them(spark, tmp_path):
+    tables = Tables(spark, f"{tmp_path}/tables")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "50")
+    for batch in range(4):  # in order of time, so that old files hold nothing new
+        rows = [("hot", now_time() + datetime.timedelta(seconds=1000 * batch + i), f"{batch}-{i}", "t", "m") for i in range(1000)]
+        tables.write("timeline", batch, spark.createDataFrame(rows, TIMELINE))
+        tables.write("outcomes", batch, spark.createDataFrame([("x", 1)], "route string, n bigint"))
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    index = tables.read("timeline_index")
+    assert index.count() >= 80
+    asked = spark.createDataFrame([("r", "hot", None, 60.0, True)], SUMMARY_REQUEST)
+    kept = newest.kept_by_index(index, asked)
+    assert len(newest.needed_files(index, newest.needed_from(index, kept))) <= 2
+    assert [r.event_id for r in tables.recent_events(asked).orderBy("position").collect()] == [f"3-{i}" for i in range(999, 939, -1)]
+
+
+def test_newest_events_after_compaction(spark, timeline_tables):
+    timeline_tables.compact("timeline")
+    assert timeline_tables.folders("timeline_index") == ["batch_id=3"]
+    assert timeline_tables.folders("compacted_timeline_index") == ["through=2"]
+    check_newest(spark, timeline_tables)
+
+
+def test_one_organisation_is_read_from_its_files(spark, tmp_path):
+    tables = Tables(spark, f"{tmp_path}/tables")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    arrival = lambda b, i: (b, 0, i)
+    for batch in range(3):
+        rows = [(f"org-{o:03}", f"svc-{s}", "i", f"e{batch}", "LOW", "ACTIVE", now_time(), "m", arrival(batch, s), arrival(batch, s))
+                for o in range(100) for s in range(2)]
+        tables.write("health_changes", batch, spark.createDataFrame(rows, HEALTH_CHANGES).repartition(6))
+        tables.write("outcomes", batch, spark.createDataFrame([("x", 1)], "route string, n bigint"))
+    tables.compact("health_changes")
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    one = tables.health("org-042")
+    assert sorted((r.service_name, r.latest_event_id) for r in one.collect()) == [("svc-0", "e2"), ("svc-1", "e2")]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(org_id,org-042)") >= 2
+    # Row groups that cannot hold the organisation give no rows.
+    scans = scans_of(one._jdf.queryExecution().executedPlan())
+    assert sum(s.metrics().apply("numOutputRows").value() for s in scans) <= 40  # of 400
