@@ -10,6 +10,7 @@ from sirenlog.functions.text import dash_whitespace, or_default
 from sirenlog.functions.timestamps import iso_millis
 from sirenlog.operators.parsing import ATTACHED
 from sirenlog.schemas import ARTIFACT_CONTENT
+from sirenlog.session import stored
 
 # Fixed values.
 BUCKET = "incident-artifacts"
@@ -85,11 +86,18 @@ def write_content(content: DataFrame, path: str, load: str) -> None:
 
 
 def read_content(spark: SparkSession, path: str) -> DataFrame:
-    """One row per object key: of several loads the last by name counts, as in a store that overwrites."""
+    """One row per object key: of several loads the last by name counts, as in a store that overwrites.
+
+    Which row that is, by load, file and place in it, follows from the keys
+    alone.  Loads that hold no such row are not opened; contents move in one
+    join at most, and not at all where the keys are few enough to be sent.
+    """
     rows = spark.read.schema(StructType([*ARTIFACT_CONTENT.fields, StructField("load", StringType())])).parquet(path)
-    # The winner is found by key and load alone; contents move once.
-    last = rows.groupBy("object_key").agg(F.max("load").alias("load"))
-    return rows.join(last, ["object_key", "load"]).drop("load").dropDuplicates(["object_key"])
+    place = F.struct("load", "_metadata.file_path", "_metadata.row_index")
+    last = stored(rows.select("object_key", place.alias("place")).groupBy("object_key").agg(F.max("place").alias("place")), "manifest")
+    loads = [r.load for r in last.select("place.load").distinct().collect()]  # names of loads
+    return rows.filter(F.col("load").isin(loads)).withColumn("place", place).join(
+        last.select("place"), "place", "left_semi").drop("place", "load")
 
 
 def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -471,6 +471,18 @@ UNION ALL
 SELECT 'outcomes', route, CAST(count(*) AS VARCHAR) FROM routed GROUP BY route""",
     }
     return oracles | {
+        "artifact_file_intake": f"""WITH files AS (
+  SELECT 'documents ' || (doc_id // 20) || '.txt' AS original_name, doc_id // 20 AS number,
+    string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id) AS content
+  FROM documents GROUP BY doc_id // 20),
+judged AS (SELECT *, CAST(octet_length(encode(content)) AS BIGINT) AS size FROM files)
+SELECT original_name, size, size <= 10485760 AS ok, CASE WHEN size > 10485760 THEN 'File too large' END AS error,
+  CASE WHEN size <= 10485760 THEN 'inc-files/1767225600000-documents-' || number || '.txt' END AS object_key,
+  CASE WHEN size <= 10485760 THEN md5(content) END AS md5 FROM judged""",
+        "generated_identities": f"""WITH submitted AS ({oracles["submit_incidents"]}),
+attached AS ({oracles["register_artifacts"]}),
+made AS (SELECT 'submission' AS kind FROM submitted WHERE ok UNION ALL SELECT 'artifact' FROM attached WHERE ok)
+SELECT kind, count(*) AS events, count(*) AS ids, count(*) AS well_formed, CAST(1 AS BIGINT) AS times FROM made GROUP BY kind""",
         "stream_project_keyed": oracles["stream_project"],
         "recent_events_stored": oracles["recent_events"],
         "stored_health_by_org": f"""WITH every AS ({oracles["service_health_by_org"]})

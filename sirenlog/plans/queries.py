@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sirenlog.functions import strict_json as sj
+from sirenlog.functions.strict_json import evaluated_once
 from sirenlog.functions.timestamps import iso_millis
 from sirenlog.operators import artifacts as af
 from sirenlog.operators import dead_letters as dl
@@ -362,14 +363,44 @@ def store_artifacts(spark, sf_dir):
         F.md5("content").alias("md5"))
 
 
+FILE_ROWS = 20  # documents of a file; the number of files grows with the table
+
+
 @_query
 def artifact_file_intake(spark, sf_dir):
-    """The table files themselves as uploads; oversized ones are refused unread."""
-    files = af.read_files(configure(spark), sf_dir, "*.parquet").select(
-        F.lit("inc-files").alias("incident_id"), "original_name", F.lit(None).cast("string").alias("mime_type"),
-        "size", inputs.fixed_time().alias("received_at"))
-    registered = af.register_artifacts(files, F.col("original_name"))
-    return registered.select("original_name", "size", "ok", "error", F.col("artifact.objectKey").alias("object_key"))
+    """The documents written as text files, which are then read and registered as uploads."""
+    folder = f"{shared_folder(configure(spark))}/files-{uuid.uuid4()}"
+    number = F.floor(F.col("doc_id") / FILE_ROWS)
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        number.alias("number"), "doc_id", F.coalesce("text", F.lit("")).alias("text")).repartition("number").sortWithinPartitions(
+        "number", "doc_id").select("number", "text").write.partitionBy("number").text(folder)
+    name = F.concat(F.lit("documents "), F.regexp_extract("path", r"number=(\d+)", 1), F.lit(".txt"))
+    files = af.read_files(spark, folder, "*.txt").select(
+        F.lit("inc-files").alias("incident_id"), name.alias("original_name"), F.lit(None).cast("string").alias("mime_type"),
+        "size", inputs.fixed_time().alias("received_at"), "content")
+    # Refused files are judged without their content, which then is not read.
+    columns = ["original_name", "size", "ok", "error", F.col("artifact.objectKey").alias("object_key")]
+    refused = af.register_artifacts(files.drop("content"), F.col("original_name")).filter("NOT ok").select(
+        *columns, F.lit(None).cast("string").alias("md5"))
+    small = files.filter(F.col("size") <= af.MAX_BYTES)
+    stored_files = af.register_artifacts(small, F.col("original_name")).filter("ok").select(
+        *columns, F.md5("content").alias("md5"))
+    return refused.unionByName(stored_files)
+
+
+@_query
+def generated_identities(spark, sf_dir):
+    """Ids and times that the library makes itself: all ids differ and are random uuids, and a batch has one time."""
+    submitted = published(accept_submissions(inputs.submissions(spark, sf_dir)))
+    intake = inputs.artifact_intake(spark, sf_dir).withColumn("received_at", F.current_timestamp())
+    attached = evaluated_once(af.register_artifacts(intake)).filter("ok")
+    made = submitted.select(F.lit("submission").alias("kind"), "value").unionByName(
+        attached.select(F.lit("artifact").alias("kind"), "value"))
+    made = made.select("kind", F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.timestamp").alias("time"))
+    form = F.col("id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return made.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("id").alias("ids"), F.count_if(form).alias("well_formed"),
+        F.count_distinct("time").alias("times"))
 
 
 @_query

@@ -5,14 +5,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sirenlog.schemas import ENVELOPE
 from sirenlog.operators import artifacts as af
 from sirenlog.operators import dead_letters as dl
 from sirenlog.operators import summaries as sm
 from sirenlog.operators.parsing import parse_events
 from sirenlog.operators.submissions import REQUIRED, accept_submissions
+from sirenlog.schemas import ARTIFACT_CONTENT, ENVELOPE
 from sirenlog.sources.event_log import from_kafka, read_dead_letter_log, to_kafka
 from tests.test_routing import event
+from tests.test_stream import scans_of
 
 def now():
     return F.lit("2026-01-01T00:00:00.000Z")
@@ -206,3 +207,18 @@ def test_a_failing_prompt_is_its_own_error(spark):
     assert got.pop("r4") == (None, "OSError: unreachable")
     assert got.pop("r7") == (None, "ValueError: 0 replies to 1 prompts")
     assert got == {f"r{n}": (f"P{n}", None) for n in range(9) if n not in (4, 7)}
+
+
+def test_superseded_content_is_not_read(spark, tmp_path):
+    """All keys overwritten by a later load, some by a third one; equal keys of one load give one row."""
+    path = str(tmp_path / "content")
+    content = lambda keys, text: spark.createDataFrame(
+        [(k, "m", bytearray(text * 50_000, "ascii")) for k in keys], ARTIFACT_CONTENT)
+    af.write_content(content(["a", "b", "c"], "x"), path, "1")
+    af.write_content(content(["a", "b", "c", "c"], "y"), path, "2")
+    af.write_content(content(["b"], "z"), path, "3")
+    read = af.read_content(spark, path)
+    assert sorted((r.object_key, chr(r.content[0])) for r in read.collect()) == [("a", "y"), ("b", "z"), ("c", "y")]
+    size = lambda *loads: sum(f.stat().st_size for n in loads for f in (tmp_path / f"content/load={n}").glob("*.parquet"))
+    scans = [s for s in scans_of(read._jdf.queryExecution().executedPlan()) if s.metrics().contains("numPartitions")]
+    assert sum(s.metrics().apply("filesSize").value() for s in scans) == size(2, 3)
