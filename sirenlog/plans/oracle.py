@@ -485,6 +485,7 @@ made AS (SELECT 'submission' AS kind FROM submitted WHERE ok UNION ALL SELECT 'a
 SELECT kind, count(*) AS events, count(*) AS ids, count(*) AS well_formed, CAST(1 AS BIGINT) AS times FROM made GROUP BY kind""",
         "stream_project_keyed": oracles["stream_project"],
         "recent_events_stored": oracles["recent_events"],
+        "summarize_incidents_stored": oracles["summarize_incidents"],
         "stored_health_by_org": f"""WITH every AS ({oracles["service_health_by_org"]})
 SELECT * FROM every WHERE "orgId" = (SELECT min("orgId") FROM every)""",
     }

@@ -18,6 +18,7 @@ from sirenlog.operators import routing
 from sirenlog.operators import summaries as sm
 from sirenlog.operators import views
 from sirenlog.operators.parsing import parse_events
+from sirenlog.operators.reply_store import ReplyStore
 from sirenlog.operators.submissions import accept_submissions, published
 from sirenlog.plans import inputs
 from sirenlog.session import configure, shared_folder, stored
@@ -286,6 +287,15 @@ def summarize_with_failures(spark, sf_dir):
     return sm.parse_summaries(replies).select("request_id", "incident_id", "decoded", "error", "confidence")
 
 
+@_query
+def summarize_incidents_stored(spark, sf_dir):
+    """Replies through the store: a run in which some prompts fail, then one that asks only for those."""
+    prompts = stored(sm.summary_prompts(_context(spark, sf_dir)), "prompts")
+    store = ReplyStore(spark, f"{shared_folder(configure(spark))}/replies-{uuid.uuid4()}")
+    store.generate(prompts, _failing_generator)
+    return _flat(sm.parse_summaries(store.generate(prompts))).drop("reply", "error")
+
+
 def _flat(parsed: DataFrame) -> DataFrame:
     """Lists as one text each."""
     return parsed.withColumns({

@@ -1,6 +1,8 @@
 """Dead letters and replay, submissions, artifact files, summary prompts and reply checks."""
 
 import json
+import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from sirenlog.operators import artifacts as af
 from sirenlog.operators import dead_letters as dl
 from sirenlog.operators import summaries as sm
 from sirenlog.operators.parsing import parse_events
+from sirenlog.operators.reply_store import ReplyStore
 from sirenlog.operators.submissions import REQUIRED, accept_submissions
 from sirenlog.schemas import ARTIFACT_CONTENT, ENVELOPE
 from sirenlog.sources.event_log import from_kafka, read_dead_letter_log, to_kafka
@@ -222,3 +225,56 @@ def test_superseded_content_is_not_read(spark, tmp_path):
     size = lambda *loads: sum(f.stat().st_size for n in loads for f in (tmp_path / f"content/load={n}").glob("*.parquet"))
     scans = [s for s in scans_of(read._jdf.queryExecution().executedPlan()) if s.metrics().contains("numPartitions")]
     assert sum(s.metrics().apply("filesSize").value() for s in scans) == size(2, 3)
+
+
+def logging_generator(folder, fails_on=None, error=None):
+    """Replies with the prompt reversed, notes what it was asked, and fails on one prompt."""
+    def make():
+        def generate(texts):
+            if fails_on in texts:
+                time.sleep(4)  # the other tasks come to their end
+                raise error
+            with open(f"{folder}/{uuid.uuid4()}", "w") as note:
+                note.write("\n".join(texts))
+            return [t[::-1] for t in texts]
+        return generate
+    return make
+
+
+def asked_prompts(folder):
+    return sorted(t for note in folder.iterdir() for t in note.read_text().split("\n"))
+
+
+class Gone(BaseException):
+    """What no generator's error handling catches: the task dies."""
+
+
+def test_a_failed_run_is_continued_and_asks_no_prompt_twice(spark, tmp_path):
+    first, second, third = [tmp_path / name for name in ("first", "second", "third")]
+    for folder in (first, second, third):
+        folder.mkdir()
+    store = ReplyStore(spark, str(tmp_path / "store"))
+    prompts = spark.createDataFrame(
+        [(f"r{i}", "inc", f"prompt {i % 40}") for i in range(60)], "request_id string, incident_id string, prompt string")
+    with pytest.raises(Exception):
+        store.generate(prompts, logging_generator(first, "prompt 7", Gone()), per_task=5, batch_size=5)
+    kept = sorted(r.reply[::-1] for r in store.replies().collect())
+    assert kept and "prompt 7" not in kept and set(kept) <= set(asked_prompts(first))
+    out = store.generate(prompts, logging_generator(second), per_task=5)
+    assert asked_prompts(second) == sorted({f"prompt {i}" for i in range(40)} - set(kept))
+    assert {r.request_id: (r.reply, r.error) for r in out.collect()} == {
+        f"r{i}": (f"prompt {i % 40}"[::-1], None) for i in range(60)}
+    assert store.generate(prompts, logging_generator(third)).count() == 60 and asked_prompts(third) == []
+
+
+def test_errors_are_told_and_asked_again(spark, tmp_path):
+    store, folder = ReplyStore(spark, str(tmp_path / "store")), tmp_path / "asked"
+    folder.mkdir()
+    prompts = spark.createDataFrame([("a", "i", "x"), ("b", "i", "y"), ("c", "i", "y")], "request_id string, incident_id string, prompt string")
+    out = store.generate(prompts, logging_generator(folder, "y", ValueError("no")))
+    assert sorted((r.request_id, r.reply, r.error) for r in out.collect()) == [
+        ("a", "x", None), ("b", None, "ValueError: no"), ("c", None, "ValueError: no")]
+    out = store.generate(prompts, logging_generator(folder))
+    assert sorted((r.request_id, r.reply, r.error) for r in out.collect()) == [("a", "x", None), ("b", "y", None), ("c", "y", None)]
+    assert asked_prompts(folder) == ["x", "y"]
+    assert store.generate(prompts.limit(0)).count() == 0
