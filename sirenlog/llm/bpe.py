@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 VOCABULARY = "word_bpe_49k.json"
 NEVER = 1 << 40
 CACHED_WORDS = 250_000   # in each of two generations
+CACHED_LETTERS = 64      # longer words are computed anew, so that the caches have a bound in bytes
 CACHED_PAIRS = 1_000_000
 # Where lower-casing, white space and classes are the same in every Unicode library.
 _PLAIN = re.compile("[\t\n\r -~\xa1-įı-ſ]*")
@@ -70,6 +71,8 @@ class Words(dict):
         value = self.older.get(word)
         if value is None:
             value = self.compute(word)
+        if len(word) > CACHED_LETTERS:
+            return value
         if len(self) >= CACHED_WORDS:
             self.older = dict(self)
             self.clear()

@@ -13,11 +13,13 @@ block): the keys and lengths of its documents, ids before it in its part, and
     b"RPG1", width of a symbol (2 or 4), base, rules, symbols, ids  (4s, 5 x u32)
     rules x 2 symbols (u32)         left and right of rule base + i
     rules x u32                     expansion lengths
-    symbols x width                 the compressed sequence
+    symbols x 2                     the compressed sequence, low halves
+    symbols x 2                     high halves, if the width is 4
 
 Defined results: a null text is empty and holds only the end id; an empty table
 gives no rows; rows that tie on the key are ordered by a hash of their text;
-null keys come first.
+null keys come first; a text longer than a block is one block, as large as its
+ids; only the named columns of the input are read, whatever the others are called.
 """
 
 from __future__ import annotations
@@ -37,9 +39,7 @@ from sirenlog.llm.bpe import Words, byte_letters, load
 
 END_ID = 1
 BLOCK = 1 << 20          # ids of a block; a longer document is a block of its own
-ROUNDS = 6               # passes of pair replacement
-LEAST_COUNT = 16         # of a pair that becomes a rule
-ROUND_RULES = 2048       # rules of a pass, the most frequent pairs first
+LEAST_COUNT = 16         # places of a pair that becomes a rule; with fewer, a rule is hardly shorter than its places
 _HEAD = np.dtype([("magic", "S4"), ("width", "<u4"), ("base", "<u4"), ("rules", "<u4"), ("symbols", "<u4"), ("ids", "<u4")])
 
 
@@ -52,59 +52,62 @@ def _slots(pairs: np.ndarray) -> np.ndarray:
 
 
 def _frequent_pairs(pairs: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """The most frequent pairs (left << 32 | right), most frequent first; pairs of equal ids are left alone."""
+    """The pairs (left << 32 | right) that stand at LEAST_COUNT places or more, in order."""
     # Only pairs whose hash is frequent can be: sorting the others is saved.
     often = np.bincount(slot, minlength=1 << 20) >= LEAST_COUNT
-    pairs = pairs[often[slot]]
-    pairs = np.sort(pairs[pairs >> np.uint64(32) != pairs & np.uint64(0xFFFFFFFF)])
-    if not len(pairs):
-        return pairs
-    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
-    count = np.diff(np.concatenate([first, [len(pairs)]]))
-    value, enough = pairs[first], count >= LEAST_COUNT
-    value, count = value[enough], count[enough]
-    return value[np.lexsort((value, -count))[:ROUND_RULES]]
+    pairs = np.sort(pairs[often[slot]])
+    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+    return pairs[first[np.diff(np.append(first, len(pairs))) >= LEAST_COUNT]]
 
 
 def compress(ids: np.ndarray, base: int) -> bytes:
-    """The grammar of a sequence of ids below ``base``."""
+    """The grammar of a sequence of ids below ``base``.
+
+    A pass replaces all frequent pairs at once.  Where their places overlap the
+    first one counts, and the others are gone with their shared symbol: after a
+    pass only pairs with a new symbol can be frequent, so the next one counts
+    the places beside new symbols and nothing else.  Passes end when no pair is
+    frequent; a run of equal ids halves in each.
+    """
     seq = np.asarray(ids, np.uint32)
     rules: list[np.ndarray] = []
-    n_rules = 0
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+    n_rules, new = 0, 0   # symbols from ``new`` on came with the last pass
+    while len(seq) > 1:
+        fresh = seq >= new
+        where = np.flatnonzero(fresh[:-1] | fresh[1:])
+        pairs = seq[where].astype(np.uint64) << np.uint64(32) | seq[where + 1]
         slot = _slots(pairs)
         chosen = _frequent_pairs(pairs, slot)
         if not len(chosen):
             break
-        order = np.argsort(chosen)
-        ordered = chosen[order]
-        # A table of the hashes first: most pairs are in none of the rules.
-        known = np.zeros(1 << 20, bool)
-        known[_slots(ordered)] = True
-        at = np.flatnonzero(known[slot])
-        place = np.minimum(np.searchsorted(ordered, pairs[at]), len(ordered) - 1)
-        fits = ordered[place] == pairs[at]
-        at, rule = at[fits], order[place[fits]]
+        # A table of the hashes first: most pairs are in none of the rules, and most others are the one of their hash.
+        entry = np.full(1 << 20, -1, np.int32)
+        entry[_slots(chosen)] = np.arange(len(chosen))
+        rule = entry[slot]
+        near = np.flatnonzero(rule >= 0)
+        rule, near_pairs = rule[near], pairs[near]
+        other = np.flatnonzero(chosen[rule] != near_pairs)
+        rule[other] = np.minimum(np.searchsorted(chosen, near_pairs[other]), len(chosen) - 1)
+        fits = chosen[rule] == near_pairs
+        at, rule = where[near[fits]], rule[fits]
         # Of overlapping places in a row, every second one is replaced.
-        starts = np.concatenate([[True], at[1:] != at[:-1] + 1])
-        run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
-        even = (np.arange(len(at)) - run) % 2 == 0
+        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
+        even = (np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))) & 1 == 0
         at, rule = at[even], rule[even]
+        used = np.bincount(rule, minlength=len(chosen)) > 0  # a pair may have lost all its places
+        new = base + n_rules
         seq = seq.copy()
-        seq[at] = base + n_rules + rule
+        seq[at] = (new - 1 + np.cumsum(used))[rule]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
+        seq, chosen = seq[keep], chosen[used]
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype("<u4"))
         n_rules += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), "<u4")
     width = 2 if base + n_rules <= 1 << 16 else 4
     head = np.array([(b"RPG1", width, base, n_rules, len(seq), len(ids))], _HEAD)
-    return b"".join([head.tobytes(), table.tobytes(), _lengths(table, base).astype("<u4").tobytes(),
-                     seq.astype(f"<u{width}").tobytes()])
+    halves = seq.astype("<u4").view("<u2").reshape(-1, 2).T[:width // 2]
+    return b"".join([head.tobytes(), table.tobytes(), _lengths(table, base).astype("<u4").tobytes(), halves.tobytes()])
 
 
 def _lengths(table: np.ndarray, base: int) -> np.ndarray:
@@ -131,7 +134,11 @@ class Grammar:
         self.base, self.ids = int(head["base"]), int(head["ids"])
         self.table = np.frombuffer(stored, "<u4", 2 * n, at).reshape(n, 2)
         self.lengths = np.frombuffer(stored, "<u4", n, at + 8 * n).astype(np.int64)
-        self.sequence = np.frombuffer(stored, f"<u{int(head['width'])}", int(head["symbols"]), at + 12 * n)
+        halves = int(head["width"]) // 2
+        halves = np.frombuffer(stored, "<u2", int(head["symbols"]) * halves, at + 12 * n).reshape(halves, -1)
+        self.sequence = halves[0].astype(np.uint32)
+        if len(halves) > 1:
+            self.sequence |= halves[1].astype(np.uint32) << np.uint32(16)
         self._starts = np.concatenate([[0], np.cumsum(self.lengths)])
         self._pool = self._expand_rules()
         self._ends: np.ndarray | None = None
@@ -200,13 +207,16 @@ class Encoder:
     def __init__(self, path: str | None):
         self.bpe = load(path)
         self.known = Words(self._word)
-        self.model = self.bpe.library.model
         # A word is split and normalised already, so it goes to the library's model as its byte letters.
+        self.model = self.bpe.library.model
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(max(self.bpe.token_text, default=0) + 1)]
 
     def _word(self, word: str) -> bytes:
-        shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
-        return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(shown)])
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1")
+        ids = self.id_bytes
+        return b"".join([ids[token.id] for token in self.model.tokenize(word.translate(self.letters))])
 
     def encode(self, text: str) -> bytes:
         words = self.bpe.plain_words(text)
@@ -266,14 +276,17 @@ def write_shards(documents: DataFrame, folder: str, text: str = "text", key: str
     ordered.mapInArrow(run, schema).write.parquet(folder)
 
 
+def _bases(stored: DataFrame) -> DataFrame:
+    """(``part``, ``base``), how many ids all earlier parts hold; one row a part."""
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return stored.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+
+
 def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
     """``key``, ``start``, ``n_tokens`` and ``ids_crc32`` of each document, from the stored blocks."""
     stored = spark.read.parquet(folder)
-    order = Window.orderBy("part")
-    # One row a part: how many ids all earlier parts hold.
-    bases = stored.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
-        F.col("part").alias("_part"),
-        F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    bases = _bases(stored).withColumnRenamed("part", "_part")
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField(key, stored.schema["keys"].dataType.elementType),
         T.StructField("offset", T.LongType()), T.StructField("n_tokens", T.LongType()),
@@ -300,10 +313,10 @@ def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> Dat
 def decode_range(spark: SparkSession, folder: str, start: int, count: int) -> np.ndarray:
     """Ids start .. start + count of the whole store, from the blocks that hold them only."""
     stored = spark.read.parquet(folder)
-    order = Window.orderBy("part", "block")
-    at = stored.select("part", "block", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("first"), "n_ids").filter(
+    at = stored.join(_bases(stored), "part").select(
+        "part", "block", (F.col("base") + F.col("before")).alias("first"), "n_ids").filter(
         (F.col("first") < start + count) & (F.col("first") + F.col("n_ids") > start))
-    rows = stored.select("part", "block", "grammar").join(F.broadcast(at), ["part", "block"]).orderBy("first").collect()
+    rows = stored.select("part", "block", "grammar").join(at, ["part", "block"]).orderBy("first").collect()
     parts = [Grammar(bytes(r["grammar"])).range(max(0, start - r["first"]), start + count - max(start, r["first"]))
              for r in rows]
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)

@@ -27,6 +27,31 @@ def test_frequent_pairs_become_rules():
     assert g.lengths.max() >= 4 and len(g.sequence) < len(ids) / 3
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_no_frequent_pair_is_left(seed):
+    rng = np.random.default_rng(seed)
+    passage = rng.integers(0, 50, 700)
+    ids = np.concatenate([np.concatenate([passage, rng.integers(0, 900, 300)]) for _ in range(30)]
+                         + [np.full(5000, 3), rng.zipf(1.5, 20_000) % 900]).astype(np.uint32)
+    g = t.Grammar(t.compress(ids, 1000))
+    assert np.array_equal(g.all(), ids)
+    pairs, n = np.unique(np.stack([g.sequence[:-1], g.sequence[1:]]), axis=1, return_counts=True)
+    assert n.max() < t.LEAST_COUNT
+    assert g.lengths.max() >= 300  # the passage, by and by
+
+
+def test_equal_ids_shrink_to_few_symbols():
+    g = t.Grammar(t.compress(np.full(100_000, 7, np.uint32), 10))
+    assert len(g.sequence) <= 2 * t.LEAST_COUNT and len(g.table) <= 20 and g.all().tolist() == [7] * 100_000
+    assert g.range(99_990, 50).tolist() == [7] * 10
+
+
+def test_wide_symbols():
+    ids = (np.arange(200_000) % 70_000).astype(np.uint32)
+    g = t.Grammar(t.compress(ids, 70_001))
+    assert np.array_equal(g.all(), ids) and g.range(69_990, 20).tolist() == ids[69_990:70_010].tolist()
+
+
 def test_a_foreign_block_is_refused():
     with pytest.raises(ValueError):
         t.Grammar(b"XXXX" + bytes(20))
