@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 VOCABULARY = "word_bpe_49k.json"
 NEVER = 1 << 40
-CACHED_WORDS = 250_000   # in each of two generations
+CACHED_WORDS = 500_000   # in each of two generations
 CACHED_LETTERS = 64      # longer words are computed anew, so that the caches have a bound in bytes
 CACHED_PAIRS = 1_000_000
 # Where lower-casing, white space and classes are the same in every Unicode library.

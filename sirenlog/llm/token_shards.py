@@ -48,11 +48,13 @@ _HEAD = np.dtype([("magic", "S4"), ("width", "<u4"), ("base", "<u4"), ("rules",
 
 def _slots(pairs: np.ndarray) -> np.ndarray:
     """A 20-bit hash of each pair."""
+    if pairs.dtype == np.uint32:
+        return ((pairs * np.uint32(0x9E3779B1)) >> np.uint32(12)).view(np.int32)
     return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
 
 
 def _frequent_pairs(pairs: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """The pairs (left << 32 | right) that stand at LEAST_COUNT places or more, in order."""
+    """The pairs (left symbol in the high half) that stand at LEAST_COUNT places or more, in order."""
     # Only pairs whose hash is frequent can be: sorting the others is saved.
     often = np.bincount(slot, minlength=1 << 20) >= LEAST_COUNT
     pairs = np.sort(pairs[often[slot]])
@@ -75,7 +77,9 @@ def compress(ids: np.ndarray, base: int) -> bytes:
     while len(seq) > 1:
         fresh = seq >= new
         where = np.flatnonzero(fresh[:-1] | fresh[1:])
-        pairs = seq[where].astype(np.uint64) << np.uint64(32) | seq[where + 1]
+        # Symbols of 16 bits make pairs of 32.
+        kind, half = (np.uint32, 16) if base + n_rules <= 1 << 16 else (np.uint64, 32)
+        pairs = seq[where].astype(kind) << kind(half) | seq[where + 1]
         slot = _slots(pairs)
         chosen = _frequent_pairs(pairs, slot)
         if not len(chosen):
@@ -101,7 +105,7 @@ def compress(ids: np.ndarray, base: int) -> bytes:
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, chosen = seq[keep], chosen[used]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype("<u4"))
+        rules.append(np.stack([chosen >> kind(half), chosen & kind((1 << half) - 1)], 1).astype("<u4"))
         n_rules += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), "<u4")
     width = 2 if base + n_rules <= 1 << 16 else 4
