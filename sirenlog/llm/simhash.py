@@ -11,14 +11,6 @@ adds up the differing bits of 64 pairs at a time.  A query is dropped, and at
 last the block abandoned, once all its distances exceed the radius.  A block
 yields a spanning forest of its links, never all pairs.
 
-For copies that differ more, ``sketches`` and ``similar_groups`` take the sets of
-five-word shingles, of which texts link at a similarity (Jaccard) of SIMILAR.
-Candidates meet by bands of minima of the shingles' hashes, and those that lie
-within MEETING_RADIUS of each other's 256 bits, far beyond what a similarity of
-SIMILAR needs, are settled by the sets themselves.  Spanning forests are settled
-first; then every pair is that these left in different components, so a large
-group of copies never gives all its pairs, and a failed edge loses no link.
-
 A (band, value) group is cut into parts of PART fingerprints by hash, and each
 pair of parts is a unit of work of its own, so no group is one task.
 
@@ -42,16 +34,9 @@ from pyspark.sql.window import Window
 
 from sirenlog.llm.common import materialize, slices
 from sirenlog.llm.components import components
-from sirenlog.llm.words import mix
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 PART = 2048       # fingerprints of a part of a group
-SIMILAR_SHINGLE, SIMILAR_WORDS, SIMILAR_RADIUS = 5, 4, 51
-SIMILAR = (4, 5)      # least similarity of a link, as a fraction
-CLOSE_RADIUS = 39     # the bits that differ on average at this similarity
-MEETING_RADIUS = 72   # a pair of this similarity lies beyond with probability 4e-5 at most (4 of 5 shingles in common)
-SMALL = 64            # groups up to this size are compared without bit planes
-BANDS, ROWS = 12, 3   # groups of minima; one group is shared with probability 1 - 2e-4 at a similarity of 0.8
 BLOCK = 1024      # small groups are compared together up to this size
 QUERIES = 256     # fingerprints that are compared with a block at once
 
@@ -282,204 +267,28 @@ def _named(rows: DataFrame, nodes: DataFrame, edges: DataFrame, node: str) -> Da
     return rows.drop("component_id").join(of_node, node, "left")
 
 
-# --- copies that differ more --------------------------------------------------
-
-_PRINTS = tuple(f"p{i}" for i in range(SIMILAR_WORDS))
-_SALTS = mix(np.arange(1, SIMILAR_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
-
-
-def shingle_set(text: bytes) -> np.ndarray:
-    """The different values of a text's five-word shingles, in order."""
-    return np.unique(shingle_values(text, SIMILAR_SHINGLE))
-
-
-def set_node(values: np.ndarray) -> int:
-    """A set's identity, as a signed long."""
-    return int(np.array(xxhash.xxh64_intdigest(values.astype("<u8").tobytes(), SEED), np.uint64).view(np.int64))
-
-
-def sketch(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 256-bit fingerprint (as words) of a shingle set, and the hashes of the bands of minima."""
-    if not len(values):
-        return np.zeros(SIMILAR_WORDS, np.uint64), np.zeros(BANDS, np.uint64)
-    prints = np.array([majority(mix(values + salt)) for salt in _SALTS], np.uint64)
-    least = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(values), 1 << 14):
-        least = np.minimum(least, (values[i:i + (1 << 14), None] * _ODD[None, :]).min(0))
-    rows = least.reshape(BANDS, ROWS)
-    bands = np.zeros(BANDS, np.uint64)
-    for k in range(ROWS):
-        bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
-    return prints, bands
-
-
-def sketches(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep``, ``node`` and ``size`` of the shingle set, the fingerprint's words and ``bands``."""
-    source = documents.select(*keep, F.coalesce(text, F.lit("")).cast("binary").alias("__text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, sizes, made = [], [], []
-            for x in batch.column("__text"):
-                values = shingle_set(x.as_py())
-                nodes.append(set_node(values))
-                sizes.append(len(values))
-                made.append(sketch(values))
-            prints = np.array([p for p, _ in made], np.uint64).reshape(-1, SIMILAR_WORDS).view(np.int64)
-            bands = np.array([b for _, b in made], np.uint64).reshape(-1).view(np.int64)
-            offsets = pa.array(np.arange(len(made) + 1) * BANDS, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in keep] + [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
-                + [pa.array(np.ascontiguousarray(prints[:, i])) for i in range(SIMILAR_WORDS)]
-                + [pa.ListArray.from_arrays(offsets, pa.array(bands))], [*keep, "node", "size", *_PRINTS, "bands"])
-
-    return source.mapInArrow(run, T.StructType([source.schema[n] for n in keep] + [
-        T.StructField(p, T.LongType()) for p in ("node", "size", *_PRINTS)] + [
-            T.StructField("bands", T.ArrayType(T.LongType()))]))
-
-
-def shingle_sets(documents: DataFrame, text: str) -> DataFrame:
-    """``node`` and ``shingles``, the set itself as signed longs."""
-    source = documents.select(F.coalesce(text, F.lit("")).cast("binary").alias("__text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 4 << 20):
-            sets = [shingle_set(x.as_py()) for x in batch.column("__text")]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_node(x) for x in sets], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))],
-                ["node", "shingles"])
-
-    return source.mapInArrow(run, "node long, shingles array<long>")
-
-
-def near_members(prints: np.ndarray, radius: int, split: int = 0) -> Iterator[tuple[int, np.ndarray]]:
-    """The later members (with ``split``, those from there on) within the radius of each member that has any."""
-    n = len(prints)
-    if n <= SMALL:
-        near = np.bitwise_count(prints[:, None] ^ prints[None, :]).sum(2, np.int64) <= radius
-        if split:
-            near[:, :split] = near[split:] = False
-        else:
-            near = np.triu(near, 1)
-        yield from ((int(at), np.flatnonzero(near[at])) for at in np.flatnonzero(near.any(1)))
-        return
-    planes = bit_planes(prints)
-    place = np.arange(planes.shape[1] * 64)
-    for low in range(0, split or n, QUERIES):
-        ask = np.arange(low, min(low + QUERIES, split or n))
-        wanted = (place[None, :] >= split) if split else (place[None, :] > ask[:, None])
-        wanted = np.broadcast_to(wanted & (place < n), (len(ask), len(place)))
-        asked = np.ascontiguousarray(np.packbits(wanted, axis=1, bitorder="little")).view("<u8")
-        for at, bits in zip(*within(planes, prints[ask], asked, radius)):
-            yield int(ask[at]), np.flatnonzero(np.unpackbits(bits[None, :].view(np.uint8), bitorder="little"))
+def components_of(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``prints`` (a stored table with ``fingerprint``) with ``component``, the smallest fingerprint reachable."""
+    nodes = prints.select("fingerprint").distinct()
+    found = materialize(components(link_edges(candidate_units(nodes, radius), radius)), "simhash-components")
+    return prints.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
+        "component", F.coalesce("component", "fingerprint"))
 
 
-def _candidates(units: DataFrame, radius: int, forest: bool) -> DataFrame:
-    """Pairs (a, b) of nodes of different ``label`` that a unit holds within the radius, or a forest that spans them.
-
-    Every unit is compared by itself, so what meets does not depend on the partitions.
-    """
-    key = ["band", "value", "low", "high"]
-    columns = (*_PRINTS, "size", "label")
-    dealt = units.repartition("unit").sortWithinPartitions("unit", *key, "side", "node")
-
-    def pairs(nodes: np.ndarray, values: np.ndarray, split: int) -> Iterator[pa.RecordBatch]:
-        prints, size, label = values[:, :SIMILAR_WORDS], values[:, SIMILAR_WORDS], values[:, SIMILAR_WORDS + 1].copy()
-        if (label == label[0]).all():
-            return
-        held: list[np.ndarray] = []
-        count = 0
-        for at, near in near_members(np.ascontiguousarray(prints), radius, split):
-            least, most = np.minimum(size[near], size[at]), np.maximum(size[near], size[at])
-            near = near[(label[near] != label[at]) & (SIMILAR[1] * least >= SIMILAR[0] * most)]
-            if forest and len(near):
-                others, first = np.unique(label[near], return_index=True)
-                near = near[first]
-                label[np.isin(label, others)] = label[at]
-            if len(near):
-                held.append(np.stack([np.full(len(near), nodes[at]), nodes[near]]))
-                count += len(near)
-            if count > 1 << 16:
-                yield _pair_rows(held)
-                held, count = [], 0
-        if held:
-            yield _pair_rows(held)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for paired, side, nodes, values in _unit_groups(batches, "node", columns):
-            split = int(np.searchsorted(side, True)) if paired else 0
-            if len(nodes) > 1 and (not paired or 0 < split < len(nodes)):
-                yield from pairs(nodes, values, split)
-
-    return dealt.select("unit", *key, "side", "node", *columns).mapInArrow(run, "a long, b long").distinct()
-
-
-def _pair_rows(held: list[np.ndarray]) -> pa.RecordBatch:
-    found = np.concatenate(held, 1)
-    return pa.RecordBatch.from_arrays([pa.array(found.min(0)), pa.array(found.max(0))], ["a", "b"])
-
-
-def _settled(pairs: DataFrame, nodes: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have at least the similarity SIMILAR.
-
-    Only the sets of nodes in a pair are made again, each from one of its
-    texts (``documents`` has text and mark), and meet in joins by node.
-    """
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    marks = nodes.join(asked, "node", "left_semi").select("mark")
-    texts = documents.join(marks, "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
-    sets = materialize(shingle_sets(texts, "text"), "simhash-sets")
-    one, other = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
-    both = pairs.join(one, "a").join(other, "b")
-    common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
-    total = (F.size("of_a") + F.size("of_b")).cast("long")
-    # common / (total - common) >= SIMILAR
-    return both.filter(sum(SIMILAR) * common >= SIMILAR[0] * total).select("a", "b")
-
-
-def similar_groups(rows: DataFrame, documents: DataFrame, radius: int = MEETING_RADIUS) -> DataFrame:
-    """``rows`` (a stored table of ``sketches``, with ``mark``) with ``component``, the smallest node reachable.
-
-    ``documents`` has ``text`` and ``mark``, a hash of it.
-    """
-    nodes = materialize(rows.groupBy("node").agg(
-        *[F.min(c).alias(c) for c in ("mark", "size", *_PRINTS, "bands")]), "simhash-nodes")
-    banded = nodes.select("node", "size", *_PRINTS, F.posexplode("bands").alias("band", "value"))
-    units = materialize(_units(banded, "node"), "simhash-units")
-    links: DataFrame | None = None
-    named = None
-    for near, forest in ((CLOSE_RADIUS, True), (radius, True), (radius, False)):
-        label = F.col("node") if named is None else F.coalesce("component", "node")
-        labelled = (units if named is None else units.join(named, "node", "left")).withColumn("label", label)
-        pairs = materialize(_candidates(labelled, near, forest), "simhash-pairs")
-        found = materialize(_settled(pairs, nodes, documents), "simhash-links")
-        # Of the links so far, the stars of their components are enough.
-        links = found if named is None else found.unionByName(named.select(
-            F.col("node").alias("a"), F.col("component").alias("b")))
-        named = materialize(components(links), "simhash-components")
-    return rows.drop("size", "bands", *_PRINTS).join(named, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-
-
-def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", radius: int = MEETING_RADIUS) -> DataFrame:
-    """One document of each group of similar ones: the one with the smallest key.
+def keep_one(documents: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest key.
 
     Groups are those of ``component``, whatever keys their rows have: a null or
     repeated key joins nothing.  Rows of a group that repeat its smallest key are
-    told apart by their shingle set and a hash of the text; of wholly equal rows
+    told apart by their fingerprint and a hash of the text; of wholly equal rows
     one stays, and null keys come last.
     """
-    rows = materialize(sketches(documents.select(
+    prints = materialize(fingerprints(documents.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")), "text",
-        ["key", "mark"]), "simhash-sketches")
-    texts = documents.select(F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
-    grouped = similar_groups(rows, texts, radius)
-    # Only what is kept, one row per component, meets the texts again; null keys come last.
-    first = grouped.groupBy("component").agg(F.min(F.struct(
-        F.col("key").isNull().alias("none"), "key", "node", "mark")).alias("f")).select("f.key", "f.mark")
+        ["key", "mark"]), "simhash-prints")
+    # Only what is kept, one row per component, meets the texts again.
+    first = components_of(prints, radius).groupBy("component").agg(F.min(F.struct(
+        F.col("key").isNull().alias("none"), "key", "fingerprint", "mark")).alias("f")).select("f.key", "f.mark")
     whole = documents.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
     kept = whole.join(first, whole["key"].eqNullSafe(first["key"]) & (whole["mark"] == first["mark"]), "left_semi")
     # Equal rows share a key and a mark; the group limit is applied before any further exchange.

@@ -11,7 +11,7 @@ import corpus_pipeline
 from sirenlog.llm import packing, quality, repeats, secret_scan, simhash
 from tests.llm.test_repeats import plain_ranges
 from tests.llm.test_secret_scan import plain_spans
-from tests.llm.test_simhash import plain_similar
+from tests.llm.test_simhash import plain_kept
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -21,8 +21,7 @@ def test_against_plain_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     model = quality.fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
     rows = sorted((r.doc_id, r.text) for r in quality.assess(docs, model).filter("kept").collect())
-    group = plain_similar([t for _, t in rows])
-    rows = [x for k, x in enumerate(rows) if group[k] == k]
+    rows = [rows[k] for k in plain_kept(rows)]
     data, ranges = plain_ranges(rows, "first")
     texts = [repeats.without(d, repeats.whole_characters(d, s)).decode() for d, s in zip(data, ranges)]
     rows = [(i, t) for (i, _), t in zip(rows, texts) if t]
@@ -66,5 +65,4 @@ def test_simhash_stage_leaves_one_of_each_group(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     kept = simhash.keep_one(docs).select("doc_id")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
-    group = plain_similar([t for _, t in rows])
-    assert sorted(r[0] for r in kept.collect()) == sorted({rows[g][0] for g in group})
+    assert sorted(r[0] for r in kept.collect()) == [rows[k][0] for k in plain_kept(rows)]
