@@ -8,12 +8,14 @@ chunk digests with their lengths; the likeness of two is the lesser of the two
 containments, by bytes.
 
 ``neighbours`` gives each row the next row's text in the order of a key, with
-one exchange of the texts: the rows are range-partitioned and sorted, and only
+one exchange of the texts: the rows are dealt by ranges and sorted, and only
 the last row of each partition meets the first of the next one separately.
 
 Defined results: a null text is empty; an empty text has the empty fingerprint,
 whose likeness to itself is 1 and to any other 0; rows that tie on the key are
-ordered by a hash of their text; null keys come first.
+ordered by a hash of their text; null keys come first; an empty table gives no
+rows; only the named columns are read by ``neighbours``, whatever the others are
+called; a text is hashed and cut as a whole, in memory.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from sirenlog.llm.common import ordered_parts
+
 LEAST, USUAL, MOST = 24, 48, 192
 STRICT, LOOSE = np.uint32(0x3F << 20), np.uint32(0x0F << 20)  # bits that see the last 21 to 26 bytes
 DIGEST_BITS = 48
@@ -119,7 +123,7 @@ def map_neighbours(documents: DataFrame, key: str, text: str, function: Callable
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = documents.select(F.col(key), F.coalesce(text, F.lit("")).alias("__text")).withColumn(
         "_tie", F.xxhash64("__text"))
-    ordered = source.repartitionByRange(n, key, "_tie").sortWithinPartitions(key, "_tie")
+    ordered = ordered_parts(source, [key, "_tie"], n)  # used twice, with the same partitions
     schema = T.StructType([source.schema[key], *result.fields])
     kind = source.schema[key]
 

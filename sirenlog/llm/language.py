@@ -147,11 +147,11 @@ def fit(documents: DataFrame, training: Column, text: str = "text", lang: str =
     seen[found["dimension"] + 1] = found["n"]
     idf = np.log((1 + seen[0]) / (1 + seen[1:])).astype(np.float32) + np.float32(1)
 
-    order = Window.partitionBy(lang).orderBy("_hash", key)
-    chosen = known.select(key, lang, F.xxhash64(key).alias("_hash")).withColumn("_at", F.row_number().over(order)).filter(
-        F.col("_at") <= PER_LANGUAGE).select(key, F.col(lang).alias("_lang"))
-    # At most PER_LANGUAGE ids a language.
-    sample = known.join(F.broadcast(chosen), key).select("_lang", F.col(text).alias("__text"))
+    # A language's sample is taken from its rows themselves, whatever their ids are: by a hash of
+    # id and text, and of wholly equal rows any.  Each task passes on at most PER_LANGUAGE rows of a language.
+    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key", "__text"), F.xxhash64("__text", "_key"))
+    sample = known.select(F.col(lang).alias("_lang"), F.col(key).alias("_key"), F.col(text).alias("__text")).withColumn(
+        "_at", F.row_number().over(order)).filter(F.col("_at") <= PER_LANGUAGE).select("_lang", "__text")
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         tables = [counts([x or "" for x in group["__text"][i:i + ROWS]]) for i in range(0, len(group), ROWS)]

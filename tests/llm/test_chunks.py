@@ -3,6 +3,8 @@ import hashlib
 import numpy as np
 import pytest
 
+from pyspark.sql import types as T
+
 from sirenlog.llm import chunks as c
 
 
@@ -86,3 +88,33 @@ def test_fingerprints_keep_columns(documents, odd_rows):
     by_text = {}
     for r in out.collect():
         assert by_text.setdefault(r.text or "", r.fingerprint) == r.fingerprint
+
+
+def test_every_row_has_its_neighbour_however_the_plan_is_made(spark, documents, monkeypatch):
+    """More rows than the sample of the limits, without the optimizer's reuse of exchanges and without adaptive plans."""
+    from sirenlog.llm import common
+    monkeypatch.setattr(common, "SAMPLED", 2)
+    rows = [(None, f"none {i}") for i in range(5)] + [(i // 2, f"text {i}") for i in range(3000)]
+    want = None
+    for reuse in ("true", "false"):
+        for adaptive in ("true", "false"):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            got = c.map_neighbours(documents(rows, 7), "doc_id", "text", lambda a, b: (f"{a}|{b}",), T.StructType([
+                T.StructField("pair", T.StringType())])).collect()
+            assert len(got) == len(rows) == len({r.pair.split("|")[0] for r in got}) == len({r.pair.split("|")[1] for r in got})
+            assert {r.doc_id for r in got if r.pair.startswith("none")} == {None}
+            want = want or sorted(map(str, got))
+            assert sorted(map(str, got)) == want
+    spark.conf.unset("spark.sql.exchange.reuse")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 32])
+def test_parts_are_ranges(spark, n):
+    from sirenlog.llm.common import ordered_parts
+    rows = spark.range(500).selectExpr("CASE WHEN id % 50 <> 3 THEN (id * 37) % 211 END AS k", "id AS tie")
+    parts = ordered_parts(rows, ["k", "tie"], n).selectExpr("spark_partition_id() AS p", "k", "tie").collect()
+    assert [r.p for r in parts] == sorted(r.p for r in parts) and len(parts) == 500
+    assert [(r.k is not None, r.k or 0, r.tie) for r in parts] == sorted((r.k is not None, r.k or 0, r.tie) for r in parts)
+    assert len({r.p for r in parts}) == n

@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sirenlog.llm import language as g
@@ -70,3 +72,44 @@ def test_nothing_to_learn_from(spark, documents):
     [row] = g.predict(_frame(spark, [(1, "text", None)]), model).collect()
     assert row.lang_pred == g.UNKNOWN and row.score == 0
     assert g.predict(documents([]), model).count() == 0
+
+
+def test_repeated_and_null_ids_teach_as_much(spark):
+    """All rows under one id, or under none, give the model of the same rows under ids of their own."""
+    rows = _rows(240, 6)
+    model = g.fit(_frame(spark, rows), F.lit(True))
+    for same in (7, None):
+        other = g.fit(_frame(spark, [(same, text, lang) for _, text, lang in rows]), F.lit(True))
+        assert other.languages == model.languages and np.allclose(other.centroids, model.centroids, atol=1e-5)
+
+
+def test_predictions_equal_a_plain_cosine(spark):
+    """Row by row: the gram counts of one text at a time, weighted, against every centroid."""
+    rows = _rows(120, 8) + [(9500, "", None), (9501, "12", None), (9502, "thering oneau", None)]
+    model = g.fit(_frame(spark, rows), F.lit(True))
+    out = {r.doc_id: r for r in g.predict(_frame(spark, rows), model).collect()}
+    seen = Counter(d for _, text, lang in rows if lang for d in np.flatnonzero(g.counts([text])[0][0]).tolist())
+    lettered = sum(any(x.isalpha() for x in text) for _, text, lang in rows if lang)
+    for i, text, _ in rows:
+        table = g.counts([text])[0][0].astype(float)
+        weight = {d: np.log1p(table[d]) * (np.log((1 + lettered) / (1 + seen[d])) + 1) for d in np.flatnonzero(table).tolist()}
+        if not any(x.isalpha() for x in text):
+            assert out[i].lang_pred == g.UNKNOWN
+            continue
+        cosine = [_plain_cosine(weight, c) for c in model.centroids]
+        assert out[i].score == pytest.approx(max(cosine), abs=1e-4), i
+        best = sorted(zip(cosine, model.languages))[-2:]
+        assert out[i].lang_pred == best[-1][1] or abs(best[-1][0] - best[0][0]) < 1e-4
+
+
+def _plain_cosine(weight, centroid):
+    dot = sum(x * float(centroid[d]) for d, x in weight.items())
+    return dot / np.sqrt(sum(x * x for x in weight.values())) / max(1e-9, float(np.sqrt((centroid.astype(float) ** 2).sum())))
+
+
+def test_accuracy_on_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = g.fit(docs, ~g.held_out())
+    out = g.predict(docs.withColumn("held_out", g.held_out()), model).filter("held_out AND length(text) > 40")
+    total, right = out.agg(F.count("*"), F.count_if(F.col("lang") == F.col("lang_pred"))).first()
+    assert total > 40 and right / total >= 0.9
