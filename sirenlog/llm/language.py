@@ -147,11 +147,16 @@ def fit(documents: DataFrame, training: Column, text: str = "text", lang: str =
     seen[found["dimension"] + 1] = found["n"]
     idf = np.log((1 + seen[0]) / (1 + seen[1:])).astype(np.float32) + np.float32(1)
 
-    # A language's sample is taken from its rows themselves, whatever their ids are: by a hash of
-    # id and text, and of wholly equal rows any.  Each task passes on at most PER_LANGUAGE rows of a language.
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key", "__text"), F.xxhash64("__text", "_key"))
-    sample = known.select(F.col(lang).alias("_lang"), F.col(key).alias("_key"), F.col(text).alias("__text")).withColumn(
-        "_at", F.row_number().over(order)).filter(F.col("_at") <= PER_LANGUAGE).select("_lang", "__text")
+    # A language's sample is taken from its rows themselves, whatever their ids are: the first by a hash
+    # of id and text.  Rows beyond twice the sample's share of the hash range never leave their tasks.
+    rows = known.select(F.col(lang).alias("_lang"), F.col(text).alias("__text"), F.xxhash64(key, text).alias("_hash"),
+                        F.xxhash64(text, key).alias("_tie"))
+    sizes = rows.groupBy("_lang").count().collect()  # a row a language, as the model has
+    limits = [(r["_lang"], min(1.0, 2 * PER_LANGUAGE / r["count"]) * 2.0**64 - 2.0**63) for r in sizes]
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits for x in pair]), F.col("_lang")) if limits else F.lit(0.0)
+    order = Window.partitionBy("_lang").orderBy("_hash", "_tie")
+    sample = rows.filter(F.col("_hash").cast("double") <= limit).withColumn("_at", F.row_number().over(order)).filter(
+        F.col("_at") <= PER_LANGUAGE).select("_lang", "__text")
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         tables = [counts([x or "" for x in group["__text"][i:i + ROWS]]) for i in range(0, len(group), ROWS)]
