@@ -472,9 +472,9 @@ SELECT 'outcomes', route, CAST(count(*) AS VARCHAR) FROM routed GROUP BY route""
     }
     return oracles | {
         "artifact_file_intake": f"""WITH files AS (
-  SELECT 'documents ' || (doc_id // 20) || '.txt' AS original_name, doc_id // 20 AS number,
+  SELECT 'documents ' || (doc_id // 100) || '.txt' AS original_name, doc_id // 100 AS number,
     string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id) AS content
-  FROM documents GROUP BY doc_id // 20),
+  FROM documents GROUP BY doc_id // 100),
 judged AS (SELECT *, CAST(octet_length(encode(content)) AS BIGINT) AS size FROM files)
 SELECT original_name, size, size <= 10485760 AS ok, CASE WHEN size > 10485760 THEN 'File too large' END AS error,
   CASE WHEN size <= 10485760 THEN 'inc-files/1767225600000-documents-' || number || '.txt' END AS object_key,

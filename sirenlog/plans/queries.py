@@ -373,7 +373,7 @@ def store_artifacts(spark, sf_dir):
         F.md5("content").alias("md5"))
 
 
-FILE_ROWS = 20  # documents of a file; the number of files grows with the table
+FILE_ROWS = 100  # documents of a file; the number of files grows with the table
 
 
 @_query
