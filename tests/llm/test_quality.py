@@ -74,3 +74,15 @@ def test_without_labels_or_rows(spark, documents):
     assert q.assess(documents(list(enumerate(clean))), model).filter("kept").count() == 60
     model = q.fit(documents([]), labels)
     assert q.assess(documents([]), model).count() == 0
+
+
+def test_every_label_counts(spark):
+    n = 50_000
+    corpus = spark.range(n).selectExpr("id AS doc_id", "if(id % 5 = 0, 'xyz', 'abc') AS text")
+    labels = corpus.selectExpr("doc_id", "if(doc_id % 5 = 0, 0, 1) AS quality", "0 AS toxic")
+    model = q.fit(corpus, labels)
+    size = 1 << q.BITS
+    trusted, raw = 4 * n // 5, n
+    for gram, p, r in (("abc", trusted, trusted), ("xyz", 0, n // 5)):
+        ratio = np.log((p + 1) / (trusted + size) / ((r + 1) / (raw + size)))
+        assert model.ratios[q.buckets(np.frombuffer(gram.encode(), np.uint8))[0]] == np.rint(q.SCALE * ratio), gram
