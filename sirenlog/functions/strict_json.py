@@ -9,7 +9,9 @@ Two things a plain ``from_json`` gets wrong matter here:
 * It reads 7 as ``'7'`` and cannot tell an absent field from a null one.
   VARIANT can, at several times the price.  All fields are read as text first;
   only a row with a field that *might* not be a string (it is null, or looks
-  like another JSON type) is parsed a second time for its JSON types.
+  like another JSON type) is parsed a second time for its JSON types.  A field
+  whose quoted name stands nowhere in a text without escapes is absent, so a
+  row that merely lacks it needs no second parse.
 """
 
 from __future__ import annotations
@@ -63,7 +65,10 @@ class JsonObject:
         doubt = may_be_other_type(value)
         if name in self.integers:
             doubt = f"({doubt} AND NOT {value} RLIKE r'{INTEGER_PATTERN}')"
-        return f"coalesce({doubt}, {'false' if name in self.optional else 'true'})"
+        if name in self.optional:
+            return f"coalesce({doubt}, false)"
+        named = f"""contains({self.text_column}, '"{name}"') OR contains({self.text_column}, r'\\')"""
+        return f"coalesce({doubt}, {self._helper('first')} IS NULL OR {named})"
 
     def _helper(self, name: str) -> str:
         return f"__{self.text_column}_{name}"

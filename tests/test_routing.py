@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sirenlog.functions import strict_json as sj
 from sirenlog.operators import routing
 from sirenlog.operators.parsing import parse_events
 from sirenlog.schemas import ENVELOPE
@@ -182,3 +183,24 @@ def test_a_size_of_nineteen_digits(spark, make_log):
     log = make_log([event(**{**ART, "artifact": {"size": size}}) for size in (2**63 - 1, str(2**63 - 1), "9" * 19)])
     got = parse_events(log).orderBy("offset").select("verdict", "artifact.size").collect()
     assert [tuple(r) for r in got] == [("projected_artifact", 2**63 - 1)] * 2 + [("lost_after_mark", None)]
+
+
+def test_a_field_that_is_only_absent_needs_no_second_parse(spark):
+    event = sj.JsonObject("value", ("id", "severity"))
+    rows = [
+        ('{"id":"a"}', False, None), ('{"id":"a","severity":null}', True, "VOID"), ('{"id":"a","severity":"x"}', False, "STRING"),
+        ('{"id":"a","\\u0073everity":7}', True, "BIGINT"), ('{"id":"a","\\u0073everity":null}', True, "VOID"),
+        ('{"id":"a","other":{"severity":1}}', True, None), ('{"id":"a\\\\"}', True, None), ('{"id":"a","Severity":1}', False, None),
+        ("null", True, None), ("[]", True, None), ('"severity"', True, None), ("7", True, None), ("{}", False, None),
+        ('{"id":null,"severity":"x","severity":null}', True, "VOID"),
+    ]
+    texts = spark.createDataFrame([(text,) for text, _, _ in rows], "value string")
+    read = texts.selectExpr("value", "from_json(value, 'id string, severity string') AS typed").selectExpr(
+        "value", "if(value LIKE '{%', typed, NULL) AS __value_first").selectExpr(
+            "value", f"{event._doubtful('severity')} AS doubt")
+    assert {r.value: r.doubt for r in read.collect()} == {text: doubt for text, doubt, _ in rows}
+    kinds = event.attach(texts).selectExpr(
+        "value", f"{event.kind('severity')} AS kind", f"{event.is_null()} AS empty", f"{event.is_valid()} AS valid")
+    got = {r.value: r for r in kinds.collect()}
+    assert {text: got[text].kind for text, _, _ in rows} == {text: kind for text, _, kind in rows}
+    assert all(r.valid for r in got.values()) and [t for t, r in got.items() if r.empty] == ["null"]
