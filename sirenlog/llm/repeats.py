@@ -43,11 +43,12 @@ from sirenlog.llm.suffixes import Suffixes
 
 LENGTH, GRAM = 200, 50
 SPAN = LENGTH - GRAM + 1     # grams of a window
-SLICE = 1 << 21
-SHARD = 1 << 20              # bytes of a suffix order
+# A step of a Python worker takes about 100 bytes for a byte of text, a suffix order about 200.
+SLICE = 1 << 19              # bytes of texts that are looked at together
+SHARD = 1 << 18              # bytes of a suffix order
 HOT = 2048                   # different runs of one anchor that one suffix order takes
 PIECE = 16                   # windows of a piece of a hot anchor's run
-PART = 1 << 24               # bytes of a longer text that are looked at together
+PART = 1 << 19               # bytes of a longer text that are looked at together
 _PLACE = 28                  # bits of a place in a part
 
 
@@ -332,6 +333,11 @@ def without(data: bytes, ranges: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
+def _row_slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The rows with their ranges, in parts of about SLICE bytes of text."""
+    return slices((b.append_column("_text", b.column("row").field(text)) for b in batches), "_text", SLICE)
+
+
 def _rows(batch: pa.RecordBatch, text: str) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
     lists = batch.column("ranges")
     flat = lists.flatten()
@@ -351,7 +357,7 @@ def removal_digests(documents: DataFrame, text: str = "text", key: str = "doc_id
     joined = _with_ranges(documents.select(key, text), ranges, text, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _row_slices(batches, text):
             out = [(len(raw), sum(b - a for a, b in spans), len(spans), hashlib.sha256(without(raw, spans)).hexdigest())
                    for raw, spans in _rows(batch, text)]
             columns = list(zip(*out)) if out else [[]] * 4
@@ -388,7 +394,7 @@ def remove_later_copies(documents: DataFrame, text: str = "text", key: str = "do
     joined = _with_ranges(documents, ranges, text, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _row_slices(batches, text):
             texts = [raw if not spans else without(raw, whole_characters(raw, spans))
                      for raw, spans in _rows(batch, text)]
             kept = pa.array(texts, pa.binary()).cast(pa.string())

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -94,6 +95,24 @@ def test_a_text_in_parts_has_the_same_anchors(monkeypatch):
         assert by_window() == whole
 
 
+def _peak_mb(step):
+    tracemalloc.start()
+    try:
+        step()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_little():
+    """Two of these fit beside an executor's JVM, whatever the length of a text."""
+    data = np.random.default_rng(1).integers(97, 123, 4 << 20).astype(np.uint8)
+    assert _peak_mb(lambda: r.runs(data, np.array([0, len(data)]))) < 150
+    text = data[:r.SHARD].tobytes()
+    strings = [text[i:i + 300] for i in range(0, len(text), 300)]
+    assert _peak_mb(lambda: Suffixes(strings, r.LENGTH).factors()) < 100
+
+
 @pytest.mark.parametrize("hot", [2048, 2])
 def test_later_copies(documents, monkeypatch, hot):
     monkeypatch.setattr(r, "HOT", hot)
