@@ -24,6 +24,7 @@ ids; only the named columns of the input are read, whatever the others are calle
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,10 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sirenlog.llm.bpe import Words, byte_letters, load
+from sirenlog.llm.bpe import _LETTER, _NUMBER, CACHED_LETTERS, Words, byte_letters, load
+from sirenlog.llm.common import slices
 
 END_ID = 1
 BLOCK = 1 << 20          # ids of a block; a longer document is a block of its own
+SLICE = 1 << 20          # bytes of texts that are encoded together
 LEAST_COUNT = 16         # places of a pair that becomes a rule; with fewer, a rule is hardly shorter than its places
 _HEAD = np.dtype([("magic", "S4"), ("width", "<u4"), ("base", "<u4"), ("rules", "<u4"), ("symbols", "<u4"), ("ids", "<u4")])
 
@@ -205,8 +208,47 @@ class Grammar:
 # --- encoding, writing, reading ----------------------------------------------
 
 
+CACHED = 1 << 20         # words that an encoder knows before it starts anew
+_SLOTS = 20              # bits of a slot of the table of words
+_LATIN = re.compile("[\t\n\r -~\xa1-\xff]*")
+# Of each byte of a lower-case Latin-1 text: 0 blank, 1 letter, 2 number, 3 other, 4 the end of a document.
+_CLASS = np.array([next(k for k, kind in enumerate((r"\s", f"[{_LETTER}]", f"[{_NUMBER}]", "(?s:.)"))
+                        if re.fullmatch(kind, chr(i))) for i in range(256)], np.uint8)
+_CLASS[0] = 4
+
+
+def _word_limits(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word (as the splitter gives them) and of every closing zero byte.
+
+    A word is a run of one class, a number a single character, and an
+    apostrophe that starts a word takes one of the endings s t m d re ve ll.
+    """
+    kind = _CLASS[data]
+    begin = np.ones(len(kind), bool)
+    np.not_equal(kind[1:], kind[:-1], out=begin[1:])
+    begin |= (kind == 2) | (kind == 4)
+    begin &= kind != 0
+    mark = np.flatnonzero(data == ord("'"))
+    mark = mark[begin[mark]]
+    mark = mark[kind[mark + 1] == 1]   # the last byte is a zero
+    one, two = data[mark + 1], data[np.minimum(mark + 2, len(data) - 1)]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = (np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    begin[mark[short | long] + 1] = False
+    rest = np.concatenate([mark[short] + 2, mark[long] + 3])
+    begin[rest] |= kind[rest] == 1
+    last = kind != 0
+    last[:-1] &= begin[1:] | (kind[1:] == 0)
+    return np.flatnonzero(begin), np.flatnonzero(last) + 1
+
+
 class Encoder:
-    """Ids as the library gives them; words of plain texts are encoded once each."""
+    """Ids as the library gives them; words of plain texts are encoded once each.
+
+    Words of Latin-1 texts are found for many texts at once.  A table with a
+    slot for each hash has the first 16 bytes of a known word, so that words of
+    up to 16 letters are compared whole; all others are looked up one by one.
+    """
 
     def __init__(self, path: str | None):
         self.bpe = load(path)
@@ -215,12 +257,27 @@ class Encoder:
         self.model = self.bpe.library.model
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.id_bytes = [i.to_bytes(4, "little") for i in range(max(self.bpe.token_text, default=0) + 1)]
+        self._start_anew()
+
+    def _start_anew(self) -> None:
+        self.number: dict[bytes, int] = {}              # of each known word
+        self.table = np.zeros((1 << _SLOTS, 2), np.uint64)
+        self.at = np.full(1 << _SLOTS, -1, np.int32)    # number of the word in a slot
+        self.first = np.zeros(1, np.int64)              # where a word's ids start; one more at the end
+        self.ids = np.zeros(0, "<u4")
+        self._add([np.array([END_ID], "<u4").tobytes()])
+        self.number[b"\0"] = 0
+
+    def _add(self, words: list[bytes]) -> None:
+        ends = self.first[-1] + np.cumsum([len(x) // 4 for x in words])
+        self.first = np.concatenate([self.first, ends])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(words), "<u4")])
 
     def _word(self, word: str) -> bytes:
-        if not word.isascii():
-            word = word.encode("utf-8").decode("latin-1")
+        if not word.isascii():  # signs of ASCII are their own letters
+            word = word.encode("utf-8").decode("latin-1").translate(self.letters)
         ids = self.id_bytes
-        return b"".join([ids[token.id] for token in self.model.tokenize(word.translate(self.letters))])
+        return b"".join([ids[token.id] for token in self.model.tokenize(word)])
 
     def encode(self, text: str) -> bytes:
         words = self.bpe.plain_words(text)
@@ -228,6 +285,65 @@ class Encoder:
             return np.array(self.bpe.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.known.__getitem__, words))
 
+    def _numbers(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each word."""
+        size = ends - starts
+        eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+        whole = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+        low = eight[starts] & whole[np.minimum(size, 8)]
+        high = np.zeros(len(low), np.uint64)
+        more = np.flatnonzero(size > 8)
+        high[more] = eight[starts[more] + 8] & whole[np.minimum(size[more] - 8, 8)]
+        slot = low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(0xBF58476D1CE4E5B9)
+        slot ^= slot >> np.uint64(32)
+        slot *= np.uint64(0x94D049BB133111EB)
+        slot = (slot >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        number = self.at[slot]
+        met = self.table[slot]
+        number[(met[:, 0] != low) | (met[:, 1] != high) | (size > 16)] = -1
+        unmet = np.flatnonzero(number < 0)
+        found, added, known = [], [], self.number
+        last = len(self.first) - 1
+        for a, b in zip(starts[unmet].tolist(), ends[unmet].tolist()):
+            word = raw[a:b]
+            n = known.get(word)
+            if n is None:
+                n = last + len(added)
+                added.append(self._word(word.decode("latin-1")))
+                if b - a <= CACHED_LETTERS:
+                    known[word] = n
+            found.append(n)
+        if added:
+            self._add(added)
+        number[unmet] = found
+        unmet = unmet[size[unmet] <= 16]
+        slot = slot[unmet]
+        self.at[slot] = number[unmet]
+        # Of several words of a slot the last one is written; all columns take the same one.
+        self.table[slot] = np.stack([low[unmet], high[unmet]], 1)
+        return number
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, an end id after each, and how many each text has."""
+        if len(self.first) > CACHED or len(self.ids) > 8 * CACHED:
+            self._start_anew()
+        plain = [bool(_LATIN.fullmatch(x)) and not ("<|" in x and self.bpe.plain_words(x) is None) for x in texts]
+        raw = b"\0".join([x.lower().encode("latin-1") for x, p in zip(texts, plain) if p]) + bytes(1)
+        data = np.frombuffer(raw, np.uint8)
+        starts, ends = _word_limits(data if any(plain) else data[:0])
+        number = self._numbers(raw + bytes(16), starts, ends)
+        count = np.diff(self.first)[number]
+        total = np.cumsum(count)
+        ids = self.ids[np.repeat(self.first[number] - total + count, count) + np.arange(total[-1] if len(total) else 0)]
+        lengths = np.diff(total[data[starts] == 0], prepend=0)
+        if all(plain):
+            return ids, lengths
+        parts, sizes, at = [], [], iter(np.split(ids, np.cumsum(lengths)[:-1]))
+        for text, p in zip(texts, plain):
+            parts.append(next(at) if p else np.frombuffer(self.encode(text) + np.array([END_ID], "<u4").tobytes(), "<u4"))
+            sizes.append(len(parts[-1]))
+        return np.concatenate(parts), np.array(sizes, np.int64)
+
 
 _ENCODERS: dict[str | None, Encoder] = {}
 
@@ -249,31 +365,30 @@ def write_shards(documents: DataFrame, folder: str, text: str = "text", key: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _ENCODERS:
             _ENCODERS[path] = Encoder(path)
-        encode, base = _ENCODERS[path].encode, max(_ENCODERS[path].bpe.token_text, default=END_ID) + 1
+        encode, base = _ENCODERS[path].encode_all, max(_ENCODERS[path].bpe.token_text, default=END_ID) + 1
         part = TaskContext.get().partitionId()
-        end = np.array([END_ID], "<u4").tobytes()
         block = before = held = 0
         keys: list[pa.Array] = []
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
 
         def closed() -> pa.RecordBatch:
-            every = np.frombuffer(b"".join(ids), "<u4")
+            every = np.concatenate(ids)
             row = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()),
                    pa.array([len(every)], pa.int64()),
                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays(keys)),
-                   pa.array([[len(x) // 4 for x in ids]], pa.list_(pa.int32())),
+                   pa.array([[len(x) for x in ids]], pa.list_(pa.int32())),
                    pa.array([compress(every, base)], pa.binary())]
             return pa.RecordBatch.from_arrays(row, schema.names)
 
-        for batch in batches:
-            for i, value in enumerate(batch.column("__text")):
-                coded = encode(value.as_py()) + end
-                if held and held + len(coded) // 4 > BLOCK:
+        for batch in slices(batches, "__text", SLICE):
+            every, lengths = encode(batch.column("__text").to_pylist())
+            for i, coded in enumerate(np.split(every, np.cumsum(lengths)[:-1])):
+                if held and held + len(coded) > BLOCK:
                     yield closed()
                     block, before, held, keys, ids = block + 1, before + held, 0, [], []
                 keys.append(batch.column("_key").slice(i, 1))
                 ids.append(coded)
-                held += len(coded) // 4
+                held += len(coded)
         if held:
             yield closed()
 

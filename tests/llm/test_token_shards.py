@@ -57,6 +57,39 @@ def test_a_foreign_block_is_refused():
         t.Grammar(b"XXXX" + bytes(20))
 
 
+def _ids(texts):
+    library = load().library
+    return [[*library.encode(x, add_special_tokens=False).ids, t.END_ID] for x in texts]
+
+
+def _split(ids, lengths):
+    return [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+
+
+def test_many_texts_at_once_as_the_library_encodes_them(monkeypatch):
+    rng = np.random.default_rng(5)
+    signs = list("aestmdrvlEÉßµªÿ÷×'''!.-<|12²¾ \t\n\r\xad")
+    texts = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(3000)]
+    texts += ["", "'", "'s", "''s", "it'sure", "we'll've 'L l'l 're've'd'", "x" * 200 + " " + "é" * 70, "abcdefgh abcdefghi",
+              "a" * 16 + " " + "a" * 17 + " " + "a" * 15 + "é", "<|endoftext|> it's <|", "日本 it's", "\x00 a", "ĂĂ ăſ's", ""]
+    encoder, want = t.Encoder(None), _ids(texts)
+    assert _split(*encoder.encode_all(texts)) == want
+    assert _split(*encoder.encode_all(texts[::-1])) == want[::-1]  # words that are known now
+    assert _split(*encoder.encode_all(["日", "本"])) == _ids(["日", "本"])
+    monkeypatch.setattr(t, "CACHED", 50)
+    for a in range(0, 3000, 500):
+        assert _split(*encoder.encode_all(texts[a:a + 500])) == want[a:a + 500]
+
+
+@pytest.mark.parametrize("bits", [1, 4])
+def test_words_that_share_a_slot(monkeypatch, bits):
+    monkeypatch.setattr(t, "_SLOTS", bits)
+    texts = ["one two three four five six " * 3, "a very-long-word-of-many-letters 12 one", "two two one"] * 4
+    encoder = t.Encoder(None)
+    for _ in range(2):
+        assert _split(*encoder.encode_all(texts)) == _ids(texts)
+
+
 def test_documents(spark, documents, odd_rows, monkeypatch):
     rows = [(i, x) for i, x in odd_rows if i is not None and i not in (9, 11)]
     folder = new_folder(spark, "shards")
